@@ -26,12 +26,20 @@ class Rule(NamedTuple):
     value: Column
 
 
+def message_text() -> Column:
+    """The message as text; empty for a tombstone, stray bytes replaced."""
+    return F.coalesce(F.make_valid_utf8(F.col("value").cast("string")), F.lit(""))
+
+
 def undecodable() -> Rule:
-    return Rule("json", "invalid JSON format", ~F.col("decoded"), F.col("value").cast("string"))
+    return Rule("json", "invalid JSON format", ~F.col("decoded"), message_text())
 
 
 def rules(as_of: times.Clock) -> list[Rule]:
-    """The rules for decoded events, in the order failures are reported."""
+    """The rules for decoded events, in the order failures are reported.
+
+    An event without a time lies before any limit, so it is too old as well.
+    """
     page, user = F.col("page_id"), F.col("user_id")
     duration, ts = F.col("view_duration_ms"), F.col("event_ts")
     shown_duration = duration.cast("string")
@@ -54,19 +62,19 @@ def rules(as_of: times.Clock) -> list[Rule]:
         Rule(
             "timestamp",
             "timestamp cannot be zero",
-            ts == F.lit(times.ZERO_TIME).cast("timestamp"),
+            ts.isNull(),
             shown_time,
         ),
         Rule(
             "timestamp",
             "timestamp is too far in the future",
-            ts > times.hours_after(as_of, MAX_AHEAD_HOURS),
+            F.coalesce(ts > times.hours_after(as_of, MAX_AHEAD_HOURS), F.lit(False)),
             shown_time,
         ),
         Rule(
             "timestamp",
             "timestamp is too old (more than 30 days)",
-            ts < times.hours_before(as_of, MAX_AGE_HOURS),
+            F.coalesce(ts < times.hours_before(as_of, MAX_AGE_HOURS), F.lit(True)),
             shown_time,
         ),
     ]

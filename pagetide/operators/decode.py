@@ -69,8 +69,8 @@ def decode(messages: DataFrame) -> DataFrame:
     """Add ``decoded`` and the event's fields to each message.
 
     Absent and null fields become empty, zero or false. ``event_ts`` is the
-    instant of ``timestamp_text``, or the zero time where that is absent. Where
-    ``decoded`` is false the fields mean nothing.
+    instant of ``timestamp_text``, null where that is absent or the zero time.
+    Where ``decoded`` is false the fields mean nothing.
 
     One typed parse serves nearly all messages. Those it cannot vouch for - a
     number field it left empty, a text that might have been a bare number - are
@@ -119,7 +119,7 @@ def decode(messages: DataFrame) -> DataFrame:
         F.coalesce(field_value("view_duration_ms"), F.lit(0).cast("bigint")).alias(
             "view_duration_ms"
         ),
-        F.coalesce(F.col("_instant"), F.lit(times.ZERO_TIME).cast("timestamp")).alias("event_ts"),
+        F.nullif(F.col("_instant"), F.lit(times.ZERO_TIME).cast("timestamp")).alias("event_ts"),
         F.coalesce(field_value("user_agent"), F.lit("")).alias("user_agent"),
         F.coalesce(field_value("ip_address"), F.lit("")).alias("ip_address"),
         F.coalesce(field_value("region"), F.lit("")).alias("region"),

@@ -47,7 +47,7 @@ def _raw_columns(as_of: times.Clock) -> dict[str, Column]:
 def _error_columns(as_of: times.Clock) -> dict[str, Column]:
     return {
         "error_time": F.date_trunc("second", times.clock(as_of)),
-        "raw_message": F.col("value").cast("string"),
+        "raw_message": quality.message_text(),
         "error_reason": quality.error_reason(as_of),
         "kafka_offset": F.col("offset"),
         "kafka_partition": F.col("partition"),
@@ -77,6 +77,8 @@ def routed_rows(gated: DataFrame, as_of: times.Clock) -> DataFrame:
     """
     valid = F.col("is_valid")
     raw, rejected = _raw_columns(as_of), _error_columns(as_of)
+    staged = once(with_canonical_ip(gated), "_reason", F.when(~valid, rejected["error_reason"]))
+    rejected["error_reason"] = F.col("_reason")
     month = times.month(F.when(valid, raw["event_date"]).otherwise(rejected["error_time"]))
     columns = {name: F.when(valid, value) for name, value in raw.items()}
     columns |= {name: F.when(~valid, value) for name, value in rejected.items()}
@@ -85,4 +87,4 @@ def routed_rows(gated: DataFrame, as_of: times.Clock) -> DataFrame:
     columns["route"] = F.when(valid, RAW_ROUTE).otherwise(ERROR_ROUTE)
     columns["month"] = month
     names = [name for name in LOG.fieldNames() if name in columns]
-    return with_canonical_ip(gated).select(*[columns[name].alias(name) for name in names])
+    return staged.select(*[columns[name].alias(name) for name in names])

@@ -41,7 +41,7 @@ def drop_expired(spark: SparkSession, tables: stored.Tables, as_of: datetime) ->
     patterns = [
         (f"{tables.log(RAW_ROUTE)}/batch_id=*/month=*", RAW_DAYS),
         (f"{tables.states(stored.MINUTE)}/batch_id=*/month=*", MINUTE_DAYS),
-        (f"{tables.compacted(stored.MINUTE)}/upto=*/month=*", MINUTE_DAYS),
+        (f"{tables.compacted(stored.MINUTE)}/batches=*/month=*", MINUTE_DAYS),
     ]
     dropped = []
     for pattern, days in patterns:
@@ -52,34 +52,46 @@ def drop_expired(spark: SparkSession, tables: stored.Tables, as_of: datetime) ->
     return dropped
 
 
-def compact(spark: SparkSession, tables: stored.Tables, grain: str, upto: int) -> None:
-    """Merge the states of all batches up to ``upto`` into one directory.
+def compact(
+    spark: SparkSession, tables: stored.Tables, grain: str, last: int, first: int | None = None
+) -> None:
+    """Merge the states of batches ``first`` to ``last`` into one directory.
 
-    Name only batches that will not be replayed, that is, older than the last
-    committed one. Readers switch over when the directory is complete; what it
-    replaces can be deleted later with ``clean``.
+    By default ``first`` follows what is compacted already, so the work is in
+    proportion to what is new; name an earlier ``first`` to merge earlier ranges
+    again. Compact only batches that will not be replayed, that is, older than
+    the last committed one. Readers switch over when the directory is complete;
+    what it replaces can be deleted later with ``clean``.
 
     The range shuffle already groups equal keys, so the merge adds none, and
     leaves files that cover disjoint time ranges.
     """
-    previous = stored.last_compacted(spark, tables, grain)
-    if previous is not None and upto <= previous:
-        raise ValueError(f"batches up to {previous} are compacted already")
-    states = stored.read_states(spark, tables, grain, through=upto)
+    ranges = stored.compacted_ranges(spark, tables, grain)
+    following = max((r[1] + 1 for r in ranges), default=0)
+    if first is None:
+        first = following
+    if first > following:
+        raise ValueError(f"batches from {following} on are not compacted yet")
+    if last < first or (first, last) in ranges:
+        raise ValueError(f"nothing to compact from batch {first} to {last}")
+    states = stored.read_states(spark, tables, grain, first, last)
     ranged = states.repartitionByRange("window_start", "page_id")
-    stored.write_states(
-        rollup.merge_states(ranged), f"{tables.compacted(grain)}/upto={upto}", tables
-    )
+    target = f"{tables.compacted(grain)}/batches={first}-{last}"
+    stored.write_states(rollup.merge_states(ranged), target, tables)
 
 
 def clean(spark: SparkSession, tables: stored.Tables, grain: str) -> None:
-    """Delete what the newest compacted directory has replaced."""
-    upto = stored.last_compacted(spark, tables, grain)
-    if upto is None:
-        return
+    """Delete what complete compacted directories have replaced.
+
+    Directories still being written have no range yet and are left alone.
+    """
+    ranges = stored.compacted_ranges(spark, tables, grain)
+    after = max((r[1] for r in ranges), default=-1)
     for path in files.matching(spark, f"{tables.states(grain)}/batch_id=*"):
-        if int(files.partition_value(path)) <= upto:
-            files.delete(spark, path)
-    for path in files.matching(spark, f"{tables.compacted(grain)}/upto=*"):
-        if int(files.partition_value(path)) < upto:
+        if int(files.partition_value(path)) <= after:
             files.delete(spark, path)
+    kept = {f"{first}-{last}" for first, last in ranges}
+    for path in files.matching(spark, f"{tables.compacted(grain)}/batches=*/_SUCCESS"):
+        directory = path.rsplit("/", 1)[0]
+        if files.partition_value(directory) not in kept:
+            files.delete(spark, directory)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +24,19 @@ RESEND_OFFSET = 1_000_000_000_000
 CUTS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
 
-def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event fields by source row, before anything is broken on purpose."""
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+def source_events(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Event fields by source row, before anything is broken on purpose.
+
+    ``start`` and ``end`` bound the event time in the scan itself.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if start is not None:
+        rows = rows.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        rows = rows.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+    rows = rows.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_ts"),
         F.col("user_id").alias("uid"),
@@ -119,7 +127,7 @@ def resent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_topic_files(rows: DataFrame, path: str, slices: list[int]) -> int:
+def write_topic_slices(spark: SparkSession, sf_dir: str, path: str, slices: list[int]) -> int:
     """Write the messages in time slices, in the given order; returns the file count.
 
     Slices are written one after the other, so the order of their files'
@@ -127,14 +135,12 @@ def write_topic_files(rows: DataFrame, path: str, slices: list[int]) -> int:
     """
     bounds: list[str | None] = [None, *CUTS, None]
     for i in slices:
-        part = rows
-        if bounds[i] is not None:
-            part = part.filter(F.col("timestamp") >= F.lit(bounds[i]).cast("timestamp"))
-        if bounds[i + 1] is not None:
-            part = part.filter(F.col("timestamp") < F.lit(bounds[i + 1]).cast("timestamp"))
+        part = messages_of(source_events(spark, sf_dir, bounds[i], bounds[i + 1]))
         part.write.mode("append").parquet(path)
-    return len(rows.sparkSession.read.schema(MESSAGE).parquet(path).inputFiles())
+    return len(spark.read.schema(MESSAGE).parquet(path).inputFiles())
 
 
-def clock_of(text: str) -> datetime:
-    return datetime.fromisoformat(text)
+def write_topic_partitions(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Write the messages by topic partition, so that one can be read alone."""
+    messages(spark, sf_dir).write.partitionBy("partition").parquet(path)
+    return spark.read.schema(MESSAGE).parquet(path).select(*MESSAGE.fieldNames())

@@ -131,9 +131,10 @@ def hourly_rollup_from_minutes(spark, sf_dir):
 
 def _stored_in_parts(spark: SparkSession, sf_dir: str) -> stored.Tables:
     """Tables filled in one batch per topic partition, so that states overlap."""
-    tables = stored.Tables(session.run_folder(spark, "parts"))
+    folder = session.run_folder(spark, "parts")
+    tables = stored.Tables(f"{folder}/tables")
     stored.create_directories(spark, tables)
-    messages = fixture.messages(spark, sf_dir)
+    messages = fixture.write_topic_partitions(spark, sf_dir, f"{folder}/topic")
     for batch_id in range(4):
         part = messages.filter(F.col("partition") == batch_id)
         stored.ingest_batch(part, batch_id, tables, fixture.MAIN)
@@ -149,9 +150,10 @@ def minute_states_merged(spark, sf_dir):
 
 @query
 def minute_states_compacted(spark, sf_dir):
-    """The same after three of the batches were compacted."""
+    """The same after two compactions, one on top of the other."""
     tables = _stored_in_parts(spark, sf_dir)
-    lifecycle.compact(spark, tables, stored.MINUTE, upto=2)
+    lifecycle.compact(spark, tables, stored.MINUTE, last=1)
+    lifecycle.compact(spark, tables, stored.MINUTE, last=2, first=0)
     return rollup.minute_aggregates(stored.read_states(spark, tables))
 
 
@@ -350,9 +352,7 @@ def key_strategy_mix(spark, sf_dir):
 def _streamed(spark: SparkSession, sf_dir: str, slices: list[int]) -> stored.Tables:
     """Tables filled by draining a topic of files over several micro-batches."""
     folder = session.run_folder(spark, "stream")
-    count = fixture.write_topic_files(
-        fixture.messages(spark, sf_dir), f"{folder}/topic", slices
-    )
+    count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", slices)
     messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
     tables = stored.Tables(f"{folder}/tables")
     ingest.drain(messages, tables, f"{folder}/checkpoint", fixture.MAIN)
@@ -398,9 +398,7 @@ def stream_late_data(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """A topic read twice, with replays dropped by streaming state."""
     folder = session.run_folder(spark, "dedup")
-    count = fixture.write_topic_files(
-        fixture.messages(spark, sf_dir), f"{folder}/topic", IN_ORDER + IN_ORDER
-    )
+    count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", IN_ORDER + IN_ORDER)
     messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
     writer = (
         dedup.drop_replays_in_stream(messages, "40 days")

@@ -3,13 +3,13 @@
     <root>/log/route=raw/batch_id=N/month=YYYYMM/      raw events
     <root>/log/route=errors/batch_id=N/month=YYYYMM/   rejected messages
     <root>/minute/batch_id=N/month=YYYYMM/             minute states
-    <root>/minute_compacted/upto=N/month=YYYYMM/       states of batches <= N
+    <root>/minute_compacted/batches=A-B/month=YYYYMM/  states of batches A to B
     <root>/hour/..., <root>/hour_compacted/...         the same by hour
 
 A batch owns its directories and replaces them when it runs again. Raw events
 and rejected messages leave one job together, so a message is in exactly one of
-the two tables. A compacted directory stands for all batches up to its number;
-readers skip those, whether or not they have been deleted yet.
+the two tables. A complete compacted directory stands for its range of batches;
+readers skip what it replaces, whether or not that has been deleted yet.
 """
 
 from __future__ import annotations
@@ -143,26 +143,47 @@ def ingest_batch(messages: DataFrame, batch_id: int, tables: Tables, as_of: time
     write_batch_states(messages.sparkSession, tables, batch_id)
 
 
-def last_compacted(spark: SparkSession, tables: Tables, grain: str) -> int | None:
-    """Number of the newest complete compacted directory."""
-    done = files.matching(spark, f"{tables.compacted(grain)}/upto=*/_SUCCESS")
-    numbers = [int(files.partition_value(path.rsplit("/", 1)[0])) for path in done]
-    return max(numbers, default=None)
+def compacted_ranges(spark: SparkSession, tables: Tables, grain: str) -> list[tuple[int, int]]:
+    """Batch ranges that complete compacted directories stand for, ascending.
+
+    A range inside a wider one has been compacted further and is left out.
+    """
+    done = files.matching(spark, f"{tables.compacted(grain)}/batches=*/_SUCCESS")
+    ranges = []
+    for path in done:
+        first, last = files.partition_value(path.rsplit("/", 1)[0]).split("-")
+        ranges.append((int(first), int(last)))
+    return sorted(
+        r
+        for r in ranges
+        if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in ranges)
+    )
 
 
 def read_states(
-    spark: SparkSession, tables: Tables, grain: str = MINUTE, through: int | None = None
+    spark: SparkSession,
+    tables: Tables,
+    grain: str = MINUTE,
+    first: int = 0,
+    last: int | None = None,
 ) -> DataFrame:
-    """State rows of all batches, or of those up to ``through``, with ``month``."""
-    partitioned = T.StructType(MINUTE_STATE.fields + _PARTITIONS)
-    live = spark.read.schema(partitioned).parquet(tables.states(grain))
-    upto = last_compacted(spark, tables, grain)
-    if through is not None:
-        live = live.filter(F.col("batch_id") <= through)
-    if upto is None:
-        return live.drop("batch_id")
-    if through is not None and through < upto:
-        raise ValueError(f"batches up to {upto} are already merged into one")
-    monthly = T.StructType(MINUTE_STATE.fields + _PARTITIONS[1:])
-    merged = spark.read.schema(monthly).parquet(f"{tables.compacted(grain)}/upto={upto}")
-    return merged.unionByName(live.filter(F.col("batch_id") > upto).drop("batch_id"))
+    """State rows of all batches, or of batches ``first`` to ``last``, with ``month``.
+
+    Bounds may not cut through a compacted range.
+    """
+    ranges = compacted_ranges(spark, tables, grain)
+    after = max((r[1] for r in ranges), default=-1)
+    wanted = [r for r in ranges if r[1] >= first and (last is None or r[0] <= last)]
+    if any(r[0] < first or (last is not None and r[1] > last) for r in wanted):
+        raise ValueError(f"batches {first} to {last} cut through compacted ranges {wanted}")
+    live_schema = T.StructType(MINUTE_STATE.fields + _PARTITIONS)
+    live = spark.read.schema(live_schema).parquet(tables.states(grain))
+    live = live.filter(F.col("batch_id") >= max(first, after + 1))
+    if last is not None:
+        live = live.filter(F.col("batch_id") <= last)
+    live = live.drop("batch_id")
+    if not wanted:
+        return live
+    merged_schema = T.StructType(MINUTE_STATE.fields + _PARTITIONS[1:])
+    paths = [f"{tables.compacted(grain)}/batches={a}-{b}" for a, b in wanted]
+    return spark.read.schema(merged_schema).parquet(*paths).unionByName(live)
