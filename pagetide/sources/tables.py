@@ -184,6 +184,10 @@ def read_states(
     live = live.drop("batch_id")
     if not wanted:
         return live
-    merged_schema = T.StructType(MINUTE_STATE.fields + _PARTITIONS[1:])
-    paths = [f"{tables.compacted(grain)}/batches={a}-{b}" for a, b in wanted]
-    return spark.read.schema(merged_schema).parquet(*paths).unionByName(live)
+    base = tables.compacted(grain)
+    merged_schema = T.StructType(
+        [*MINUTE_STATE.fields, T.StructField("batches", T.StringType()), *_PARTITIONS[1:]]
+    )
+    reader = spark.read.schema(merged_schema).option("basePath", base)
+    merged = reader.parquet(*[f"{base}/batches={a}-{b}" for a, b in wanted])
+    return merged.drop("batches").unionByName(live)
