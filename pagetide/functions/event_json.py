@@ -8,30 +8,19 @@ from pyspark.sql import functions as F
 from pagetide.functions import times
 
 
-def encode(
-    page_id: Column,
-    user_id: Column,
-    view_duration_ms: Column,
-    event_ts: Column,
-    user_agent: Column,
-    ip_address: Column,
-    region: Column,
-    is_bounce: Column,
-) -> Column:
-    """Event as JSON text; an empty user agent, address or region is left out."""
+def encode() -> Column:
+    """The event in this row as JSON.
 
-    def non_empty(text: Column) -> Column:
-        return F.nullif(text, F.lit(""))
-
-    return F.to_json(
-        F.struct(
-            page_id.alias("page_id"),
-            user_id.alias("user_id"),
-            view_duration_ms.alias("view_duration_ms"),
-            times.format_rfc3339(event_ts).alias("timestamp"),
-            non_empty(user_agent).alias("user_agent"),
-            non_empty(ip_address).alias("ip_address"),
-            non_empty(region).alias("region"),
-            is_bounce.alias("is_bounce"),
-        )
+    An empty user agent, address or region is left out.
+    """
+    return F.expr(
+        f"""to_json(named_struct(
+            'page_id', page_id,
+            'user_id', user_id,
+            'view_duration_ms', view_duration_ms,
+            'timestamp', {times.format_rfc3339('event_ts')},
+            'user_agent', nullif(user_agent, ''),
+            'ip_address', nullif(ip_address, ''),
+            'region', nullif(region, ''),
+            'is_bounce', is_bounce))"""
     )

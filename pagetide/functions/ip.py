@@ -1,15 +1,12 @@
 """IP text to canonical IPv6 text with built-in string functions only.
 
-Runs inside the JVM: no Python worker sees the addresses. The three steps build
-on one another and are meant to be named with ``once`` in between; plain IPv4
-addresses skip the first two.
+Runs inside the JVM: no Python worker sees the addresses. The three steps are
+SQL expressions that build on one another and are meant to be named with
+``once`` in between; plain IPv4 addresses skip the first two.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IPV4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 _GROUP = "[0-9a-fA-F]{1,4}"
@@ -29,39 +26,6 @@ def _ipv6_pattern() -> str:
     return r"^(?:" + "|".join(forms) + r")\z"
 
 
-_IPV6 = _ipv6_pattern()
-
-
-def _dotted_tail_as_groups(text: Column) -> Column:
-    """Rewrite a trailing dotted quad as two hexadecimal groups."""
-    quad = F.regexp_extract(text, rf":({_IPV4})\z", 1)
-    head = F.substr(text, F.lit(1), F.length(text) - F.length(quad))
-
-    def byte(i: int) -> Column:
-        return F.split_part(quad, F.lit("."), F.lit(i)).cast("int")
-
-    groups = F.concat(
-        F.lower(F.hex(byte(1) * 256 + byte(2))), F.lit(":"), F.lower(F.hex(byte(3) * 256 + byte(4)))
-    )
-    return F.when(F.contains(text, F.lit(".")) & (quad != ""), F.concat(head, groups)).otherwise(text)
-
-
-def _all_groups(text: Column) -> Column:
-    """Spell out ``::`` and drop leading zeros: eight groups, lower case."""
-    colons = F.length(text) - F.length(F.replace(text, F.lit(":")))
-    edge = F.startswith(text, F.lit("::")).cast("int") + F.endswith(text, F.lit("::")).cast("int")
-    # n groups carry n-1 colons; "::" adds one more, or none at an open end.
-    present = F.when(text == "::", 0).otherwise(colons - edge)
-    zeros = F.rtrim(F.repeat(F.lit("0:"), 8 - present), F.lit(":"))
-    filled = F.when(
-        F.contains(text, F.lit("::")),
-        F.trim(
-            F.replace(text, F.lit("::"), F.concat(F.lit(":"), zeros, F.lit(":"))), F.lit(":")
-        ),
-    ).otherwise(text)
-    return F.lower(F.regexp_replace(filled, r"\b0+(?=[0-9a-fA-F])", ""))
-
-
 def _zero_runs_pattern() -> str:
     """Runs of 8 down to 2 zero groups; alternation order makes the longest win.
 
@@ -72,6 +36,7 @@ def _zero_runs_pattern() -> str:
     )
 
 
+_IPV6 = _ipv6_pattern()
 _ZERO_RUNS = _zero_runs_pattern()
 # Groups of the alternatives that did not match are empty, so all can be named.
 _AROUND_RUN = "".join(f"${n}" for n in range(1, 15, 2)) + "::" + "".join(
@@ -79,40 +44,57 @@ _AROUND_RUN = "".join(f"${n}" for n in range(1, 15, 2)) + "::" + "".join(
 )
 
 
-def _compress(groups: Column) -> Column:
-    """Replace the first of the longest runs of two or more zero groups by ``::``."""
-    return F.regexp_replace(F.regexp_replace(groups, _ZERO_RUNS, _AROUND_RUN), ":::+", "::")
+def is_ipv4(text: str) -> str:
+    return rf"{text} RLIKE r'^{_IPV4}\z'"
 
 
-def is_ipv4(text: Column) -> Column:
-    return text.rlike(rf"^{_IPV4}\z")
+def colon_groups(text: str) -> str:
+    """Step 1: texts other than IPv4 and empty ones, without dotted tails.
 
+    A trailing dotted quad is rewritten as two hexadecimal groups.
+    """
+    quad = rf"regexp_extract({text}, r':({_IPV4})\z', 1)"
 
-def colon_groups(text: Column) -> Column:
-    """Step 1: texts other than IPv4 and empty ones, without dotted tails."""
-    return F.when((text != "") & ~is_ipv4(text), _dotted_tail_as_groups(text))
+    def group(high: int) -> str:
+        low = high + 1
+        return (
+            f"lower(hex(CAST(split_part({quad}, '.', {high}) AS INT) * 256"
+            f" + CAST(split_part({quad}, '.', {low}) AS INT)))"
+        )
 
+    return f"""CASE WHEN {text} = '' OR {is_ipv4(text)} THEN NULL
+        WHEN contains({text}, '.') AND {quad} <> ''
+        THEN concat(substring({text}, 1, length({text}) - length({quad})),
+                    {group(1)}, ':', {group(3)})
+        ELSE {text} END"""
 
-def full_groups(colon_grouped: Column) -> Column:
-    """Step 2: all eight groups of a well-formed IPv6 address, else null."""
-    return F.when(colon_grouped.rlike(_IPV6), _all_groups(colon_grouped))
 
+def full_groups(text: str) -> str:
+    """Step 2: all eight groups of a well-formed IPv6 address, else null.
 
-def canonical(text: Column, full: Column) -> Column:
+    ``::`` is spelled out and leading zeros are dropped. n groups carry n - 1
+    colons; ``::`` adds one more, or none where it stands at an end.
+    """
+    present = f"""CASE WHEN {text} = '::' THEN 0 ELSE
+        length({text}) - length(replace({text}, ':'))
+        - CAST(startswith({text}, '::') AS INT) - CAST(endswith({text}, '::') AS INT) END"""
+    zeros = f"repeat('0:', 8 - ({present}))"
+    filled = f"""CASE WHEN contains({text}, '::')
+        THEN trim(':' FROM replace({text}, '::', concat(':', {zeros}))) ELSE {text} END"""
+    return rf"""CASE WHEN {text} RLIKE r'{_IPV6}'
+        THEN lower(regexp_replace({filled}, r'\b0+(?=[0-9a-fA-F])', '')) END"""
+
+
+def canonical(text: str, full: str) -> str:
     """Step 3: IPv4 as ``::ffff:a.b.c.d``, IPv6 compressed, else UNKNOWN."""
-    high = F.split_part(full, F.lit(":"), F.lit(7))
-    low = F.split_part(full, F.lit(":"), F.lit(8))
 
-    def byte(group: Column, start: int) -> Column:
-        return F.conv(F.substring(F.lpad(group, 4, "0"), start, 2), 16, 10)
+    def byte(group: int, start: int) -> str:
+        padded = f"lpad(split_part({full}, ':', {group}), 4, '0')"
+        return f"conv(substring({padded}, {start}, 2), 16, 10)"
 
-    mapped = F.concat(
-        F.lit("::ffff:"),
-        F.concat_ws(".", byte(high, 1), byte(high, 3), byte(low, 1), byte(low, 3)),
-    )
-    return (
-        F.when(is_ipv4(text), F.concat(F.lit("::ffff:"), text))
-        .when(full.isNull(), F.lit(UNKNOWN))
-        .when(F.startswith(full, F.lit("0:0:0:0:0:ffff:")), mapped)
-        .otherwise(_compress(full))
-    )
+    dotted = f"concat_ws('.', {byte(7, 1)}, {byte(7, 3)}, {byte(8, 1)}, {byte(8, 3)})"
+    shortened = f"regexp_replace({full}, r'{_ZERO_RUNS}', '{_AROUND_RUN}')"
+    return f"""CASE WHEN {is_ipv4(text)} THEN concat('::ffff:', {text})
+        WHEN {full} IS NULL THEN '{UNKNOWN}'
+        WHEN startswith({full}, '0:0:0:0:0:ffff:') THEN concat('::ffff:', {dotted})
+        ELSE regexp_replace({shortened}, ':::+', '::') END"""

@@ -1,7 +1,8 @@
 """The quality gate: seven rules over decoded events, and their wording.
 
 Every failure of an event is reported, in rule order. A message that does not
-decode has that one failure only.
+decode has that one failure only. Rules look at the fields of the event and at
+``clock``, the time the message is judged at.
 """
 
 from __future__ import annotations
@@ -20,105 +21,95 @@ BOUNCE_MS = 5000
 
 
 class Rule(NamedTuple):
+    """What fails, in which words; ``failed`` and ``value`` are SQL expressions."""
+
     field: str
     message: str
-    failed: Column
-    value: Column
-
-
-def message_text() -> Column:
-    """The message as text; empty for a tombstone, stray bytes replaced."""
-    return F.coalesce(F.make_valid_utf8(F.col("value").cast("string")), F.lit(""))
-
-
-def undecodable() -> Rule:
-    return Rule("json", "invalid JSON format", ~F.col("decoded"), message_text())
-
-
-def rules(as_of: times.Clock) -> list[Rule]:
-    """The rules for decoded events, in the order failures are reported.
-
-    An event without a time lies before any limit, so it is too old as well.
-    """
-    page, user = F.col("page_id"), F.col("user_id")
-    duration, ts = F.col("view_duration_ms"), F.col("event_ts")
-    shown_duration = duration.cast("string")
-    shown_time = times.display_time(F.col("timestamp_text"))
-    return [
-        Rule("page_id", "page_id cannot be empty", page == "", page),
-        Rule("user_id", "user_id cannot be empty", user == "", user),
-        Rule(
-            "view_duration_ms",
-            "view_duration_ms cannot be negative",
-            duration < 0,
-            shown_duration,
-        ),
-        Rule(
-            "view_duration_ms",
-            "view_duration_ms exceeds maximum (24 hours)",
-            duration > MAX_DURATION_MS,
-            shown_duration,
-        ),
-        Rule(
-            "timestamp",
-            "timestamp cannot be zero",
-            ts.isNull(),
-            shown_time,
-        ),
-        Rule(
-            "timestamp",
-            "timestamp is too far in the future",
-            F.coalesce(ts > times.hours_after(as_of, MAX_AHEAD_HOURS), F.lit(False)),
-            shown_time,
-        ),
-        Rule(
-            "timestamp",
-            "timestamp is too old (more than 30 days)",
-            F.coalesce(ts < times.hours_before(as_of, MAX_AGE_HOURS), F.lit(True)),
-            shown_time,
-        ),
-    ]
-
-
-def is_valid(as_of: times.Clock) -> Column:
-    ok = F.col("decoded")
-    for rule in rules(as_of):
-        ok = ok & ~rule.failed
-    return ok
-
-
-def errors(as_of: times.Clock) -> Column:
+    failed: str
+    value: str
+
+
+_SHOWN_TIME = times.display_time("timestamp_text")
+
+# The message as text; empty for a tombstone, stray bytes replaced.
+MESSAGE_TEXT = "coalesce(make_valid_utf8(CAST(value AS STRING)), '')"
+
+UNDECODABLE = Rule("json", "invalid JSON format", "NOT decoded", MESSAGE_TEXT)
+
+# For decoded events, in the order failures are reported. An event without a
+# time lies before any limit, so it is too old as well.
+RULES = [
+    Rule("page_id", "page_id cannot be empty", "page_id = ''", "page_id"),
+    Rule("user_id", "user_id cannot be empty", "user_id = ''", "user_id"),
+    Rule(
+        "view_duration_ms",
+        "view_duration_ms cannot be negative",
+        "view_duration_ms < 0",
+        "CAST(view_duration_ms AS STRING)",
+    ),
+    Rule(
+        "view_duration_ms",
+        "view_duration_ms exceeds maximum (24 hours)",
+        f"view_duration_ms > {MAX_DURATION_MS}",
+        "CAST(view_duration_ms AS STRING)",
+    ),
+    Rule("timestamp", "timestamp cannot be zero", "event_ts IS NULL", _SHOWN_TIME),
+    Rule(
+        "timestamp",
+        "timestamp is too far in the future",
+        f"coalesce(event_ts > clock + INTERVAL {MAX_AHEAD_HOURS} HOURS, false)",
+        _SHOWN_TIME,
+    ),
+    Rule(
+        "timestamp",
+        "timestamp is too old (more than 30 days)",
+        f"coalesce(event_ts < clock - INTERVAL {MAX_AGE_HOURS} HOURS, true)",
+        _SHOWN_TIME,
+    ),
+]
+
+
+def is_valid() -> Column:
+    return F.expr(" AND ".join(["decoded", *[f"NOT ({rule.failed})" for rule in RULES]]))
+
+
+def errors() -> Column:
     """All failures as ARRAY<STRUCT<field, message, value>>, empty when valid."""
 
-    def entry(rule: Rule) -> Column:
-        return F.struct(
-            F.lit(rule.field).alias("field"),
-            F.lit(rule.message).alias("message"),
-            rule.value.alias("value"),
+    def entry(rule: Rule) -> str:
+        return (
+            f"named_struct('field', '{rule.field}', 'message', '{rule.message}',"
+            f" 'value', {rule.value})"
         )
 
-    found = F.array_compact(F.array(*[F.when(r.failed, entry(r)) for r in rules(as_of)]))
-    return F.when(~F.col("decoded"), F.array(entry(undecodable()))).otherwise(found)
+    found = ", ".join(f"CASE WHEN {r.failed} THEN {entry(r)} END" for r in RULES)
+    return F.expr(
+        f"""CASE WHEN {UNDECODABLE.failed} THEN array({entry(UNDECODABLE)})
+            ELSE array_compact(array({found})) END"""
+    )
 
 
-def describe(rule: Rule) -> Column:
-    """One failure in words."""
-    return F.concat(
-        F.lit(f"validation error: field={rule.field}, message={rule.message}, value="), rule.value
-    )
+def _in_words(rule: Rule) -> str:
+    prefix = f"validation error: field={rule.field}, message={rule.message}, value="
+    return f"concat('{prefix}', {rule.value})"
 
 
-def error_reason(as_of: times.Clock) -> Column:
+def error_reason() -> Column:
     """All failures in words, separated by ``; ``."""
-    found = F.concat_ws("; ", *[F.when(r.failed, describe(r)) for r in rules(as_of)])
-    return F.when(~F.col("decoded"), describe(undecodable())).otherwise(found)
+    found = ", ".join(f"CASE WHEN {r.failed} THEN {_in_words(r)} END" for r in RULES)
+    return F.expr(
+        f"""CASE WHEN {UNDECODABLE.failed} THEN {_in_words(UNDECODABLE)}
+            ELSE concat_ws('; ', {found}) END"""
+    )
 
 
-def event_class(valid: Column) -> Column:
-    """``error``, ``bounce`` or ``normal``."""
-    return F.when(~valid, "error").when(F.col("is_bounce"), "bounce").otherwise("normal")
+def event_class() -> Column:
+    """``error``, ``bounce`` or ``normal`` for a gated message."""
+    return F.expr(
+        "CASE WHEN NOT is_valid THEN 'error' WHEN is_bounce THEN 'bounce' ELSE 'normal' END"
+    )
 
 
 def bounce_mismatch() -> Column:
     """The sender's bounce flag disagrees with the five-second definition."""
-    return F.col("is_bounce").cast("boolean") != (F.col("duration_ms") < BOUNCE_MS)
+    return F.expr(f"CAST(is_bounce AS BOOLEAN) <> (duration_ms < {BOUNCE_MS})")

@@ -1,4 +1,8 @@
-"""Time columns: clocks, buckets, RFC 3339 parsing and display."""
+"""Time expressions: clocks, buckets, RFC 3339 parsing and display.
+
+Functions that take and return ``str`` work on SQL expressions, the others on
+columns.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import functions as F
 
 Clock = Column | datetime | str | None
 
-# The zero time, which an absent timestamp decodes to.
+# The zero time, which an absent timestamp stands for.
 ZERO_TIME = "0001-01-01 00:00:00"
 
 RFC3339 = (
@@ -31,53 +35,39 @@ def hours_before(as_of: Clock, hours: int) -> Column:
     return clock(as_of) - F.make_dt_interval(hours=F.lit(hours))
 
 
-def hours_after(as_of: Clock, hours: int) -> Column:
-    return clock(as_of) + F.make_dt_interval(hours=F.lit(hours))
-
-
-def parse_rfc3339(text: Column) -> Column:
+def parse_rfc3339(text: str) -> str:
     """Instant of an RFC 3339 text, null where the text is anything else.
 
     Digits past the microsecond are cut. The offset is applied by hand because
     RFC 3339 allows offsets up to 23:59 and Spark's own parser only up to 18:00.
     """
-    local = F.try_to_timestamp(F.concat(F.substr(text, F.lit(1), F.length(text) - 6), F.lit("Z")))
-    sign = F.when(F.substring(text, -6, 1) == "-", 1).otherwise(-1)
-    shift = F.make_dt_interval(
-        hours=sign * F.substring(text, -5, 2).cast("int"),
-        mins=sign * F.substring(text, -2, 2).cast("int"),
-    )
-    return F.when(
-        text.rlike(RFC3339),
-        F.when(F.endswith(text, F.lit("Z")), F.try_to_timestamp(text)).otherwise(local + shift),
-    )
-
-
-def format_rfc3339(ts: Column) -> Column:
+    sign = f"CASE WHEN substring({text}, -6, 1) = '-' THEN 1 ELSE -1 END"
+    return f"""CASE WHEN {text} RLIKE r'{RFC3339}' THEN
+        CASE WHEN endswith({text}, 'Z') THEN try_to_timestamp({text})
+        ELSE try_to_timestamp(concat(substring({text}, 1, length({text}) - 6), 'Z'))
+             + make_dt_interval(0, ({sign}) * CAST(substring({text}, -5, 2) AS INT),
+                                   ({sign}) * CAST(substring({text}, -2, 2) AS INT))
+        END END"""
+
+
+def format_rfc3339(ts: str) -> str:
     """UTC RFC 3339 text with the fraction's trailing zeros dropped."""
-    micros = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(F.rtrim(F.rtrim(micros, F.lit("0")), F.lit(".")), F.lit("Z"))
+    micros = f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    return f"concat(rtrim('.', rtrim('0', {micros})), 'Z')"
 
 
-def display_time(text: Column) -> Column:
+def display_time(text: str) -> str:
     """An RFC 3339 text as the error reasons print it.
 
     ``2024-01-15 12:00:00.12 +0000 UTC``: up to nine fraction digits without
     trailing zeros, and a non-zero offset printed twice, once as zone name.
     """
-    fraction = F.rtrim(F.regexp_extract(text, r"(\.\d{1,9})", 1), F.lit("0"))
-    offset = F.regexp_replace(F.substring(text, -6, 6), ":", "")
-    return F.when(text.isNull(), F.lit(f"{ZERO_TIME} +0000 UTC")).otherwise(
-        F.concat(
-            F.substring(text, 1, 10),
-            F.lit(" "),
-            F.substring(text, 12, 8),
-            F.rtrim(fraction, F.lit(".")),
-            F.when(
-                text.rlike(r"(?:Z|[+-]00:00)\z"), F.lit(" +0000 UTC")
-            ).otherwise(F.concat(F.lit(" "), offset, F.lit(" "), offset)),
-        )
-    )
+    fraction = rf"rtrim('.', rtrim('0', regexp_extract({text}, r'(\.\d{{1,9}})', 1)))"
+    offset = f"replace(substring({text}, -6, 6), ':')"
+    return rf"""CASE WHEN {text} IS NULL THEN '{ZERO_TIME} +0000 UTC' ELSE
+        concat(substring({text}, 1, 10), ' ', substring({text}, 12, 8), {fraction},
+               CASE WHEN {text} RLIKE r'(?:Z|[+-]00:00)\z' THEN ' +0000 UTC'
+                    ELSE concat(' ', {offset}, ' ', {offset}) END) END"""
 
 
 def minute(ts: Column) -> Column:

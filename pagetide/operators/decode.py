@@ -8,25 +8,21 @@ Everything else fails as a whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from pagetide.functions import times
 from pagetide.operators.once import once
 from pagetide.schema import EVENT
 
-_PARSER = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_PARSER = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
-_TYPED = T.ArrayType(EVENT)
-_AS_VARIANT = T.ArrayType(
-    T.StructType([T.StructField(f.name, T.VariantType()) for f in EVENT.fields])
-)
+_TYPE = {f.name: f.dataType.simpleString() for f in EVENT.fields}
+_TYPED = "array<struct<" + ",".join(f"{name}:{kind}" for name, kind in _TYPE.items()) + ">>"
+_AS_VARIANT = "array<struct<" + ",".join(f"{name}:variant" for name in _TYPE) + ">>"
 
 _REQUIRED = ["page_id", "user_id", "view_duration_ms", "is_bounce"]
 _OPTIONAL = ["user_agent", "ip_address", "region"]
 _TEXTS = ["page_id", "user_id", *_OPTIONAL]
-_JSON_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT", T.BooleanType(): "BOOLEAN"}
 
 # A text column filled from a JSON number, literal, object or array reads like
 # this; a JSON string may read so too, and is then looked at more closely.
@@ -35,34 +31,58 @@ _MAYBE_NOT_A_STRING = r"(?m)^(?:[{\[]|-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?$|true$|fa
 _ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 _PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
 
-
-def _bracketed(text: Column) -> Column:
-    """The message as first of two array elements, the second holding its hash.
-
-    A parser stops at the end of the first value it reads. Only a message that
-    is one complete value leads it to the closing element; a message that closes
-    the bracket itself would have to contain its own hash.
-    """
-    seal = F.xxhash64(text).cast("string")
-    return F.concat(F.lit("["), text, F.lit(',{"view_duration_ms":'), seal, F.lit("}]"))
-
-
-def _first(parsed: str) -> Column:
-    return F.get(F.col(parsed), F.lit(0))
-
-
-def _seal(parsed: str) -> Column:
-    return F.get(F.col(parsed), F.lit(1))["view_duration_ms"]
-
-
-def _strings_well_formed(text: Column) -> Column:
-    """No string holds a control character or an unknown escape.
-
-    The parser leaves a field null when its string is malformed and reads on,
-    so this is asked wherever a field is null.
-    """
-    rest = F.regexp_replace(F.regexp_replace(text, _ESCAPE, ""), _PLAIN_STRING, "")
-    return ~F.contains(rest, F.lit('"')) & ~F.contains(rest, F.lit("\\"))
+# The message as first of two array elements, the second holding its hash. A
+# parser stops at the end of the first value it reads. Only a message that is
+# one complete value leads it to the closing element; a message that closes the
+# bracket itself would have to contain its own hash.
+_BRACKETED = """concat('[', _text, ',{"view_duration_ms":',
+    CAST(xxhash64(_text) AS STRING), '}]')"""
+
+# No string holds a control character or an unknown escape. The parser leaves a
+# field null when its string is malformed and reads on, so this is asked wherever
+# a field is null.
+_BARE = f"regexp_replace(regexp_replace(_text, r'{_ESCAPE}', ''), r'{_PLAIN_STRING}', '')"
+_STRINGS_WELL_FORMED = rf"""NOT {_BARE} RLIKE r'["\\]'"""
+
+
+def _clear() -> str:
+    """The typed parse can be trusted as it stands."""
+    typed = "get(_typed, 0)"
+    conditions = ["size(_typed) = 2", "get(_typed, 1).view_duration_ms = xxhash64(_text)"]
+    conditions += [f"{typed}.{name} IS NOT NULL" for name in _REQUIRED]
+    texts = ", ".join(f"{typed}.{name}" for name in _TEXTS)
+    conditions.append(f"NOT concat_ws('\\n', {texts}) RLIKE r'{_MAYBE_NOT_A_STRING}'")
+    present = " AND ".join(f"{typed}.{name} IS NOT NULL" for name in ["timestamp", *_OPTIONAL])
+    conditions.append(f"(({present}) OR {_STRINGS_WELL_FORMED})")
+    return f"coalesce({' AND '.join(conditions)}, false)"
+
+
+def _shaped() -> str:
+    """The message is an event by either parse, leaving the time text aside."""
+    seal = "try_variant_get(get(_checked, 1).view_duration_ms, '$', 'bigint')"
+    conditions = ["size(_checked) = 2", f"{seal} = xxhash64(_text)", _STRINGS_WELL_FORMED]
+    conditions += [
+        f"coalesce(schema_of_variant(get(_checked, 0).{name}), 'VOID') IN ('VOID', '{kind.upper()}')"
+        for name, kind in _TYPE.items()
+    ]
+    return f"_clear OR coalesce({' AND '.join(conditions)}, false)"
+
+
+def _field(name: str) -> str:
+    return f"""CASE WHEN _clear THEN get(_typed, 0).{name}
+        WHEN _shaped THEN try_variant_get(get(_checked, 0).{name}, '$', '{_TYPE[name]}') END"""
+
+
+_EVENT = f"""inline(array(named_struct(
+    'decoded', _shaped AND (timestamp_text IS NULL OR _instant IS NOT NULL),
+    'page_id', coalesce({_field('page_id')}, ''),
+    'user_id', coalesce({_field('user_id')}, ''),
+    'view_duration_ms', coalesce({_field('view_duration_ms')}, 0L),
+    'event_ts', nullif(_instant, TIMESTAMP '{times.ZERO_TIME}'),
+    'user_agent', coalesce({_field('user_agent')}, ''),
+    'ip_address', coalesce({_field('ip_address')}, ''),
+    'region', coalesce({_field('region')}, ''),
+    'is_bounce', coalesce({_field('is_bounce')}, false))))"""
 
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -76,53 +96,12 @@ def decode(messages: DataFrame) -> DataFrame:
     number field it left empty, a text that might have been a bare number - are
     parsed again into variants, which remember the JSON type of each field.
     """
-    text = F.col("_text")
-    df = messages.withColumn("_text", F.make_valid_utf8(F.col("value").cast("string")))
-
-    df = once(df, "_typed", F.from_json(_bracketed(text), _TYPED, _PARSER))
-    typed = _first("_typed")
-    clear = (F.size("_typed") == 2) & (_seal("_typed") == F.xxhash64(text))
-    for name in _REQUIRED:
-        clear = clear & typed[name].isNotNull()
-    clear = clear & ~F.concat_ws("\n", *[typed[f] for f in _TEXTS]).rlike(_MAYBE_NOT_A_STRING)
-    all_present = typed["timestamp"].isNotNull()
-    for name in _OPTIONAL:
-        all_present = all_present & typed[name].isNotNull()
-    clear = clear & (all_present | _strings_well_formed(text))
-    df = once(df, "_clear", F.coalesce(clear, F.lit(False)))
-
-    again = F.from_json(_bracketed(text), _AS_VARIANT, _PARSER)
-    df = once(df, "_checked", F.when(~F.col("_clear"), again))
-    checked = _first("_checked")
-    sealed = F.try_variant_get(_seal("_checked"), "$", "bigint") == F.xxhash64(text)
-    shaped = (F.size("_checked") == 2) & sealed & _strings_well_formed(text)
-    for field in EVENT.fields:
-        kind = F.coalesce(F.schema_of_variant(checked[field.name]), F.lit("VOID"))
-        shaped = shaped & kind.isin("VOID", _JSON_TYPE[field.dataType])
-    df = once(df, "_shaped", F.col("_clear") | F.coalesce(shaped, F.lit(False)))
-
-    def field_value(name: str) -> Column:
-        kind = EVENT[name].dataType.simpleString()
-        return F.when(F.col("_clear"), typed[name]).when(
-            F.col("_shaped"), F.try_variant_get(checked[name], "$", kind)
-        )
-
-    df = df.withColumn("timestamp_text", field_value("timestamp"))
-    df = once(df, "_instant", times.parse_rfc3339(F.col("timestamp_text")))
-
-    event = F.struct(
-        (
-            F.col("_shaped") & (F.col("timestamp_text").isNull() | F.col("_instant").isNotNull())
-        ).alias("decoded"),
-        F.coalesce(field_value("page_id"), F.lit("")).alias("page_id"),
-        F.coalesce(field_value("user_id"), F.lit("")).alias("user_id"),
-        F.coalesce(field_value("view_duration_ms"), F.lit(0).cast("bigint")).alias(
-            "view_duration_ms"
-        ),
-        F.nullif(F.col("_instant"), F.lit(times.ZERO_TIME).cast("timestamp")).alias("event_ts"),
-        F.coalesce(field_value("user_agent"), F.lit("")).alias("user_agent"),
-        F.coalesce(field_value("ip_address"), F.lit("")).alias("ip_address"),
-        F.coalesce(field_value("region"), F.lit("")).alias("region"),
-        F.coalesce(field_value("is_bounce"), F.lit(False)).alias("is_bounce"),
-    )
-    return df.select(*messages.columns, "timestamp_text", F.inline(F.array(event)))
+    df = messages.selectExpr("*", "make_valid_utf8(CAST(value AS STRING)) AS _text")
+    df = once(df, "_typed", f"from_json({_BRACKETED}, '{_TYPED}', {_PARSER})")
+    df = once(df, "_clear", _clear())
+    again = f"from_json({_BRACKETED}, '{_AS_VARIANT}', {_PARSER})"
+    df = once(df, "_checked", f"CASE WHEN NOT _clear THEN {again} END")
+    df = once(df, "_shaped", _shaped())
+    df = df.selectExpr("*", f"{_field('timestamp')} AS timestamp_text")
+    df = once(df, "_instant", times.parse_rfc3339("timestamp_text"))
+    return df.selectExpr(*[f"`{name}`" for name in messages.columns], "timestamp_text", _EVENT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetide.functions import ip, quality, times
@@ -11,80 +11,70 @@ from pagetide.operators.once import once
 from pagetide.schema import ERROR_ROUTE, ERRORS, LOG, RAW, RAW_ROUTE
 
 
-def gate(messages: DataFrame, as_of: times.Clock) -> DataFrame:
-    """Decoded messages with the gate's verdict in ``is_valid``."""
-    return decode(messages).withColumn("is_valid", quality.is_valid(as_of))
+def gate(messages: DataFrame, as_of: times.Clock = None) -> DataFrame:
+    """Decoded messages with ``clock`` and the gate's verdict in ``is_valid``."""
+    clocked = decode(messages).withColumn("clock", times.clock(as_of))
+    return clocked.withColumn("is_valid", quality.is_valid())
 
 
 def with_canonical_ip(df: DataFrame) -> DataFrame:
     """Replace ``ip_address`` by its canonical IPv6 text."""
-    text = F.col("ip_address")
-    staged = once(df, "_ip_groups", ip.colon_groups(text))
-    staged = once(staged, "_ip_full", ip.full_groups(F.col("_ip_groups")))
-    return staged.withColumn("ip_address", ip.canonical(text, F.col("_ip_full"))).drop(
-        "_ip_groups", "_ip_full"
-    )
-
-
-def _raw_columns(as_of: times.Clock) -> dict[str, Column]:
-    event_time = F.date_trunc("millisecond", F.col("event_ts"))
-    return {
-        "event_date": F.to_date(F.col("event_ts")),
-        "event_time": event_time,
-        "page_id": F.col("page_id"),
-        "user_id": F.col("user_id"),
-        "duration_ms": F.col("view_duration_ms"),
-        "user_agent": F.col("user_agent"),
-        "ip_address": F.col("ip_address"),
-        "region": F.col("region"),
-        "is_bounce": F.col("is_bounce").cast("tinyint"),
-        "kafka_offset": F.col("offset"),
-        "kafka_partition": F.col("partition"),
-        "processed_time": F.date_trunc("second", times.clock(as_of)),
-    }
-
-
-def _error_columns(as_of: times.Clock) -> dict[str, Column]:
-    return {
-        "error_time": F.date_trunc("second", times.clock(as_of)),
-        "raw_message": quality.message_text(),
-        "error_reason": quality.error_reason(as_of),
-        "kafka_offset": F.col("offset"),
-        "kafka_partition": F.col("partition"),
-    }
-
-
-def raw_rows(gated: DataFrame, as_of: times.Clock) -> DataFrame:
+    staged = once(df, "_ip_groups", ip.colon_groups("ip_address"))
+    staged = once(staged, "_ip_full", ip.full_groups("_ip_groups"))
+    canonical = F.expr(ip.canonical("ip_address", "_ip_full"))
+    return staged.withColumn("ip_address", canonical).drop("_ip_groups", "_ip_full")
+
+
+_RAW = {
+    "event_date": "to_date(event_ts)",
+    "event_time": "date_trunc('millisecond', event_ts)",
+    "page_id": "page_id",
+    "user_id": "user_id",
+    "duration_ms": "view_duration_ms",
+    "user_agent": "user_agent",
+    "ip_address": "ip_address",
+    "region": "region",
+    "is_bounce": "CAST(is_bounce AS TINYINT)",
+    "kafka_offset": "offset",
+    "kafka_partition": "partition",
+    "processed_time": "date_trunc('second', clock)",
+}
+
+_ERRORS = {
+    "error_time": "date_trunc('second', clock)",
+    "raw_message": quality.MESSAGE_TEXT,
+    "error_reason": "error_reason",
+    "kafka_offset": "offset",
+    "kafka_partition": "partition",
+}
+
+
+def raw_rows(gated: DataFrame) -> DataFrame:
     """Valid events in the shape of the raw table."""
-    columns = _raw_columns(as_of)
     valid = with_canonical_ip(gated.filter("is_valid"))
-    return valid.select(*[columns[name].alias(name) for name in RAW.fieldNames()])
+    return valid.selectExpr(*[f"{_RAW[name]} AS {name}" for name in RAW.fieldNames()])
 
 
-def error_rows(gated: DataFrame, as_of: times.Clock) -> DataFrame:
+def error_rows(gated: DataFrame) -> DataFrame:
     """Rejected messages with their reasons, in the shape of the error table."""
-    columns = _error_columns(as_of)
-    return gated.filter("NOT is_valid").select(
-        *[columns[name].alias(name) for name in ERRORS.fieldNames()]
-    )
+    rejected = gated.filter("NOT is_valid").withColumn("error_reason", quality.error_reason())
+    return rejected.selectExpr(*[f"{_ERRORS[name]} AS {name}" for name in ERRORS.fieldNames()])
 
 
-def routed_rows(gated: DataFrame, as_of: times.Clock) -> DataFrame:
+def routed_rows(gated: DataFrame) -> DataFrame:
     """Both outcomes in one pass, in the shape of the stored log.
 
     ``month`` is the event's month for valid rows and the month of rejection for
     errors.
     """
-    valid = F.col("is_valid")
-    raw, rejected = _raw_columns(as_of), _error_columns(as_of)
-    staged = once(with_canonical_ip(gated), "_reason", F.when(~valid, rejected["error_reason"]))
-    rejected["error_reason"] = F.col("_reason")
-    month = times.month(F.when(valid, raw["event_date"]).otherwise(rejected["error_time"]))
-    columns = {name: F.when(valid, value) for name, value in raw.items()}
-    columns |= {name: F.when(~valid, value) for name, value in rejected.items()}
-    for shared in ("kafka_offset", "kafka_partition"):
-        columns[shared] = raw[shared]
-    columns["route"] = F.when(valid, RAW_ROUTE).otherwise(ERROR_ROUTE)
-    columns["month"] = month
+    reasoned = gated.withColumn("_reason", quality.error_reason())
+    staged = once(with_canonical_ip(reasoned), "error_reason", "CASE WHEN NOT is_valid THEN _reason END")
+    columns = {name: f"CASE WHEN is_valid THEN {sql} END" for name, sql in _RAW.items()}
+    columns |= {name: f"CASE WHEN NOT is_valid THEN {sql} END" for name, sql in _ERRORS.items()}
+    columns["kafka_offset"] = "offset"
+    columns["kafka_partition"] = "partition"
+    columns["route"] = f"CASE WHEN is_valid THEN '{RAW_ROUTE}' ELSE '{ERROR_ROUTE}' END"
+    day = f"CASE WHEN is_valid THEN {_RAW['event_date']} ELSE to_date(clock) END"
+    columns["month"] = f"year({day}) * 100 + month({day})"
     names = [name for name in LOG.fieldNames() if name in columns]
-    return staged.select(*[columns[name].alias(name) for name in names])
+    return staged.selectExpr(*[f"{columns[name]} AS {name}" for name in names])

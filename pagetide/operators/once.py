@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+def once(df: DataFrame, name: str, sql: str) -> DataFrame:
     """Add a column that is computed once per row, whatever is filtered above.
 
     The optimizer pushes filters below projections by repeating the projected
@@ -14,4 +13,4 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     operator repeats an expression for each use inside conditions. Naming a
     costly intermediate result this way avoids both.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    return df.selectExpr("*", f"explode(array({sql})) AS {name}")

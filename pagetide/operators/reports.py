@@ -54,9 +54,9 @@ def ingest_counts() -> list[Column]:
     ]
 
 
-def ingest_status(gated: DataFrame, as_of: times.Clock) -> DataFrame:
+def ingest_status(gated: DataFrame) -> DataFrame:
     return gated.agg(
-        *ingest_counts(), F.max(F.date_trunc("second", times.clock(as_of))).alias("last_insert_time")
+        *ingest_counts(), F.max(F.date_trunc("second", "clock")).alias("last_insert_time")
     )
 
 
@@ -135,7 +135,7 @@ def _mix(gated: DataFrame, labels: dict[str, tuple[Column, list[str]]]) -> DataF
 
 def event_mix(gated: DataFrame) -> DataFrame:
     """Events by class: normal, bounce, error."""
-    return _mix(gated, {"event_class": (quality.event_class(F.col("is_valid")), _CLASSES)})
+    return _mix(gated, {"event_class": (quality.event_class(), _CLASSES)})
 
 
 def event_mix_by_period(gated: DataFrame) -> DataFrame:
@@ -144,14 +144,14 @@ def event_mix_by_period(gated: DataFrame) -> DataFrame:
         gated,
         {
             "period": (times.traffic_period(F.col("timestamp")), _PERIODS),
-            "event_class": (quality.event_class(F.col("is_valid")), _CLASSES),
+            "event_class": (quality.event_class(), _CLASSES),
         },
     )
 
 
-def failures_by_rule(gated: DataFrame, as_of: times.Clock) -> DataFrame:
+def failures_by_rule(gated: DataFrame) -> DataFrame:
     """How often each rule failed; an event counts for every rule it fails."""
-    failed = gated.filter("NOT is_valid").select(F.explode(quality.errors(as_of)).alias("error"))
+    failed = gated.filter("NOT is_valid").select(F.explode(quality.errors()).alias("error"))
     return failed.groupBy(
         F.col("error.field").alias("field"), F.col("error.message").alias("message")
     ).agg(F.count(F.lit(1)).alias("failures"))

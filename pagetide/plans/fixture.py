@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetide.functions import event_json, times
+from pagetide.functions import event_json
 from pagetide.schema import MESSAGE
 
 TOPIC = "page-views"
@@ -36,76 +36,54 @@ def source_events(
         rows = rows.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         rows = rows.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
-    rows = rows.select(
+    # A single small file arrives as one split; all cores should decode it.
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores, "event_id")
+    rows = rows.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        F.col("user_id").alias("uid"),
+        "CAST(ts AS TIMESTAMP) AS event_ts",
+        "user_id AS uid",
         "event_type",
-        F.round(F.col("value") * 1000).cast("bigint").alias("ms"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "CAST(round(value * 1000) AS BIGINT) AS ms",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    k, uid, ms = F.col("k"), F.col("uid"), F.col("ms")
-    kind = F.when(F.col("event_type") == "error", k % 3).otherwise(-1)
-    v6 = F.concat(F.lit("2001:0DB8:0000:0000:0000:0000:0000:"), F.lpad(F.hex(k + 1), 4, "0"))
-    v4 = F.concat(F.lit("10.0."), (uid % 256).cast("string"), F.lit("."), k.cast("string"))
+    kind = "CASE WHEN event_type = 'error' THEN k % 3 ELSE -1 END"
+    regions = ", ".join(f"'{region}'" for region in REGIONS)
     # Clients of one event type call everything below six seconds a bounce.
-    bounce_below = F.when(F.col("event_type") == "signup", 6000).otherwise(5000)
-    return rows.select(
+    return rows.selectExpr("*", f"{kind} AS kind").selectExpr(
         "event_id",
         "event_type",
         "event_ts",
         "k",
-        kind.alias("kind"),
-        F.when(kind == 0, "")
-        .otherwise(F.concat(F.lit("page_"), (k % 10).cast("string")))
-        .alias("page_id"),
-        F.concat(F.lit("user_"), uid.cast("string")).alias("user_id"),
-        F.when(kind == 1, -ms).otherwise(ms).alias("view_duration_ms"),
-        F.when(k % 7 == 0, "").otherwise(USER_AGENT).alias("user_agent"),
-        F.when(k == 99, "not-an-ip").when(k % 5 == 0, v6).otherwise(v4).alias("ip_address"),
-        F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (uid % 6 + 1).cast("int")).alias(
-            "region"
-        ),
-        (ms < bounce_below).alias("is_bounce"),
+        "kind",
+        "CASE WHEN kind = 0 THEN '' ELSE concat('page_', k % 10) END AS page_id",
+        "concat('user_', uid) AS user_id",
+        "CASE WHEN kind = 1 THEN -ms ELSE ms END AS view_duration_ms",
+        f"CASE WHEN k % 7 = 0 THEN '' ELSE '{USER_AGENT}' END AS user_agent",
+        """CASE WHEN k = 99 THEN 'not-an-ip'
+            WHEN k % 5 = 0
+            THEN concat('2001:0DB8:0000:0000:0000:0000:0000:', lpad(hex(k + 1), 4, '0'))
+            ELSE concat('10.0.', uid % 256, '.', k) END AS ip_address""",
+        f"element_at(array({regions}), CAST(uid % 6 + 1 AS INT)) AS region",
+        "ms < CASE WHEN event_type = 'signup' THEN 6000 ELSE 5000 END AS is_bounce",
     )
 
 
-def _broken_json() -> Column:
-    return F.concat(
-        F.lit('{"page_id":"'),
-        F.col("page_id"),
-        F.lit('","user_id":"'),
-        F.col("user_id"),
-        F.lit('","view_duration_ms":'),
-        F.col("view_duration_ms").cast("string"),
-        F.lit(',"timestamp":INVALID'),
-    )
+BROKEN_JSON = """concat('{"page_id":"', page_id, '","user_id":"', user_id,
+    '","view_duration_ms":', view_duration_ms, ',"timestamp":INVALID')"""
 
 
-def messages_of(source: DataFrame, offset: Column | None = None) -> DataFrame:
+def messages_of(source: DataFrame, offset: str = "event_id") -> DataFrame:
     """Source rows as broker messages; every third error is broken JSON."""
-    value = event_json.encode(
-        *[
-            F.col(name)
-            for name in (
-                "page_id",
-                "user_id",
-                "view_duration_ms",
-                "event_ts",
-                "user_agent",
-                "ip_address",
-                "region",
-                "is_bounce",
-            )
-        ]
-    )
+    encoded = event_json.encode()
     return source.select(
-        F.when(F.col("kind") == 2, _broken_json()).otherwise(value).alias("value"),
+        F.when(F.col("kind") == 2, F.expr(BROKEN_JSON)).otherwise(encoded).alias("value"),
         F.lit(TOPIC).alias("topic"),
-        (F.col("k") % 4).alias("partition"),
-        (F.col("event_id") if offset is None else offset).alias("offset"),
+        F.expr("k % 4").alias("partition"),
+        F.expr(offset).alias("offset"),
         F.col("event_ts").alias("timestamp"),
-    ).select(*MESSAGE.fieldNames())
+    )
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +101,7 @@ def resent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = source_events(spark, sf_dir)
     again = source.filter(F.col("event_type") == "signup")
     return messages_of(source).unionByName(
-        messages_of(again, F.col("event_id") + F.lit(RESEND_OFFSET))
+        messages_of(again, f"event_id + {RESEND_OFFSET}")
     )
 
 

@@ -52,11 +52,11 @@ def _gated(spark: SparkSession, sf_dir: str, as_of: str = fixture.MAIN) -> DataF
 
 
 def _raw(spark: SparkSession, sf_dir: str, as_of: str = fixture.MAIN) -> DataFrame:
-    return events.raw_rows(_gated(spark, sf_dir, as_of), as_of)
+    return events.raw_rows(_gated(spark, sf_dir, as_of))
 
 
 def _errors(spark: SparkSession, sf_dir: str, as_of: str = fixture.MAIN) -> DataFrame:
-    return events.error_rows(_gated(spark, sf_dir, as_of), as_of)
+    return events.error_rows(_gated(spark, sf_dir, as_of))
 
 
 # Gate and row shapes
@@ -93,12 +93,12 @@ def dead_letters_old(spark, sf_dir):
 
 @query
 def failures_by_rule(spark, sf_dir):
-    return reports.failures_by_rule(_gated(spark, sf_dir), fixture.MAIN)
+    return reports.failures_by_rule(_gated(spark, sf_dir))
 
 
 @query
 def failures_by_rule_late(spark, sf_dir):
-    return reports.failures_by_rule(_gated(spark, sf_dir, fixture.LATE), fixture.LATE)
+    return reports.failures_by_rule(_gated(spark, sf_dir, fixture.LATE))
 
 
 @query
@@ -213,7 +213,7 @@ def consumer_lag(spark, sf_dir):
 
 @query
 def ingest_status(spark, sf_dir):
-    return reports.ingest_status(_gated(spark, sf_dir), fixture.MAIN)
+    return reports.ingest_status(_gated(spark, sf_dir))
 
 
 @query
@@ -276,7 +276,7 @@ def ingest_lag_histogram(spark, sf_dir):
 
 def _resent_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     gated = events.gate(fixture.resent_messages(spark, sf_dir), fixture.MAIN)
-    return events.raw_rows(gated, fixture.MAIN)
+    return events.raw_rows(gated)
 
 
 @query
@@ -293,7 +293,7 @@ def dedup_content(spark, sf_dir):
 def dedup_replay(spark, sf_dir):
     once_each = dedup.drop_replays(fixture.replayed_messages(spark, sf_dir))
     gated = events.gate(once_each, fixture.MAIN)
-    return events.raw_rows(gated, fixture.MAIN).select(
+    return events.raw_rows(gated).select(
         "kafka_partition", "kafka_offset", "event_time", "page_id", "user_id", "duration_ms"
     )
 

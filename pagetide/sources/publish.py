@@ -49,21 +49,6 @@ def message_key(strategy: Column) -> Column:
 def publish_rows(events: DataFrame, strategy: Column | None = None) -> DataFrame:
     """Events in the shape the Kafka sink writes, keyed by page by default."""
     strategy = F.lit(BY_PAGE) if strategy is None else strategy
-    value = event_json.encode(
-        *[
-            F.col(name)
-            for name in (
-                "page_id",
-                "user_id",
-                "view_duration_ms",
-                "event_ts",
-                "user_agent",
-                "ip_address",
-                "region",
-                "is_bounce",
-            )
-        ]
-    )
     headers = F.array(
         *[
             F.struct(F.lit(name).alias("key"), F.lit(text).cast("binary").alias("value"))
@@ -72,7 +57,7 @@ def publish_rows(events: DataFrame, strategy: Column | None = None) -> DataFrame
     )
     return events.select(
         message_key(strategy).alias("key"),
-        value.alias("value"),
+        event_json.encode().alias("value"),
         headers.alias("headers"),
         F.col("event_ts").alias("timestamp"),
     )

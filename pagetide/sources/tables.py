@@ -68,17 +68,17 @@ def create_directories(spark: SparkSession, tables: Tables) -> None:
         files.make_directory(spark, path)
 
 
-def write_log(gated: DataFrame, tables: Tables, batch_id: int, as_of: times.Clock) -> None:
+def write_log(routed: DataFrame, tables: Tables, batch_id: int) -> None:
     """Store valid events and rejected messages of one batch, in one pass.
 
     Sorted within each task, so that row-group statistics can skip.
     """
-    spark = gated.sparkSession
+    spark = routed.sparkSession
     for route in (RAW_ROUTE, ERROR_ROUTE):
         files.delete(spark, f"{tables.log(route)}/batch_id={batch_id}")
-    rows = events.routed_rows(gated, as_of).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
-        rows.sortWithinPartitions("route", "batch_id", "month", "event_date", "page_id", "user_id")
+        routed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .sortWithinPartitions("route", "batch_id", "month", "event_date", "page_id", "user_id")
         .write.mode("append")
         .options(**tables.writer_options())
         .partitionBy("route", "batch_id", "month")
@@ -139,7 +139,8 @@ def ingest_batch(messages: DataFrame, batch_id: int, tables: Tables, as_of: time
 
     Running a batch again replaces what it wrote before.
     """
-    write_log(events.gate(messages, as_of), tables, batch_id, as_of)
+    gated = events.gate(messages, as_of)
+    write_log(events.routed_rows(gated), tables, batch_id)
     write_batch_states(messages.sparkSession, tables, batch_id)
 
 

@@ -8,7 +8,6 @@ window until the gate calls it too old.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagetide.functions import times
@@ -52,15 +51,14 @@ def start_ingest(
     ``trigger`` is passed on; ``availableNow=True`` drains the topic and stops.
     """
     stored.create_directories(messages.sparkSession, tables)
-    clocked = messages.withColumn("_clock", times.clock(as_of))
-    gated = events.gate(clocked, F.col("_clock"))
-    watched = gated.observe("ingest", *reports.ingest_counts())
+    gated = events.gate(messages, as_of)
+    routed = events.routed_rows(gated.observe("ingest", *reports.ingest_counts()))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stored.write_log(batch, tables, batch_id, F.col("_clock"))
+        stored.write_log(batch, tables, batch_id)
         stored.write_batch_states(batch.sparkSession, tables, batch_id)
 
-    writer = watched.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = routed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
     return writer.trigger(**trigger).start()

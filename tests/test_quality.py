@@ -78,8 +78,8 @@ CASES = {
 @pytest.fixture(scope="module")
 def gated(spark):
     rows = events.gate(messages(spark, [v for v, _ in CASES.values()]), NOW)
-    return rows.withColumn("reason", quality.error_reason(NOW)).withColumn(
-        "errors", quality.errors(NOW)
+    return rows.withColumn("reason", quality.error_reason()).withColumn(
+        "errors", quality.errors()
     )
 
 
@@ -93,8 +93,8 @@ def test_verdicts_and_reasons(gated):
 
 
 def test_every_message_goes_to_exactly_one_table(spark, gated):
-    raw = events.raw_rows(gated, NOW).count()
-    errors = events.error_rows(gated, NOW).count()
+    raw = events.raw_rows(gated).count()
+    errors = events.error_rows(gated).count()
     assert raw == sum(expected is None for _, expected in CASES.values())
     assert raw + errors == len(CASES)
 
@@ -104,7 +104,7 @@ def test_raw_shape(spark):
         timestamp="2024-01-30T23:59:59.9876543Z", ip_address="bad", is_bounce=True, region=...
     )
     gated = events.gate(messages(spark, [sent], partition=2, start=7), "2024-01-31 00:00:01.75")
-    row = events.raw_rows(gated, "2024-01-31 00:00:01.75").first()
+    row = events.raw_rows(gated).first()
     assert str(row.event_date) == "2024-01-30"
     assert str(row.event_time) == "2024-01-30 23:59:59.987000"
     assert (row.duration_ms, row.ip_address, row.region, row.is_bounce) == (
@@ -119,16 +119,16 @@ def test_raw_shape(spark):
 
 def test_error_shape(spark):
     gated = events.gate(messages(spark, ["x", None], partition=1, start=4), NOW)
-    first, second = events.error_rows(gated, NOW).orderBy("kafka_offset").collect()
+    first, second = events.error_rows(gated).orderBy("kafka_offset").collect()
     assert (first.raw_message, first.kafka_offset, first.kafka_partition) == ("x", 4, 1)
     assert second.raw_message == ""
     assert str(first.error_time) == "2024-01-31 00:00:00"
 
 
 def test_routed_rows_hold_both_tables(spark, gated):
-    routed = events.routed_rows(gated, NOW)
-    raw = events.raw_rows(gated, NOW)
-    errors = events.error_rows(gated, NOW)
+    routed = events.routed_rows(gated)
+    raw = events.raw_rows(gated)
+    errors = events.error_rows(gated)
     from helpers import multiset
 
     assert multiset(routed.filter("route = 'raw'").select(*raw.columns)) == multiset(raw)
@@ -139,5 +139,5 @@ def test_event_classes(spark):
     rows = events.gate(messages(spark, [event(), event(is_bounce=True), "x"]), NOW)
     from pyspark.sql import functions as F
 
-    found = rows.orderBy("offset").select(quality.event_class(F.col("is_valid"))).collect()
+    found = rows.orderBy("offset").select(quality.event_class()).collect()
     assert [r[0] for r in found] == ["normal", "bounce", "error"]

@@ -50,9 +50,9 @@ def plan(df):
 def test_messages_are_parsed_once(spark, sf_dir):
     gated = events.gate(fixture.messages(spark, sf_dir), fixture.MAIN)
     for df in (
-        events.raw_rows(gated, fixture.MAIN),
-        events.error_rows(gated, fixture.MAIN),
-        rollup.exact_aggregates(events.raw_rows(gated, fixture.MAIN), times.hour),
+        events.raw_rows(gated),
+        events.error_rows(gated),
+        rollup.exact_aggregates(events.raw_rows(gated), times.hour),
     ):
         text = plan(df)
         assert text.count("from_json(ArrayType(StructType(StructField(page_id,StringType") == 1
@@ -62,11 +62,11 @@ def test_messages_are_parsed_once(spark, sf_dir):
 
 def test_shuffles(spark, sf_dir):
     gated = events.gate(fixture.messages(spark, sf_dir), fixture.MAIN)
-    raw = events.raw_rows(gated, fixture.MAIN)
+    raw = events.raw_rows(gated)
     assert plan(raw).count("Exchange") == 0
     assert plan(rollup.minute_states(raw)).count("Exchange hashpartitioning") == 1
     assert "TakeOrderedAndProject" in plan(
-        queries.latest_errors(events.error_rows(gated, fixture.MAIN))
+        queries.latest_errors(events.error_rows(gated))
     )
 
 

@@ -14,16 +14,16 @@ def gated(spark, values):
 
 def test_status_and_health_of_nothing(spark):
     empty = gated(spark, [event()]).limit(0)
-    status = reports.ingest_status(empty, NOW).first()
+    status = reports.ingest_status(empty).first()
     assert (status.messages_processed, status.valid_messages, status.invalid_messages) == (0, 0, 0)
     health = reports.health(empty).first()
     assert (health.status, health.issues, health.invalid_rate) == ("healthy", "", 0.0)
     assert reports.event_mix(empty).count() == 0
-    assert reports.failures_by_rule(empty, NOW).count() == 0
+    assert reports.failures_by_rule(empty).count() == 0
 
 
 def test_status(spark):
-    row = reports.ingest_status(gated(spark, [event(), "x", event(page_id="")]), NOW).first()
+    row = reports.ingest_status(gated(spark, [event(), "x", event(page_id="")])).first()
     assert (row.messages_processed, row.valid_messages, row.invalid_messages) == (3, 1, 2)
     assert row.last_consume_time == datetime(2024, 1, 30, 12)
     assert row.last_insert_time == datetime(2024, 1, 31)
@@ -70,7 +70,7 @@ def test_event_mix(spark):
 def test_failures_by_rule(spark):
     rows = gated(spark, ["x", "y", event(page_id="", user_id=""), event(timestamp=...)])
     found = {
-        r.message: r.failures for r in reports.failures_by_rule(rows, NOW).collect()
+        r.message: r.failures for r in reports.failures_by_rule(rows).collect()
     }
     assert found == {
         "invalid JSON format": 2,
@@ -92,7 +92,7 @@ def test_repeats(spark):
     rows = messages(spark, sent)
     twice = rows.unionByName(rows)
     assert multiset(dedup.drop_replays(twice)) == multiset(rows)
-    raw = events.raw_rows(events.gate(rows, NOW), NOW)
+    raw = events.raw_rows(events.gate(rows, NOW))
     assert {r.copies for r in dedup.duplicate_events(raw).collect()} == {3}
     kept = dedup.drop_resends(raw).orderBy("kafka_offset").collect()
     assert [r.kafka_offset for r in kept] == [0, 1, 2]

@@ -23,7 +23,7 @@ def folder(spark):
 
 
 def batch_raw(spark, sf_dir):
-    return events.raw_rows(events.gate(fixture.messages(spark, sf_dir), NOW), NOW)
+    return events.raw_rows(events.gate(fixture.messages(spark, sf_dir), NOW))
 
 
 def stream_in(spark, sf_dir, folder, slices, files_per_batch=2):

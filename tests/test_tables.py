@@ -44,10 +44,10 @@ def contents(spark, tables):
 def test_tables_hold_what_the_operators_make(spark, tables, source):
     fill(source, tables)
     gated = events.gate(source, NOW)
-    raw = events.raw_rows(gated, NOW)
+    raw = events.raw_rows(gated)
     columns = raw.columns
     assert multiset(stored.read_raw(spark, tables).select(*columns)) == multiset(raw)
-    errors = events.error_rows(gated, NOW)
+    errors = events.error_rows(gated)
     assert multiset(stored.read_errors(spark, tables).select(*errors.columns)) == multiset(errors)
     minutes = rollup.exact_aggregates(raw, times.minute)
     assert multiset(rollup.minute_aggregates(stored.read_states(spark, tables))) == multiset(minutes)
