@@ -1,9 +1,10 @@
 """Strict decoding of messages into typed events.
 
 Accepts exactly one JSON object (or ``null``) per message, whose known fields
-hold the right JSON type or null. Unknown fields are ignored, the last of
-repeated keys is the one that counts, and keys are matched in exact case.
-Everything else fails as a whole.
+hold the right JSON type or null. Unknown fields are ignored and the last of
+repeated keys is the one that counts. Keys match in any case, but where a message
+spells a key both exactly and otherwise, the exact one counts. Everything else
+fails as a whole.
 """
 
 from __future__ import annotations
@@ -31,12 +32,9 @@ _MAYBE_NOT_A_STRING = r"(?m)^(?:[{\[]|-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?$|true$|fa
 _ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 _PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
 
-# The message as first of two array elements, the second holding its hash. A
-# parser stops at the end of the first value it reads. Only a message that is
-# one complete value leads it to the closing element; a message that closes the
-# bracket itself would have to contain its own hash.
-_BRACKETED = """concat('[', _text, ',{"view_duration_ms":',
-    CAST(xxhash64(_text) AS STRING), '}]')"""
+# A key spelled in other than lower case, among those a message may lack.
+_UNEXACT_KEYS = "|".join(["timestamp", *_OPTIONAL])
+_UNEXACT_KEY = rf'"(?!(?:{_UNEXACT_KEYS})")(?i:{_UNEXACT_KEYS})"\s*:'
 
 # No string holds a control character or an unknown escape. The parser leaves a
 # field null when its string is malformed and reads on, so this is asked wherever
@@ -45,6 +43,25 @@ _BARE = f"regexp_replace(regexp_replace(_text, r'{_ESCAPE}', ''), r'{_PLAIN_STRI
 _STRINGS_WELL_FORMED = rf"""NOT {_BARE} RLIKE r'["\\]'"""
 
 
+def _bracketed(text: str) -> str:
+    """The message as first of two array elements, the second holding its hash.
+
+    A parser stops at the end of the first value it reads. Only a message that
+    is one complete value leads it to the closing element; a message that closes
+    the bracket itself would have to contain its own hash.
+    """
+    seal = "CAST(xxhash64(_text) AS STRING)"
+    return f"""concat('[', {text}, ',{{"view_duration_ms":', {seal}, '}}]')"""
+
+
+def _exact_keys() -> str:
+    """The message with the known keys in lower case."""
+    text = "_text"
+    for name in _TYPE:
+        text = rf'''regexp_replace({text}, r'"(?i:{name})"(\s*:)', '"{name}"$1')'''
+    return text
+
+
 def _clear() -> str:
     """The typed parse can be trusted as it stands."""
     typed = "get(_typed, 0)"
@@ -53,7 +70,8 @@ def _clear() -> str:
     texts = ", ".join(f"{typed}.{name}" for name in _TEXTS)
     conditions.append(f"NOT concat_ws('\\n', {texts}) RLIKE r'{_MAYBE_NOT_A_STRING}'")
     present = " AND ".join(f"{typed}.{name} IS NOT NULL" for name in ["timestamp", *_OPTIONAL])
-    conditions.append(f"(({present}) OR {_STRINGS_WELL_FORMED})")
+    lacking = f"{_STRINGS_WELL_FORMED} AND NOT _text RLIKE r'{_UNEXACT_KEY}'"
+    conditions.append(f"(({present}) OR ({lacking}))")
     return f"coalesce({' AND '.join(conditions)}, false)"
 
 
@@ -93,13 +111,13 @@ def decode(messages: DataFrame) -> DataFrame:
     Where ``decoded`` is false the fields mean nothing.
 
     One typed parse serves nearly all messages. Those it cannot vouch for - a
-    number field it left empty, a text that might have been a bare number - are
-    parsed again into variants, which remember the JSON type of each field.
+    field it left empty, a text that might have been a bare number - are parsed
+    again into variants, which remember the JSON type of each field.
     """
     df = messages.selectExpr("*", "make_valid_utf8(CAST(value AS STRING)) AS _text")
-    df = once(df, "_typed", f"from_json({_BRACKETED}, '{_TYPED}', {_PARSER})")
+    df = once(df, "_typed", f"from_json({_bracketed('_text')}, '{_TYPED}', {_PARSER})")
     df = once(df, "_clear", _clear())
-    again = f"from_json({_BRACKETED}, '{_AS_VARIANT}', {_PARSER})"
+    again = f"from_json({_bracketed(_exact_keys())}, '{_AS_VARIANT}', {_PARSER})"
     df = once(df, "_checked", f"CASE WHEN NOT _clear THEN {again} END")
     df = once(df, "_shaped", _shaped())
     df = df.selectExpr("*", f"{_field('timestamp')} AS timestamp_text")

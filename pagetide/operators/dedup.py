@@ -40,8 +40,12 @@ def duplicate_events(raw: DataFrame) -> DataFrame:
 
 
 def drop_resends(raw: DataFrame) -> DataFrame:
-    """One row per event content, the one with the lowest partition and offset."""
-    kept = raw.groupBy(*CONTENT).agg(
+    """One row per event content, the one with the lowest partition and offset.
+
+    A minimum over two columns makes Spark aggregate by sorting; leading with a
+    hash lets that sort compare numbers instead of eight columns.
+    """
+    kept = raw.groupBy(F.xxhash64(*CONTENT).alias("_hash"), *CONTENT).agg(
         F.min(F.struct("kafka_partition", "kafka_offset")).alias("kept")
     )
     return kept.select(*CONTENT, "kept.kafka_partition", "kept.kafka_offset")

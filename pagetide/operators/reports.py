@@ -182,6 +182,20 @@ def ingest_lag_seconds() -> Column:
     ) / 1000000.0
 
 
+def writer_status(raw: DataFrame, errors: DataFrame) -> DataFrame:
+    """What has been stored: rows by table, batches, and when last."""
+    both = raw.select("batch_id", F.lit(1).alias("raw"), F.col("processed_time").alias("at"))
+    both = both.unionByName(
+        errors.select("batch_id", F.lit(0).alias("raw"), F.col("error_time").alias("at"))
+    )
+    return both.agg(
+        F.count_if(F.col("raw") == 1).alias("raw_inserted"),
+        F.count_if(F.col("raw") == 0).alias("errors_inserted"),
+        F.count_distinct("batch_id").alias("flush_count"),
+        F.max("at").alias("last_insert_time"),
+    )
+
+
 def row_count(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(table).alias("table_name"), "row_count"

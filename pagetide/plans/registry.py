@@ -243,6 +243,15 @@ def table_counts(spark, sf_dir):
     )
 
 
+@query
+def writer_status(spark, sf_dir):
+    """Stored rows, batches and latest write of tables filled in four batches."""
+    tables = _stored_in_parts(spark, sf_dir)
+    return reports.writer_status(
+        stored.read_raw(spark, tables), stored.read_errors(spark, tables)
+    )
+
+
 @query
 def event_mix(spark, sf_dir):
     return reports.event_mix(_gated(spark, sf_dir))
@@ -397,6 +406,7 @@ def stream_late_data(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     """A topic read twice, with replays dropped by streaming state."""
+    session.keep_state_on_disk(spark)
     folder = session.run_folder(spark, "dedup")
     count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", IN_ORDER + IN_ORDER)
     messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))

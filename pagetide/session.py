@@ -31,3 +31,15 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh, uniquely named folder below the shared one."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Let streams started from now on keep their state in RocksDB.
+
+    For operators that remember every message of a period, which would not fit
+    the executors' memory.
+    """
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )

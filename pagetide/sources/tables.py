@@ -68,12 +68,20 @@ def create_directories(spark: SparkSession, tables: Tables) -> None:
         files.make_directory(spark, path)
 
 
-def write_log(routed: DataFrame, tables: Tables, batch_id: int) -> None:
+def write_log(
+    routed: DataFrame, tables: Tables, batch_id: int, rebalance: bool = False
+) -> None:
     """Store valid events and rejected messages of one batch, in one pass.
 
-    Sorted within each task, so that row-group statistics can skip.
+    Sorted within each task, so that row-group statistics can skip. With
+    ``rebalance`` the rows are first gathered by table and month into files of
+    the advisory partition size, splitting large and merging small ones: worth
+    a shuffle where many source partitions each hold little. Adaptive execution
+    does the splitting, so without it rows stay where they are.
     """
     spark = routed.sparkSession
+    if rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        routed = routed.hint("rebalance", "route", "month")
     for route in (RAW_ROUTE, ERROR_ROUTE):
         files.delete(spark, f"{tables.log(route)}/batch_id={batch_id}")
     (
@@ -134,13 +142,20 @@ def write_batch_states(spark: SparkSession, tables: Tables, batch_id: int) -> No
     )
 
 
-def ingest_batch(messages: DataFrame, batch_id: int, tables: Tables, as_of: times.Clock) -> None:
+def ingest_batch(
+    messages: DataFrame,
+    batch_id: int,
+    tables: Tables,
+    as_of: times.Clock = None,
+    rebalance: bool = False,
+) -> None:
     """Gate one batch of messages and bring all tables up to date with it.
 
-    Running a batch again replaces what it wrote before.
+    Running a batch again replaces what it wrote before. A backfill whose
+    splits are large needs no ``rebalance``.
     """
     gated = events.gate(messages, as_of)
-    write_log(events.routed_rows(gated), tables, batch_id)
+    write_log(events.routed_rows(gated), tables, batch_id, rebalance)
     write_batch_states(messages.sparkSession, tables, batch_id)
 
 

@@ -55,7 +55,7 @@ def start_ingest(
     routed = events.routed_rows(gated.observe("ingest", *reports.ingest_counts()))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stored.write_log(batch, tables, batch_id)
+        stored.write_log(batch, tables, batch_id, rebalance=True)
         stored.write_batch_states(batch.sparkSession, tables, batch_id)
 
     writer = routed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

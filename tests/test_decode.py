@@ -96,6 +96,16 @@ MUST_PASS = {
     "braces as text": (event(user_agent='{"a":1}'), {"user_agent": '{"a":1}'}),
     "escapes": (event(user_agent='q"\\/\né'), {"user_agent": 'q"\\/\né'}),
     "unknown keys": (RAW_GOOD[:-1] + ',"x":{"a":[1,{"b":"]}"}],"a":2}}', {}),
+    "other case": (RAW_GOOD.replace('"page_id"', '"Page_ID"'), {"page_id": "page_1"}),
+    "other case of an optional key": (RAW_GOOD.replace('"region"', '"REGION"'), {"region": "EU"}),
+    "other case repeated": (
+        RAW_GOOD.replace('"user_id"', '"USER_ID"')[:-1] + ',"User_Id" : "z"}',
+        {"user_id": "z"},
+    ),
+    "key as text": (
+        event(user_agent='"Region":', region=...),
+        {"region": "", "user_agent": '"Region":'},
+    ),
     "spaced": (json.dumps(GOOD, indent=2) + "\n", {}),
     "offset": (event(timestamp="2024-01-30T10:20:30+03:00"), {}),
     "no optional": (event(user_agent=..., ip_address=..., region=...), {"region": ""}),
