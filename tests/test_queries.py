@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows_of
+from helpers import event, messages
 from pagetide.functions import times
 from pagetide.operators import events, queries, rollup
 from pagetide.plans import fixture
@@ -60,8 +61,8 @@ def test_messages_are_parsed_once(spark, sf_dir):
         assert "Python" not in text
 
 
-def test_shuffles(spark, sf_dir):
-    gated = events.gate(fixture.messages(spark, sf_dir), fixture.MAIN)
+def test_shuffles(spark):
+    gated = events.gate(messages(spark, [event()]), fixture.MAIN)
     raw = events.raw_rows(gated)
     assert plan(raw).count("Exchange") == 0
     assert plan(rollup.minute_states(raw)).count("Exchange hashpartitioning") == 1
