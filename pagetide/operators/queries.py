@@ -32,11 +32,23 @@ def latest_aggregates(states: DataFrame, as_of: times.Clock = None, hours: int =
     return merged.orderBy(F.desc("window_start"), "page_id").limit(AGGREGATE_ROWS)
 
 
-def latest_errors(errors: DataFrame, limit: int = 10) -> DataFrame:
-    """The latest rejected messages, latest first."""
+def latest_errors(errors: DataFrame, limit: int = 10, narrow_first: bool = False) -> DataFrame:
+    """The latest rejected messages, latest first.
+
+    With ``narrow_first`` a scan of the times alone first finds how far back the
+    answer reaches, and the messages are then read from there on only. Meant for
+    the stored table, which is kept for good, rather than for errors still to be
+    computed.
+    """
     if not 1 <= limit <= 1000:
         raise ValueError("Invalid limit parameter (must be 1-1000)")
     latest = errors.select(
         "error_time", "raw_message", "error_reason", "kafka_offset", "kafka_partition"
     )
+    if narrow_first:
+        times_only = errors.select("error_time").orderBy(F.desc("error_time")).limit(limit)
+        reach = times_only.agg(F.min("error_time")).scalar()
+        if "month" in errors.columns:
+            latest = errors.filter(F.col("month") >= times.month(reach)).select(*latest.columns)
+        latest = latest.filter(F.col("error_time") >= reach)
     return latest.orderBy(F.desc("error_time"), "kafka_partition", "kafka_offset").limit(limit)

@@ -191,6 +191,14 @@ def latest_errors_10(spark, sf_dir):
     return queries.latest_errors(_errors(spark, sf_dir), limit=10)
 
 
+@query
+def latest_errors_stored(spark, sf_dir):
+    """The latest errors of the stored table, found by their times first."""
+    tables = _stored_in_parts(spark, sf_dir)
+    errors = stored.read_errors(spark, tables)
+    return queries.latest_errors(errors, limit=100, narrow_first=True)
+
+
 # Reports
 
 

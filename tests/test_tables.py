@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import NOW, event, messages, multiset
 from pagetide import session
 from pagetide.functions import times
-from pagetide.operators import events, lifecycle, rollup
+from pagetide.operators import events, lifecycle, queries, rollup
 from pagetide.plans import fixture
 from pagetide.sources import catalog, files
 from pagetide.sources import tables as stored
@@ -126,6 +126,22 @@ def test_compaction_bounds(spark, tables, source):
         stored.read_states(spark, tables, stored.MINUTE, last=0)
 
 
+def test_latest_errors_read_only_what_they_need(spark, tables):
+    for batch_id, day in enumerate(("2024-01-03", "2024-02-03", "2024-03-03")):
+        sent = messages(spark, ["x", "y"], start=2 * batch_id)
+        stored.ingest_batch(sent, batch_id, tables, f"{day} 00:00:00")
+    errors = stored.read_errors(spark, tables)
+    for limit in (1, 2, 3, 6, 10):
+        narrow = queries.latest_errors(errors, limit, narrow_first=True)
+        assert narrow.collect() == queries.latest_errors(errors, limit).collect()
+        assert narrow.count() == min(limit, 6)
+    plan = queries.latest_errors(errors, 3, narrow_first=True)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "GreaterThanOrEqual(error_time,ScalarSubquery" in text
+    assert "month" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert queries.latest_errors(errors.limit(0), 3, narrow_first=True).collect() == []
+
+
 def test_retention_filter(spark):
     rows = spark.createDataFrame([("2024-01-01",), ("2024-01-02",)], "d string")
     rows = rows.select(F.col("d").cast("date").alias("event_date"))
