@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings that change results: all times are UTC."""
+    """Pin the runtime settings that results and tables rely on.
+
+    All times are UTC. Parquet keeps minima and maxima of timestamps only in the
+    standard encoding, not in Spark's default one, and skipping needs them.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

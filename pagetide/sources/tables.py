@@ -10,6 +10,9 @@ A batch owns its directories and replaces them when it runs again. Raw events
 and rejected messages leave one job together, so a message is in exactly one of
 the two tables. A complete compacted directory stands for its range of batches;
 readers skip what it replaces, whether or not that has been deleted yet.
+
+One ingest at a time may write below a root; readers and compaction are free to
+run beside it.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetide import session
 from pagetide.functions import times
 from pagetide.operators import events, rollup
 from pagetide.schema import ERROR_ROUTE, ERRORS, MINUTE_STATE, RAW, RAW_ROUTE
@@ -55,7 +59,11 @@ class Tables:
         return f"{self.root}/{grain}_compacted"
 
     def writer_options(self) -> dict[str, str]:
-        return {"compression": CODECS[self.codec], "partitionOverwriteMode": "static"}
+        return {
+            "compression": CODECS[self.codec],
+            "partitionOverwriteMode": "static",
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
+        }
 
 
 def create_directories(spark: SparkSession, tables: Tables) -> None:
@@ -79,7 +87,7 @@ def write_log(
     a shuffle where many source partitions each hold little. Adaptive execution
     does the splitting, so without it rows stay where they are.
     """
-    spark = routed.sparkSession
+    spark = session.configure(routed.sparkSession)
     if rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         routed = routed.hint("rebalance", "route", "month")
     for route in (RAW_ROUTE, ERROR_ROUTE):
@@ -120,6 +128,7 @@ def read_raw_batch(spark: SparkSession, tables: Tables, batch_id: int) -> DataFr
 
 def write_states(states: DataFrame, path: str, tables: Tables) -> None:
     """Replace one directory of states."""
+    session.configure(states.sparkSession)
     (
         states.select(*MINUTE_STATE.fieldNames())
         .withColumn("month", times.month(F.col("window_start")))

@@ -15,6 +15,7 @@ def topic_options(
     topic: str,
     start: str = "earliest",
     max_rows_per_batch: int | None = None,
+    max_rows_per_task: int = 500_000,
     fetch_min_bytes: int | None = None,
     fetch_max_bytes: int | None = None,
     **flush: str,
@@ -22,7 +23,8 @@ def topic_options(
     """Options of the Kafka source; ``flush`` takes those of ``flush_rule``.
 
     ``start`` applies to the first run only; later runs go on from the
-    checkpoint.
+    checkpoint. A topic partition that holds more than ``max_rows_per_task`` is
+    read by several tasks, so one busy partition does not hold up the batch.
     """
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}")
@@ -30,7 +32,7 @@ def topic_options(
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": start,
-        "includeHeaders": "true",
+        "maxRecordsPerPartition": str(max_rows_per_task),
     }
     if max_rows_per_batch is not None:
         options["maxOffsetsPerTrigger"] = str(max_rows_per_batch)

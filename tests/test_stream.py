@@ -1,9 +1,11 @@
 """Streams: equal to batch, restartable, tolerant of late and repeated data."""
 
+import glob
 import json
 import time
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,10 @@ def test_stream_equals_batch(spark, sf_dir, folder, slices):
     assert multiset(stored_raw.select(*raw.columns)) == multiset(raw)
     minutes = rollup.minute_aggregates(stored.read_states(spark, tables))
     assert multiset(minutes) == multiset(rollup.exact_aggregates(raw, times.minute))
+    for file in glob.glob(f"{tables.root}/log/route=raw/batch_id=*/month=*/*.parquet"):
+        times_column = pq.ParquetFile(file).metadata.row_group(0).column(1)
+        assert times_column.path_in_schema == "event_time"
+        assert times_column.statistics.has_min_max
     hours = rollup.hourly_rollup(stored.read_states(spark, tables, stored.HOUR))
     expected = rollup.with_ratios(rollup.exact_aggregates(raw, times.hour))
     assert multiset(hours) == multiset(expected)
@@ -184,10 +190,16 @@ def test_topic_options():
     flush, _ = ingest.flush_rule("hybrid")
     merged = topic.topic_options("b:9092", "page-views", start="latest", **flush)
     assert merged["maxTriggerDelay"] == "10s"
+    assert options["maxRecordsPerPartition"] == "500000"
     with pytest.raises(ValueError):
         topic.topic_options("b:9092", "page-views", start="middle")
 
 
+def test_a_batch_read_starts_at_the_beginning(spark):
+    with pytest.raises(ValueError, match="latest"):
+        topic.read_topic(spark, topic.topic_options("b:9092", "page-views", start="latest"))
+
+
 def test_publish_and_read_back(spark):
     from pagetide.operators.decode import decode
 

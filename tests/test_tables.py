@@ -1,7 +1,9 @@
 """Stored tables: replays, crashes, compaction, retention, names."""
 
+import glob
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +174,18 @@ def test_codecs(spark, codec):
     assert stored.read_raw(spark, tables).count() == 1
 
 
+@pytest.mark.parametrize(
+    "path, column", [("minute", "window_start"), ("log/route=raw", "event_time")]
+)
+def test_files_can_be_skipped_by_time(spark, tables, path, column):
+    spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    stored.ingest_batch(messages(spark, [event()]), 0, tables, NOW)
+    (file,) = glob.glob(f"{tables.root}/{path}/batch_id=0/month=202401/*.parquet")
+    parquet = pq.ParquetFile(file)
+    found = parquet.metadata.row_group(0).column(parquet.schema.names.index(column))
+    assert found.statistics.has_min_max
+
+
 def test_unknown_codec():
     with pytest.raises(ValueError, match="unknown codec"):
         stored.Tables("/nowhere", "rar")
