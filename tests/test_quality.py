@@ -137,7 +137,6 @@ def test_routed_rows_hold_both_tables(spark, gated):
 
 def test_event_classes(spark):
     rows = events.gate(messages(spark, [event(), event(is_bounce=True), "x"]), NOW)
-    from pyspark.sql import functions as F
 
     found = rows.orderBy("offset").select(quality.event_class()).collect()
     assert [r[0] for r in found] == ["normal", "bounce", "error"]
