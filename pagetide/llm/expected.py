@@ -11,6 +11,73 @@ JOIN (
 ) g ON d.content = g.content
 """
 
+TOPK_SEARCH = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+# Words, targets by their level, golden-ratio slots, then the words of each document
+# that its source's scheduled blocks cover, which are the first ones of its rounds.
+SOURCE_MIX = """
+WITH d AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+        md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+    FROM documents
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        row_number() OVER (ORDER BY source ASC NULLS LAST) AS place FROM d GROUP BY source
+), w AS (
+    SELECT *, CAST((place - 1) % 3 + 1 AS DOUBLE) AS weight FROM s
+), o AS (
+    SELECT *, row_number() OVER (ORDER BY source_size / weight, place) AS nth FROM w
+), h AS (
+    SELECT *,
+        (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY nth ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM o
+), l AS (
+    SELECT share AS level FROM h WHERE share * weight < 3 * source_size ORDER BY nth LIMIT 1
+), t AS (
+    SELECT h.source, place, source_size,
+        CASE WHEN level IS NULL OR level * weight >= 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE level * weight END AS target
+    FROM h LEFT JOIN l ON true
+), e AS (
+    SELECT place, CAST(trunc(sum(target) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        / sum(target) OVER () * 4294967296) AS BIGINT) AS edge FROM t WHERE target > 0
+), n AS (
+    SELECT CAST(ceil(sum(target) / 1024) AS BIGINT) AS slots FROM t
+), p AS (
+    SELECT i AS slot, (i % 4294967296) * 2654435769 % 4294967296 AS point FROM (SELECT unnest(range((SELECT slots FROM n))) AS i)
+), m AS (
+    SELECT place, count(*) AS blocks FROM (
+        SELECT slot, coalesce(min(place), (SELECT max(place) FROM e)) AS place
+        FROM p LEFT JOIN e ON edge > point GROUP BY slot
+    ) GROUP BY place
+), a AS (
+    SELECT d.doc_id, d.size, t.source_size, t.target, coalesce(m.blocks, 0) * 1024 AS words,
+        coalesce(sum(d.size) OVER (PARTITION BY t.place ORDER BY substr(digest, 1, 3), digest, d.size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN m ON m.place = t.place
+)
+SELECT doc_id, size, source_size, target, CAST(
+    greatest(0, least(size, words - start)) + greatest(0, least(size, words - start - source_size))
+    + greatest(0, least(size, words - start - 2 * source_size)) AS BIGINT) AS taken
+FROM a
+"""
+
 SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
+    "op4_topk_search": TOPK_SEARCH,
+    "op6_source_mix": SOURCE_MIX,
 }

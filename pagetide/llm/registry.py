@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagetide.llm import common
 from pagetide.llm.op3_exact_dedup import exact_dedup
+from pagetide.llm.op4_topk_search import topk_search
+from pagetide.llm.op6_source_mix import source_mix
 from pagetide.llm.op8_token_counts import token_counts
 
 
@@ -15,11 +17,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(common.table(spark, sf_dir, "documents"))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search(common.table(spark, sf_dir, "embeddings"))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix(common.table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_topk_search": op4_topk_search,
+    "op6_source_mix": op6_source_mix,
     "op8_token_counts": op8_token_counts,
 }
