@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagetide.llm import common
+from pagetide.llm.op1_best_fit_packing import best_fit_packing
 from pagetide.llm.op3_exact_dedup import exact_dedup
 from pagetide.llm.op4_topk_search import topk_search
-from pagetide.llm.op6_source_mix import source_mix
+from pagetide.llm.op5_html_extraction import main_text
+from pagetide.llm.op6_source_mix import source_mix, word_count
+from pagetide.llm.op7_quality_classifier import quality_scores
 from pagetide.llm.op8_token_counts import token_counts
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return best_fit_packing(docs, size=word_count(F.col("text")), cluster=F.xxhash64("text"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(common.table(spark, sf_dir, "documents"))
 
@@ -21,17 +30,28 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search(common.table(spark, sf_dir, "embeddings"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(common.table(spark, sf_dir, "pages"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix(common.table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_topk_search": op4_topk_search,
+    "op5_html_extraction": op5_html_extraction,
     "op6_source_mix": op6_source_mix,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
 }
