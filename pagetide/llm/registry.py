@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetide.llm import common
 from pagetide.llm.op1_best_fit_packing import best_fit_packing
+from pagetide.llm.op10_ngram_join import ngram_join
 from pagetide.llm.op3_exact_dedup import exact_dedup
 from pagetide.llm.op4_topk_search import topk_search
 from pagetide.llm.op5_html_extraction import main_text
@@ -46,6 +47,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
@@ -54,4 +59,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": op6_source_mix,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op10_ngram_join": op10_ngram_join,
 }
