@@ -126,6 +126,33 @@ class ByteHashes:
         raw = (self.sums[end] - self.sums[start]) * ByteHashes._down[start]
         return mixed(raw + (end - start).astype(U64))
 
+    def grams(self, size: int) -> np.ndarray:
+        """Hashes of all stretches of ``size`` bytes."""
+        n = len(self.sums) - size
+        return mixed((self.sums[size:] - self.sums[:n]) * ByteHashes._down[:n]) if n > 0 else np.zeros(0, U64)
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """One-dimensional arrays as bytes, first bytes of all entries first, so that
+    equal high bytes lie together and compress."""
+    parts = [len(arrays).to_bytes(4, "little")]
+    for a in arrays:
+        parts += [a.dtype.str.ljust(4).encode(), len(a).to_bytes(8, "little")]
+        parts.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+    return b"".join(parts)
+
+
+def unpacked(raw: bytes) -> list[np.ndarray]:
+    arrays, at = [], 4
+    for _ in range(int.from_bytes(raw[:4], "little")):
+        kind = np.dtype(raw[at : at + 4].decode().strip())
+        n = int.from_bytes(raw[at + 4 : at + 12], "little")
+        at += 12
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        arrays.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * kind.itemsize
+    return arrays
+
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one byte array, each followed by a line feed, and their starts."""
