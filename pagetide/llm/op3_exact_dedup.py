@@ -13,9 +13,8 @@ adaptive execution can split.
 
 Results for unusual input: null text counts as empty, and empty texts are equal to
 each other; a null id never stays where the group has any other id, and in a group
-of null ids only, all stay; rows that repeat id and text all carry the same
-decision, so if theirs is the id that stays, all of them do; an empty table gives
-an empty result; other columns are ignored, whatever their names.
+of null ids only, one stays; of rows that repeat the id that stays, one stays; an
+empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -239,5 +238,7 @@ def exact_dedup(
         _own(largest, memory), "text_sha256 string, keep_id long, group_size long"
     )
     each = rows.select(F.col("id").alias("doc_id"), F.sha2("content", 256).alias("text_sha256"))
-    kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
-    return each.join(owners, "text_sha256").select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    each = each.groupBy("doc_id", "text_sha256").agg(F.count("*").cast("int").alias("times"))
+    met = each.join(owners, "text_sha256").withColumn("time", F.explode(F.sequence(F.lit(1), "times")))
+    kept = (F.col("time") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    return met.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")

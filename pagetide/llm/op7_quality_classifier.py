@@ -223,10 +223,8 @@ def _scorer(vectors: list[np.ndarray], network: Network):
         for batch in in_chunks(batches, "text", 2 << 20):
             units = Units([t or b"" for t in utf8(batch.column("text"))])
             score = network.score(pooled(units, vectors).astype(np.float64))
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64())],
-                ["doc_id", "held_out", "score"],
-            )
+            names = [n for n in batch.schema.names if n != "text"]
+            yield pa.record_batch([*map(batch.column, names), pa.array(score, pa.float64())], [*names, "score"])
 
     return run
 
@@ -239,10 +237,14 @@ def quality_scores(
     label_col: str = "quality",
     sample: int = SAMPLE,
     threshold: float = 0.3,
+    keep_row: bool = False,
 ) -> DataFrame:
-    """Per document whether it was held out, its score, and the label at ``threshold``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    vectors, network = fit(rows, labels.select(F.col(id_col).alias("doc_id"), label_col), label_col, sample)
+    """Per document whether it was held out, its score, and the label at ``threshold``;
+    with ``keep_row`` also all its columns, as the struct ``row``."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_row else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *row)
+    vectors, network = fit(rows.select("doc_id", "text"), labels.select(F.col(id_col).alias("doc_id"), label_col), label_col, sample)
     marked = rows.withColumn("held_out", _held_out(F.col("doc_id")))
-    scored = marked.mapInArrow(_scorer(vectors, network), "doc_id long, held_out boolean, score double")
+    schema = marked.drop("text").schema.add("score", "double")
+    scored = marked.mapInArrow(_scorer(vectors, network), schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetide import session
 from pagetide.llm import common
 from pagetide.llm.op1_best_fit_packing import best_fit_packing
 from pagetide.llm.op10_ngram_join import ngram_join
+from pagetide.llm.op2_token_shards import token_shards
 from pagetide.llm.op3_exact_dedup import exact_dedup
 from pagetide.llm.op4_topk_search import topk_search
 from pagetide.llm.op5_html_extraction import main_text
 from pagetide.llm.op6_source_mix import source_mix, word_count
 from pagetide.llm.op7_quality_classifier import quality_scores
 from pagetide.llm.op8_token_counts import token_counts
+from pagetide.llm.op9_suffix_dedup import suffix_dedup
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +26,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, size=word_count(F.col("text")), cluster=F.xxhash64("text"))
 
 
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(common.table(spark, sf_dir, "documents"), session.run_folder(spark, "shards"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(common.table(spark, sf_dir, "documents"))
 
@@ -47,17 +54,23 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(common.table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(common.table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_token_shards": op2_token_shards,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_topk_search": op4_topk_search,
     "op5_html_extraction": op5_html_extraction,
     "op6_source_mix": op6_source_mix,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
