@@ -1,10 +1,9 @@
 """Strict decoding of messages into typed events.
 
 Accepts exactly one JSON object (or ``null``) per message, whose known fields
-hold the right JSON type or null. Unknown fields are ignored and the last of
-repeated keys is the one that counts. Keys match in any case, but where a message
-spells a key both exactly and otherwise, the exact one counts. Everything else
-fails as a whole.
+hold the right JSON type or null. Unknown fields are ignored. Keys match in any
+case, and the last of repeated keys, however spelled, is the one that counts.
+Everything else fails as a whole.
 """
 
 from __future__ import annotations
@@ -32,9 +31,9 @@ _MAYBE_NOT_A_STRING = r"(?m)^(?:[{\[]|-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?$|true$|fa
 _ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 _PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
 
-# A key spelled in other than lower case, among those a message may lack.
-_UNEXACT_KEYS = "|".join(["timestamp", *_OPTIONAL])
-_UNEXACT_KEY = rf'"(?!(?:{_UNEXACT_KEYS})")(?i:{_UNEXACT_KEYS})"\s*:'
+# A known key spelled in other than lower case.
+_KEYS = "|".join(_TYPE)
+_UNEXACT_KEY = rf'"(?!(?:{_KEYS})")(?i:{_KEYS})"\s*:'
 
 # No string holds a control character or an unknown escape. The parser leaves a
 # field null when its string is malformed and reads on, so this is asked wherever
@@ -70,8 +69,8 @@ def _clear() -> str:
     texts = ", ".join(f"{typed}.{name}" for name in _TEXTS)
     conditions.append(f"NOT concat_ws('\\n', {texts}) RLIKE r'{_MAYBE_NOT_A_STRING}'")
     present = " AND ".join(f"{typed}.{name} IS NOT NULL" for name in ["timestamp", *_OPTIONAL])
-    lacking = f"{_STRINGS_WELL_FORMED} AND NOT _text RLIKE r'{_UNEXACT_KEY}'"
-    conditions.append(f"(({present}) OR ({lacking}))")
+    conditions.append(f"(({present}) OR ({_STRINGS_WELL_FORMED}))")
+    conditions.append(f"NOT _text RLIKE r'{_UNEXACT_KEY}'")
     return f"coalesce({' AND '.join(conditions)}, false)"
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetide.schema import RAW
+
 # What makes two events the same, leaving out where the topic stored them.
 CONTENT = [
     "page_id",
@@ -39,13 +41,25 @@ def duplicate_events(raw: DataFrame) -> DataFrame:
     return raw.groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+# Partition and offset as one number, whose minimum a hash aggregate can keep.
+_OFFSETS = "CAST(18446744073709551616 AS DECIMAL(38, 0))"
+
+
 def drop_resends(raw: DataFrame) -> DataFrame:
-    """One row per event content, the one with the lowest partition and offset.
+    """One raw row per event content, the one with the lowest partition and offset.
 
-    A minimum over two columns makes Spark aggregate by sorting; leading with a
-    hash lets that sort compare numbers instead of eight columns.
+    The row's date follows from its time; its processing time is the earliest of the
+    copies, as copies stored in one batch share it.
     """
-    kept = raw.groupBy(F.xxhash64(*CONTENT).alias("_hash"), *CONTENT).agg(
-        F.min(F.struct("kafka_partition", "kafka_offset")).alias("kept")
+    place = f"CAST(kafka_partition AS DECIMAL(38, 0)) * {_OFFSETS} + kafka_offset"
+    kept = raw.groupBy(*CONTENT).agg(
+        F.expr(f"min(CAST({place} AS DECIMAL(38, 0)))").alias("_place"),
+        F.min("processed_time").alias("processed_time"),
     )
-    return kept.select(*CONTENT, "kept.kafka_partition", "kept.kafka_offset")
+    partition = f"CAST(floor(_place / {_OFFSETS}) AS DECIMAL(38, 0))"
+    return kept.selectExpr(
+        "*",
+        f"CAST({partition} AS INT) AS kafka_partition",
+        f"CAST(_place - {partition} * {_OFFSETS} AS BIGINT) AS kafka_offset",
+        "to_date(event_time) AS event_date",
+    ).select(*RAW.fieldNames())

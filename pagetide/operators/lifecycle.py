@@ -17,11 +17,14 @@ MINUTE_DAYS = 7
 
 
 def apply_retention(df: DataFrame, column: str, days: int, as_of: times.Clock) -> DataFrame:
-    """Rows whose ``column`` plus ``days`` days still lies ahead of the clock."""
-    expires = F.col(column).cast("timestamp") + F.make_dt_interval(days=F.lit(days))
-    kept = df.filter(expires > times.clock(as_of))
+    """Rows whose ``column`` plus ``days`` days still lies ahead of the clock.
+
+    The days are taken off the clock, so that scans can skip by the bare column.
+    """
+    oldest = times.clock(as_of) - F.make_dt_interval(days=F.lit(days))
+    is_date = df.schema[column].dataType.typeName() == "date"
+    kept = df.filter(F.col(column) > (F.to_date(oldest) if is_date else oldest))
     if "month" in df.columns:
-        oldest = times.clock(as_of) - F.make_dt_interval(days=F.lit(days))
         kept = kept.filter(F.col("month") >= times.month(oldest))
     return kept
 

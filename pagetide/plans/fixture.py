@@ -20,6 +20,13 @@ LATE = "2024-02-15 00:00:00"
 # Resent events get offsets from here on.
 RESEND_OFFSET = 1_000_000_000_000
 
+# Purchases that break a rule or spell a key twice, by their number k: no user, over
+# a day, no time, both ids empty and no duration, an empty page and a number for a
+# page under another spelling of its key.
+ODD = {11: "no_user", 22: "too_long", 33: "no_time", 44: "blank", 55: "twice", 66: "typed"}
+TOO_LONG = 24 * 60 * 60 * 1000 + 1
+AGAIN = {"twice": ',"Page_ID":""}', "typed": ',"Page_ID":7}'}
+
 # Days at which the topic is cut into files for the streams.
 CUTS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
@@ -33,33 +40,37 @@ def source_events(
     """
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
     if start is not None:
-        rows = rows.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        from_start = F.col("ts") >= F.lit(start).cast("timestamp_ntz")
+        # rows without a time belong to the last slice
+        rows = rows.filter(from_start | F.col("ts").isNull() if end is None else from_start)
     if end is not None:
         rows = rows.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
-    # A single small file arrives as one split; all cores should decode it.
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores, "event_id")
     rows = rows.selectExpr(
         "event_id",
-        "CAST(ts AS TIMESTAMP) AS event_ts",
+        "CAST(ts AS TIMESTAMP) AS arrived",
         "user_id AS uid",
         "event_type",
         "CAST(round(value * 1000) AS BIGINT) AS ms",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
     kind = "CASE WHEN event_type = 'error' THEN k % 3 ELSE -1 END"
+    odd = " ".join(f"WHEN {k} THEN '{name}'" for k, name in ODD.items())
     regions = ", ".join(f"'{region}'" for region in REGIONS)
     # Clients of one event type call everything below six seconds a bounce.
-    return rows.selectExpr("*", f"{kind} AS kind").selectExpr(
+    return rows.selectExpr(
+        "*", f"{kind} AS kind", f"CASE WHEN event_type = 'purchase' THEN CASE k {odd} END END AS odd"
+    ).selectExpr(
         "event_id",
         "event_type",
-        "event_ts",
+        "arrived",
+        "CASE WHEN odd = 'no_time' THEN NULL ELSE arrived END AS event_ts",
         "k",
         "kind",
-        "CASE WHEN kind = 0 THEN '' ELSE concat('page_', k % 10) END AS page_id",
-        "concat('user_', uid) AS user_id",
-        "CASE WHEN kind = 1 THEN -ms ELSE ms END AS view_duration_ms",
+        "odd",
+        "CASE WHEN kind = 0 OR odd <=> 'blank' THEN '' ELSE concat('page_', k % 10) END AS page_id",
+        "CASE WHEN odd IN ('no_user', 'blank') THEN '' ELSE concat('user_', uid) END AS user_id",
+        f"""CASE WHEN kind = 1 THEN -ms WHEN odd = 'blank' THEN 0
+            WHEN odd = 'too_long' THEN ms + {TOO_LONG} ELSE ms END AS view_duration_ms""",
         f"CASE WHEN k % 7 = 0 THEN '' ELSE '{USER_AGENT}' END AS user_agent",
         """CASE WHEN k = 99 THEN 'not-an-ip'
             WHEN k % 5 = 0
@@ -77,12 +88,15 @@ BROKEN_JSON = """concat('{"page_id":"', page_id, '","user_id":"', user_id,
 def messages_of(source: DataFrame, offset: str = "event_id") -> DataFrame:
     """Source rows as broker messages; every third error is broken JSON."""
     encoded = event_json.encode()
+    value = F.when(F.col("kind") == 2, F.expr(BROKEN_JSON))
+    for odd, tail in AGAIN.items():
+        value = value.when(F.col("odd") == odd, F.concat(F.rtrim(encoded, F.lit("}")), F.lit(tail)))
     return source.select(
-        F.when(F.col("kind") == 2, F.expr(BROKEN_JSON)).otherwise(encoded).alias("value"),
+        value.otherwise(encoded).alias("value"),
         F.lit(TOPIC).alias("topic"),
         F.expr("k % 4").alias("partition"),
         F.expr(offset).alias("offset"),
-        F.col("event_ts").alias("timestamp"),
+        F.col("arrived").alias("timestamp"),
     )
 
 

@@ -1,7 +1,9 @@
 """Stateful variants that emit each window once, when its watermark has passed.
 
-For consumers that want final rows pushed to them. Events later than ``delay``
-are left out here; the stored states keep them.
+For consumers that want final rows pushed to them. The default delay spans all that
+the gate lets in, from the oldest event to one ahead of the clock, so no gated event
+is late. With a shorter one, events later than ``delay`` are left out here; the
+stored states keep them.
 """
 
 from __future__ import annotations
@@ -9,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetide.functions import quality
 from pagetide.operators import rollup
 
+DELAY = f"{quality.MAX_AGE_HOURS + quality.MAX_AHEAD_HOURS} hours"
+
 
 def _watched(raw: DataFrame, delay: str) -> DataFrame:
     return raw.withWatermark("event_time", delay)
@@ -26,13 +31,13 @@ def _minute_states(raw: DataFrame, delay: str) -> DataFrame:
     )
 
 
-def closed_minutes(raw: DataFrame, delay: str = "30 days") -> DataFrame:
+def closed_minutes(raw: DataFrame, delay: str = DELAY) -> DataFrame:
     """Final minute rows of a stream of raw events, in append mode."""
     states = _minute_states(raw, delay)
     return rollup.finalize(states.withColumn("window_start", F.col("window.start")))
 
 
-def closed_hours(raw: DataFrame, delay: str = "30 days") -> DataFrame:
+def closed_hours(raw: DataFrame, delay: str = DELAY) -> DataFrame:
     """Final hour rows, cascaded from the minute windows."""
     minutes = _minute_states(raw, delay)
     hour = F.window(F.window_time("window"), "1 hour").alias("window")
