@@ -25,15 +25,11 @@ CONTENT = [
 
 
 def drop_replays(messages: DataFrame) -> DataFrame:
-    """One row per (partition, offset), for messages read more than once."""
-    return messages.dropDuplicates(["partition", "offset"])
-
+    """One row per (partition, offset), for messages read more than once.
 
-def drop_replays_in_stream(messages: DataFrame, delay: str) -> DataFrame:
-    """The same on a stream, remembering each message for ``delay``."""
-    return messages.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
-        ["partition", "offset"]
-    )
+    On a stream, ``ingest.start_ingest`` does it against what is stored.
+    """
+    return messages.dropDuplicates(["partition", "offset"])
 
 
 def duplicate_events(raw: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetide.functions import times
 from pagetide.operators import rollup
-from pagetide.schema import RAW_ROUTE
+from pagetide.schema import ERROR_ROUTE, RAW_ROUTE
 from pagetide.sources import files, tables as stored
 
 RAW_DAYS = 30
@@ -29,6 +29,16 @@ def apply_retention(df: DataFrame, column: str, days: int, as_of: times.Clock) -
     return kept
 
 
+# What expires, when, by which column.
+RETENTION = {RAW_ROUTE: ("event_date", RAW_DAYS), stored.MINUTE: ("window_start", MINUTE_DAYS)}
+
+
+def read_retained(spark: SparkSession, tables: stored.Tables, table: str, as_of: times.Clock = None) -> DataFrame:
+    """Rows of stored raw events or minute states that have not expired, dropped yet or not."""
+    column, days = RETENTION[table]
+    return apply_retention(stored.read(spark, tables, table), column, days, as_of)
+
+
 def _month_is_over(month: int, days: int, as_of: datetime) -> bool:
     """Every row of the month has expired."""
     year, number = divmod(month, 100)
@@ -39,37 +49,36 @@ def _month_is_over(month: int, days: int, as_of: datetime) -> bool:
 def drop_expired(spark: SparkSession, tables: stored.Tables, as_of: datetime) -> list[str]:
     """Delete month directories of raw events and minute states past retention.
 
-    Looks at directory names only. Hours and errors are kept.
+    Looks at the names of months only, and deletes each with all batches in it.
+    Hours and errors are kept.
     """
-    patterns = [
-        (f"{tables.log(RAW_ROUTE)}/batch_id=*/month=*", RAW_DAYS),
-        (f"{tables.states(stored.MINUTE)}/batch_id=*/month=*", MINUTE_DAYS),
-        (f"{tables.compacted(stored.MINUTE)}/batches=*/month=*", MINUTE_DAYS),
-    ]
     dropped = []
-    for pattern, days in patterns:
-        for path in files.matching(spark, pattern):
-            if _month_is_over(int(files.partition_value(path)), days, as_of):
-                files.delete(spark, path)
-                dropped.append(path)
+    for table, (_, days) in RETENTION.items():
+        for base in (tables.live(table), f"{tables.compacted(table)}/batches=*"):
+            for path in files.matching(spark, f"{base}/month=*"):
+                if _month_is_over(int(files.partition_value(path)), days, as_of):
+                    files.delete(spark, path)
+                    dropped.append(path)
     return dropped
 
 
 def compact(
-    spark: SparkSession, tables: stored.Tables, grain: str, last: int, first: int | None = None
+    spark: SparkSession, tables: stored.Tables, table: str, last: int, first: int | None = None
 ) -> None:
-    """Merge the states of batches ``first`` to ``last`` into one directory.
+    """Merge batches ``first`` to ``last`` of a table into one directory.
 
-    By default ``first`` follows what is compacted already, so the work is in
-    proportion to what is new; name an earlier ``first`` to merge earlier ranges
-    again. Compact only batches that will not be replayed, that is, older than
-    the last committed one. Readers switch over when the directory is complete;
-    what it replaces can be deleted later with ``clean``.
+    Minute and hour states of one key become one row; raw events and rejected
+    messages stay as they are, in fewer and sorted files. By default ``first``
+    follows what is compacted already, so the work is in proportion to what is new;
+    name an earlier ``first`` to merge earlier ranges again. Compact only finished
+    batches that will not be replayed, that is, older than the last committed one.
+    Readers switch over when the directory is complete; what it replaces can be
+    deleted later with ``clean``.
 
     The range shuffle already groups equal keys, so the merge adds none, and
     leaves files that cover disjoint time ranges.
     """
-    ranges = stored.compacted_ranges(spark, tables, grain)
+    ranges = stored.compacted_ranges(spark, tables, table)
     following = max((r[1] + 1 for r in ranges), default=0)
     if first is None:
         first = following
@@ -77,24 +86,44 @@ def compact(
         raise ValueError(f"batches from {following} on are not compacted yet")
     if last < first or (first, last) in ranges:
         raise ValueError(f"nothing to compact from batch {first} to {last}")
-    states = stored.read_states(spark, tables, grain, first, last)
-    ranged = states.repartitionByRange("window_start", "page_id")
-    target = f"{tables.compacted(grain)}/batches={first}-{last}"
-    stored.write_states(rollup.merge_states(ranged), target, tables)
+    if not any(a <= first and last <= b for a, b in stored.committed_ranges(spark, tables)):
+        raise ValueError(f"batches {first} to {last} are not all finished")
+    rows = stored.read(spark, tables, table, first, last)
+    if table in (stored.MINUTE, stored.HOUR):
+        rows = rollup.merge_states(rows.repartitionByRange("window_start", "page_id"))
+    else:
+        order = _ORDER[table]
+        rows = rows.drop("batch_id").repartitionByRange("month", *order).sortWithinPartitions("month", *order)
+    stored.write_compacted(rows, tables, table, first, last)
 
 
-def clean(spark: SparkSession, tables: stored.Tables, grain: str) -> None:
-    """Delete what complete compacted directories have replaced.
+_ORDER = {RAW_ROUTE: ["event_date", "page_id", "user_id"], ERROR_ROUTE: ["error_time"]}
+
+# What a reader that has planned its files may take to read them.
+GRACE_SECONDS = 3600
+
+
+def clean(
+    spark: SparkSession, tables: stored.Tables, table: str, grace_seconds: float = GRACE_SECONDS
+) -> None:
+    """Delete what complete compacted directories have replaced, after the grace period.
 
     Directories still being written have no range yet and are left alone.
     """
-    ranges = stored.compacted_ranges(spark, tables, grain)
-    after = max((r[1] for r in ranges), default=-1)
-    for path in files.matching(spark, f"{tables.states(grain)}/batch_id=*"):
+    done = {
+        tuple(map(int, files.partition_value(p.rsplit("/", 1)[0]).split("-"))): p
+        for p in files.matching(spark, f"{tables.compacted(table)}/batches=*/_SUCCESS")
+    }
+    ranges = stored.compacted_ranges(spark, tables, table)
+    old = [r for r in ranges if files.age_seconds(spark, done[r]) >= grace_seconds]
+    after = max((r[1] for r in old), default=-1)
+    for path in files.matching(spark, f"{tables.live(table)}/month=*/batch_id=*"):
         if int(files.partition_value(path)) <= after:
             files.delete(spark, path)
-    kept = {f"{first}-{last}" for first, last in ranges}
-    for path in files.matching(spark, f"{tables.compacted(grain)}/batches=*/_SUCCESS"):
-        directory = path.rsplit("/", 1)[0]
-        if files.partition_value(directory) not in kept:
-            files.delete(spark, directory)
+    for path in files.matching(spark, f"{tables.live(table)}/month=*"):
+        files.delete_if_empty(spark, path)
+    for inner, path in done.items():
+        if inner not in ranges and any(r[0] <= inner[0] and inner[1] <= r[1] for r in old):
+            files.delete(spark, path.rsplit("/", 1)[0])
+    compacted = [stored.compacted_ranges(spark, tables, t) for t in stored.SCHEMAS]
+    stored.fold_commits(spark, tables, min(max((r[1] for r in some), default=-1) for some in compacted))

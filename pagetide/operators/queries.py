@@ -24,11 +24,23 @@ def recent_windows(states: DataFrame, hours: int, as_of: times.Clock) -> DataFra
     return recent
 
 
-def latest_aggregates(states: DataFrame, as_of: times.Clock = None, hours: int = 1) -> DataFrame:
-    """The 100 latest minute rows of the last ``hours`` hours, latest first."""
+def latest_aggregates(
+    states: DataFrame, as_of: times.Clock = None, hours: int = 1, keys_first: bool = False
+) -> DataFrame:
+    """The 100 latest minute rows of the last ``hours`` hours, latest first.
+
+    With ``keys_first`` a scan of windows and pages alone first finds how far back
+    the answer reaches, and sketches are read and merged from there on only. Meant
+    for the stored table, rather than for states still to be computed.
+    """
     if not 1 <= hours <= 24:
         raise ValueError("Invalid hours parameter (must be 1-24)")
-    merged = rollup.minute_aggregates(recent_windows(states, hours, as_of))
+    recent = recent_windows(states, hours, as_of)
+    if keys_first:
+        keys = recent.select("window_start", "page_id").distinct()
+        latest = keys.orderBy(F.desc("window_start"), "page_id").limit(AGGREGATE_ROWS)
+        recent = recent.filter(F.col("window_start") >= latest.agg(F.min("window_start")).scalar())
+    merged = rollup.minute_aggregates(recent)
     return merged.orderBy(F.desc("window_start"), "page_id").limit(AGGREGATE_ROWS)
 
 

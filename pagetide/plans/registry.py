@@ -16,8 +16,8 @@ from pagetide import session
 from pagetide.functions import histogram, quality, times
 from pagetide.operators import dedup, events, lifecycle, queries, reports, rollup
 from pagetide.plans import fixture
-from pagetide.schema import MESSAGE
-from pagetide.sources import publish, topic
+from pagetide.schema import ERROR_ROUTE, RAW_ROUTE
+from pagetide.sources import catalog, publish, topic
 from pagetide.sources import tables as stored
 from pagetide.streaming import ingest
 
@@ -164,6 +164,29 @@ def hour_states_merged(spark, sf_dir):
     return rollup.hourly_rollup(stored.read_states(spark, tables, stored.HOUR))
 
 
+def _compacted(spark: SparkSession, sf_dir: str, table: str) -> stored.Tables:
+    """Tables of which one has been compacted twice and cleaned."""
+    tables = _stored_in_parts(spark, sf_dir)
+    lifecycle.compact(spark, tables, table, last=1)
+    lifecycle.compact(spark, tables, table, last=2, first=0)
+    lifecycle.clean(spark, tables, table, grace_seconds=0)
+    return tables
+
+
+@query
+def raw_compacted(spark, sf_dir):
+    """Raw events, three of four batches compacted."""
+    raw = stored.read_raw(spark, _compacted(spark, sf_dir, RAW_ROUTE))
+    return raw.drop("batch_id")
+
+
+@query
+def errors_compacted(spark, sf_dir):
+    """Rejected messages, three of four batches compacted."""
+    errors = stored.read_errors(spark, _compacted(spark, sf_dir, ERROR_ROUTE))
+    return errors.drop("batch_id", "month")
+
+
 @query
 def sum_collapse_hour(spark, sf_dir):
     minutes = rollup.exact_aggregates(_raw(spark, sf_dir), times.minute)
@@ -186,6 +209,13 @@ def latest_aggregates_24h(spark, sf_dir):
     return queries.latest_aggregates(states, fixture.MAIN, hours=24)
 
 
+@query
+def latest_aggregates_stored(spark, sf_dir):
+    """The latest minutes of the stored table, found by their keys first."""
+    states = stored.read_states(spark, _stored_in_parts(spark, sf_dir))
+    return queries.latest_aggregates(states, fixture.MAIN, hours=24, keys_first=True)
+
+
 @query
 def latest_errors_10(spark, sf_dir):
     return queries.latest_errors(_errors(spark, sf_dir), limit=10)
@@ -334,6 +364,31 @@ def retained_minutes(spark, sf_dir):
     )
 
 
+@query
+def retained_raw_stored(spark, sf_dir):
+    """Raw events of the stored table that have not expired."""
+    tables = _stored_in_parts(spark, sf_dir)
+    kept = lifecycle.read_retained(spark, tables, RAW_ROUTE, fixture.MAIN)
+    return kept.select("kafka_partition", "kafka_offset", "event_date")
+
+
+@query
+def retained_minutes_stored(spark, sf_dir):
+    """Minutes merged from the stored states that have not expired."""
+    tables = _stored_in_parts(spark, sf_dir)
+    return rollup.minute_aggregates(lifecycle.read_retained(spark, tables, stored.MINUTE, fixture.MAIN))
+
+
+@query
+def schema_check(spark, sf_dir):
+    """The four tables by name, after an ingest: there or not, and their rows."""
+    tables = _stored_in_parts(spark, sf_dir)
+    catalog.drop_schema(spark)
+    catalog.init_schema(spark, tables)
+    catalog.verify_schema(spark)
+    return catalog.schema_check(spark)
+
+
 # Publishing
 
 
@@ -366,13 +421,15 @@ def key_strategy_mix(spark, sf_dir):
 # Streams
 
 
-def _streamed(spark: SparkSession, sf_dir: str, slices: list[int]) -> stored.Tables:
+def _streamed(
+    spark: SparkSession, sf_dir: str, slices: list[int], drop_replays: bool = False
+) -> stored.Tables:
     """Tables filled by draining a topic of files over several micro-batches."""
     folder = session.run_folder(spark, "stream")
     count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", slices)
     messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
     tables = stored.Tables(f"{folder}/tables")
-    ingest.drain(messages, tables, f"{folder}/checkpoint", fixture.MAIN)
+    ingest.drain(messages, tables, f"{folder}/checkpoint", fixture.MAIN, drop_replays)
     return tables
 
 
@@ -411,22 +468,20 @@ def stream_late_data(spark, sf_dir):
     return rollup.minute_aggregates(states)
 
 
+def _replayed(spark: SparkSession, sf_dir: str, slices: list[int]) -> DataFrame:
+    """Offsets of both tables, of a stream that reads messages again."""
+    tables = _streamed(spark, sf_dir, slices, drop_replays=True)
+    keys = "kafka_partition", "kafka_offset"
+    return stored.read_raw(spark, tables).select(*keys).unionByName(stored.read_errors(spark, tables).select(*keys))
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    """A topic read twice, with replays dropped by streaming state."""
-    session.keep_state_on_disk(spark)
-    folder = session.run_folder(spark, "dedup")
-    count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", IN_ORDER + IN_ORDER)
-    messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
-    writer = (
-        dedup.drop_replays_in_stream(messages, "40 days")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .option("path", f"{folder}/unique")
-        .trigger(availableNow=True)
-    )
-    writer.start().awaitTermination()
-    unique = spark.read.schema(MESSAGE).parquet(f"{folder}/unique")
-    return unique.select(
-        F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")
-    )
+    """A topic read twice, its replays left out against what is stored."""
+    return _replayed(spark, sf_dir, IN_ORDER + IN_ORDER)
+
+
+@query
+def stream_dedup_late(spark, sf_dir):
+    """The same with the oldest messages first seen last, which none may be lost of."""
+    return _replayed(spark, sf_dir, OLDEST_LAST[:2] + OLDEST_LAST)

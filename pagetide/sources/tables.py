@@ -1,25 +1,34 @@
-"""Stored tables: layout, replay-safe writing, reading.
-
-    <root>/log/route=raw/batch_id=N/month=YYYYMM/      raw events
-    <root>/log/route=errors/batch_id=N/month=YYYYMM/   rejected messages
-    <root>/minute/batch_id=N/month=YYYYMM/             minute states
-    <root>/minute_compacted/batches=A-B/month=YYYYMM/  states of batches A to B
-    <root>/hour/..., <root>/hour_compacted/...         the same by hour
-
-A batch owns its directories and replaces them when it runs again. Raw events
-and rejected messages leave one job together, so a message is in exactly one of
-the two tables. A complete compacted directory stands for its range of batches;
-readers skip what it replaces, whether or not that has been deleted yet.
-
-One ingest at a time may write below a root; readers and compaction are free to
-run beside it.
+"""Stored tables: layout, commits, replay-safe writing, reading.
+
+    <root>/log/route=raw/month=YYYYMM/batch_id=N/      raw events
+    <root>/log/route=errors/month=YYYYMM/batch_id=N/   rejected messages
+    <root>/minute/month=YYYYMM/batch_id=N/             minute states
+    <root>/hour/month=YYYYMM/batch_id=N/               hour states
+    <root>/<table>_compacted/batches=A-B/month=YYYYMM/ batches A to B, merged
+    <root>/commits/N.json, <root>/commits/A-B.json     what finished batches hold
+    <root>/owner.json                                  whose batch numbers these are
+
+A batch owns its directories. Its commit record is written last and taken away
+first when the batch runs again, and readers and compaction look at recorded
+batches only, so a half-written batch is never seen and a message is in exactly
+one of the two tables. A complete compacted directory stands for its range of
+batches; readers skip what it replaces, whether or not that has been deleted yet.
+Reads bounded by time list only the months they need.
+
+One ingest at a time may write below a root, and a root belongs to the first that
+did: batch numbers start over with a new checkpoint, so another one is refused.
+A query that has been planned before a batch is written again, or longer before
+``lifecycle.clean`` than its grace period, may find its files gone and must be
+asked again.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +43,13 @@ CODECS = {"none": "uncompressed", "snappy": "snappy", "lz4": "lz4_raw", "gzip":
 
 MINUTE = "minute"
 HOUR = "hour"
+SCHEMAS = {RAW_ROUTE: RAW, ERROR_ROUTE: ERRORS, MINUTE: MINUTE_STATE, HOUR: MINUTE_STATE}
+
+# Who owns a root that is filled without a stream.
+BATCH_OWNER = "batch"
 
-_PARTITIONS = [T.StructField("batch_id", T.LongType()), T.StructField("month", T.IntegerType())]
+_MONTH = T.StructField("month", T.IntegerType())
+_BATCH = T.StructField("batch_id", T.LongType())
 
 
 @dataclass(frozen=True)
@@ -49,14 +63,16 @@ class Tables:
         if self.codec not in CODECS:
             raise ValueError(f"unknown codec {self.codec!r}, use one of {sorted(CODECS)}")
 
-    def log(self, route: str) -> str:
-        return f"{self.root}/log/route={route}"
+    def live(self, table: str) -> str:
+        """Directory of the batches of ``raw``, ``errors``, ``minute`` or ``hour``."""
+        return f"{self.root}/log/route={table}" if table in (RAW_ROUTE, ERROR_ROUTE) else f"{self.root}/{table}"
 
-    def states(self, grain: str) -> str:
-        return f"{self.root}/{grain}"
+    def compacted(self, table: str) -> str:
+        return f"{self.root}/{table}_compacted"
 
-    def compacted(self, grain: str) -> str:
-        return f"{self.root}/{grain}_compacted"
+    @property
+    def commits(self) -> str:
+        return f"{self.root}/commits"
 
     def writer_options(self) -> dict[str, str]:
         return {
@@ -67,87 +83,164 @@ class Tables:
 
 
 def create_directories(spark: SparkSession, tables: Tables) -> None:
-    for path in (
-        tables.log(RAW_ROUTE),
-        tables.log(ERROR_ROUTE),
-        tables.states(MINUTE),
-        tables.states(HOUR),
-    ):
+    for path in (*map(tables.live, SCHEMAS), tables.commits):
         files.make_directory(spark, path)
 
 
+# Owners and commits
+
+
+def owner(spark: SparkSession, tables: Tables) -> str | None:
+    text = files.read_text(spark, f"{tables.root}/owner.json")
+    return json.loads(text)["owner"] if text else None
+
+
+def claim(spark: SparkSession, tables: Tables, name: str) -> None:
+    """Take the root, or raise if another has it."""
+    found = owner(spark, tables)
+    if found is None:
+        files.write_text(spark, f"{tables.root}/owner.json", json.dumps({"owner": name}))
+    elif found != name:
+        raise ValueError(f"{tables.root} is filled by {found}, whose batch numbers {name} would replace")
+
+
+def commits(spark: SparkSession, tables: Tables) -> list[dict]:
+    """Records of finished batches, ascending: ``first`` and ``last`` batch, and
+    ``offsets``, the first and last offset of every topic partition.
+
+    Older records have been folded together, so their number stays bounded.
+    """
+    found = [json.loads(files.read_text(spark, p)) for p in files.matching(spark, f"{tables.commits}/*.json")]
+    found.sort(key=lambda r: (r["first"], -r["last"]))
+    kept: list[dict] = []
+    for record in found:
+        if not kept or record["last"] > kept[-1]["last"]:
+            kept.append(record)
+    return kept
+
+
+def _commit_path(tables: Tables, first: int, last: int) -> str:
+    return f"{tables.commits}/{first if first == last else f'{first}-{last}'}.json"
+
+
+def committed_ranges(spark: SparkSession, tables: Tables) -> list[tuple[int, int]]:
+    """Finished batches as ranges without gaps, from the records' names alone."""
+    ranges: list[tuple[int, int]] = []
+    for path in files.matching(spark, f"{tables.commits}/*.json"):
+        first, _, last = path.rsplit("/", 1)[1].removesuffix(".json").partition("-")
+        ranges.append((int(first), int(last or first)))
+    merged: list[tuple[int, int]] = []
+    for first, last in sorted(ranges):
+        if merged and first <= merged[-1][1] + 1:
+            merged[-1] = merged[-1][0], max(last, merged[-1][1])
+        else:
+            merged.append((first, last))
+    return merged
+
+
+def commit(spark: SparkSession, tables: Tables, batch_id: int) -> None:
+    """Record a batch as finished, with the offsets it holds."""
+    places = None
+    for route in (RAW_ROUTE, ERROR_ROUTE):
+        rows = _read_batch(spark, tables, route, batch_id).select("kafka_partition", "kafka_offset")
+        places = rows if places is None else places.unionByName(rows)
+    ends = places.groupBy("kafka_partition").agg(F.min("kafka_offset"), F.max("kafka_offset"))
+    offsets = {str(partition): [low, high] for partition, low, high in ends.collect()}  # a row per topic partition
+    record = {"first": batch_id, "last": batch_id, "offsets": offsets}
+    files.write_text(spark, _commit_path(tables, batch_id, batch_id), json.dumps(record))
+
+
+def fold_commits(spark: SparkSession, tables: Tables, last: int) -> None:
+    """One record for all finished batches up to ``last``, in place of theirs."""
+    records = [r for r in commits(spark, tables) if r["last"] <= last]
+    if len(records) < 2:
+        return
+    first, last = records[0]["first"], records[-1]["last"]
+    if any(a["last"] + 1 != b["first"] for a, b in zip(records, records[1:])):
+        raise ValueError(f"batches {first} to {last} are not all finished")
+    offsets: dict[str, list[int]] = {}
+    for record in records:
+        for partition, (low, high) in record["offsets"].items():
+            known = offsets.get(partition, [low, high])
+            offsets[partition] = [min(low, known[0]), max(high, known[1])]
+    folded = {"first": first, "last": last, "offsets": offsets}
+    files.write_text(spark, _commit_path(tables, first, last), json.dumps(folded))
+    for record in records:
+        files.delete(spark, _commit_path(tables, record["first"], record["last"]))
+
+
+# Writing
+
+
+def _delete_batch(spark: SparkSession, tables: Tables, table: str, batch_id: int) -> None:
+    for path in files.matching(spark, f"{tables.live(table)}/month=*/batch_id={batch_id}"):
+        files.delete(spark, path)
+
+
 def write_log(
     routed: DataFrame, tables: Tables, batch_id: int, rebalance: bool = False
 ) -> None:
     """Store valid events and rejected messages of one batch, in one pass.
 
-    Sorted within each task, so that row-group statistics can skip. With
-    ``rebalance`` the rows are first gathered by table and month into files of
-    the advisory partition size, splitting large and merging small ones: worth
-    a shuffle where many source partitions each hold little. Adaptive execution
-    does the splitting, so without it rows stay where they are.
+    The batch counts as unfinished from here until ``commit``. Rows are sorted
+    within each task, so that row-group statistics can skip. With ``rebalance``
+    the rows are first gathered by table and month into files of the advisory
+    partition size, splitting large and merging small ones: worth a shuffle where
+    many source partitions each hold little. Adaptive execution does the
+    splitting, so without it rows stay where they are.
     """
     spark = session.configure(routed.sparkSession)
+    if any(first <= batch_id <= last for t in SCHEMAS for first, last in compacted_ranges(spark, tables, t)):
+        raise ValueError(f"batch {batch_id} has been compacted and cannot be written again")
     if rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         routed = routed.hint("rebalance", "route", "month")
-    for route in (RAW_ROUTE, ERROR_ROUTE):
-        files.delete(spark, f"{tables.log(route)}/batch_id={batch_id}")
+    files.delete(spark, _commit_path(tables, batch_id, batch_id))
+    for table in SCHEMAS:
+        _delete_batch(spark, tables, table, batch_id)
     (
         routed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .sortWithinPartitions("route", "batch_id", "month", "event_date", "page_id", "user_id")
+        .sortWithinPartitions("route", "month", "batch_id", "event_date", "page_id", "user_id")
         .write.mode("append")
         .options(**tables.writer_options())
-        .partitionBy("route", "batch_id", "month")
+        .partitionBy("route", "month", "batch_id")
         .parquet(f"{tables.root}/log")
     )
 
 
-def read_raw(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Raw events, with their ``batch_id`` and ``month`` partition columns."""
-    schema = T.StructType(RAW.fields + _PARTITIONS)
-    return spark.read.schema(schema).parquet(tables.log(RAW_ROUTE))
-
-
-def read_errors(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Rejected messages, with their ``batch_id`` and ``month`` partition columns."""
-    schema = T.StructType(ERRORS.fields + _PARTITIONS)
-    return spark.read.schema(schema).parquet(tables.log(ERROR_ROUTE))
-
-
-def _read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """One batch of a table, listing that batch's directory only."""
-    batch = f"{path}/batch_id={batch_id}"
-    if not files.exists(spark, batch):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(batch)
-
-
-def read_raw_batch(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
-    return _read_batch(spark, tables.log(RAW_ROUTE), RAW, batch_id)
-
-
-def write_states(states: DataFrame, path: str, tables: Tables) -> None:
-    """Replace one directory of states."""
-    session.configure(states.sparkSession)
+def _write_states(states: DataFrame, tables: Tables, table: str, batch_id: int) -> None:
     (
-        states.select(*MINUTE_STATE.fieldNames())
-        .withColumn("month", times.month(F.col("window_start")))
-        .sortWithinPartitions("month", "window_start", "page_id")
-        .write.mode("overwrite")
+        _with_month(states)
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("append")
         .options(**tables.writer_options())
-        .partitionBy("month")
-        .parquet(path)
+        .partitionBy("month", "batch_id")
+        .parquet(tables.live(table))
     )
 
 
+def _with_month(states: DataFrame) -> DataFrame:
+    session.configure(states.sparkSession)
+    dated = states.select(*MINUTE_STATE.fieldNames()).withColumn("month", times.month(F.col("window_start")))
+    return dated.sortWithinPartitions("month", "window_start", "page_id")
+
+
 def write_batch_states(spark: SparkSession, tables: Tables, batch_id: int) -> None:
     """Minute states from the batch's stored raw events, hour states from those."""
-    raw = read_raw_batch(spark, tables, batch_id)
-    minute_path = tables.states(MINUTE)
-    write_states(rollup.minute_states(raw), f"{minute_path}/batch_id={batch_id}", tables)
-    minutes = _read_batch(spark, minute_path, MINUTE_STATE, batch_id)
-    write_states(
-        rollup.hour_states(minutes), f"{tables.states(HOUR)}/batch_id={batch_id}", tables
+    for table in (MINUTE, HOUR):
+        _delete_batch(spark, tables, table, batch_id)
+    raw = _read_batch(spark, tables, RAW_ROUTE, batch_id)
+    _write_states(rollup.minute_states(raw), tables, MINUTE, batch_id)
+    minutes = _read_batch(spark, tables, MINUTE, batch_id)
+    _write_states(rollup.hour_states(minutes), tables, HOUR, batch_id)
+
+
+def write_compacted(rows: DataFrame, tables: Tables, table: str, first: int, last: int) -> None:
+    """One directory that stands for batches ``first`` to ``last``."""
+    session.configure(rows.sparkSession)
+    if table in (MINUTE, HOUR):
+        rows = _with_month(rows)
+    rows.write.mode("overwrite").options(**tables.writer_options()).partitionBy("month").parquet(
+        f"{tables.compacted(table)}/batches={first}-{last}"
     )
 
 
@@ -157,23 +250,68 @@ def ingest_batch(
     tables: Tables,
     as_of: times.Clock = None,
     rebalance: bool = False,
+    owned_by: str = BATCH_OWNER,
+    drop_replays: bool = False,
 ) -> None:
     """Gate one batch of messages and bring all tables up to date with it.
 
     Running a batch again replaces what it wrote before. A backfill whose
-    splits are large needs no ``rebalance``.
+    splits are large needs no ``rebalance``. ``drop_replays`` leaves out messages
+    that another batch has stored.
     """
-    gated = events.gate(messages, as_of)
-    write_log(events.routed_rows(gated), tables, batch_id, rebalance)
-    write_batch_states(messages.sparkSession, tables, batch_id)
+    routed = events.routed_rows(events.gate(messages, as_of))
+    store_batch(routed, batch_id, tables, owned_by, rebalance, drop_replays)
+
+
+def store_batch(
+    routed: DataFrame, batch_id: int, tables: Tables, owned_by: str, rebalance: bool, drop_replays: bool
+) -> None:
+    """Store rows of both tables with their states, and record the batch last."""
+    spark = routed.sparkSession
+    claim(spark, tables, owned_by)
+    if drop_replays:
+        routed = without_replays(routed, tables, batch_id)
+    write_log(routed, tables, batch_id, rebalance)
+    write_batch_states(spark, tables, batch_id)
+    commit(spark, tables, batch_id)
 
 
-def compacted_ranges(spark: SparkSession, tables: Tables, grain: str) -> list[tuple[int, int]]:
+def without_replays(routed: DataFrame, tables: Tables, batch_id: int) -> DataFrame:
+    """Rows whose topic partition and offset occur once here and in no other batch.
+
+    The records of finished batches tell which of them hold offsets in question;
+    only their two key columns are read, and nothing where no range overlaps.
+    """
+    spark = routed.sparkSession
+    keys = ["kafka_partition", "kafka_offset"]
+    once_each = routed.dropDuplicates(keys)
+    ends = routed.groupBy("kafka_partition").agg(F.min("kafka_offset"), F.max("kafka_offset")).collect()
+    overlapping = [
+        record
+        for record in commits(spark, tables)
+        if not record["first"] <= batch_id <= record["last"]
+        and any(
+            low <= record["offsets"][str(p)][1] and high >= record["offsets"][str(p)][0]
+            for p, low, high in ends
+            if str(p) in record["offsets"]
+        )
+    ]
+    for record in overlapping:
+        for route in (RAW_ROUTE, ERROR_ROUTE):
+            seen = read(spark, tables, route, whole_range=(record["first"], record["last"])).select(*keys)
+            once_each = once_each.join(seen, keys, "left_anti")
+    return once_each
+
+
+# Reading
+
+
+def compacted_ranges(spark: SparkSession, tables: Tables, table: str) -> list[tuple[int, int]]:
     """Batch ranges that complete compacted directories stand for, ascending.
 
     A range inside a wider one has been compacted further and is left out.
     """
-    done = files.matching(spark, f"{tables.compacted(grain)}/batches=*/_SUCCESS")
+    done = files.matching(spark, f"{tables.compacted(table)}/batches=*/_SUCCESS")
     ranges = []
     for path in done:
         first, last = files.partition_value(path.rsplit("/", 1)[0]).split("-")
@@ -185,34 +323,91 @@ def compacted_ranges(spark: SparkSession, tables: Tables, grain: str) -> list[tu
     )
 
 
-def read_states(
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def _months(spark: SparkSession, pattern: str, since: date | None) -> list[str]:
+    """Month directories matching the pattern, from the month of ``since`` on."""
+    least = 0 if since is None else since.year * 100 + since.month
+    return [p for p in files.matching(spark, pattern) if int(files.partition_value(p)) >= least]
+
+
+def _read_batch(spark: SparkSession, tables: Tables, table: str, batch_id: int) -> DataFrame:
+    """One batch of a table, finished or not, listing its own directories only."""
+    paths = files.matching(spark, f"{tables.live(table)}/month=*/batch_id={batch_id}")
+    if not paths:
+        return _empty(spark, SCHEMAS[table])
+    reader = spark.read.schema(SCHEMAS[table]).option("basePath", tables.live(table))
+    return reader.parquet(*paths)
+
+
+def _in_ranges(ranges: list[tuple[int, int]]) -> Column:
+    inside = F.lit(False)
+    for first, last in ranges:
+        inside = inside | F.col("batch_id").between(first, last)
+    return inside
+
+
+def read(
     spark: SparkSession,
     tables: Tables,
-    grain: str = MINUTE,
+    table: str,
     first: int = 0,
     last: int | None = None,
+    since: date | None = None,
+    whole_range: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """State rows of all batches, or of batches ``first`` to ``last``, with ``month``.
+    """Rows of finished batches, with their ``month`` and ``batch_id``.
 
-    Bounds may not cut through a compacted range.
+    Compacted rows carry the last batch of their range. ``first`` and ``last`` bound
+    the batches and may not cut through a compacted range; ``whole_range`` asks for
+    all ranges that touch it instead. With ``since`` only directories of its month
+    and later ones are listed and read.
     """
-    ranges = compacted_ranges(spark, tables, grain)
+    ranges = compacted_ranges(spark, tables, table)
     after = max((r[1] for r in ranges), default=-1)
+    if whole_range is not None:
+        first, last = whole_range
     wanted = [r for r in ranges if r[1] >= first and (last is None or r[0] <= last)]
-    if any(r[0] < first or (last is not None and r[1] > last) for r in wanted):
+    if whole_range is None and any(r[0] < first or (last is not None and r[1] > last) for r in wanted):
         raise ValueError(f"batches {first} to {last} cut through compacted ranges {wanted}")
-    live_schema = T.StructType(MINUTE_STATE.fields + _PARTITIONS)
-    live = spark.read.schema(live_schema).parquet(tables.states(grain))
-    live = live.filter(F.col("batch_id") >= max(first, after + 1))
-    if last is not None:
-        live = live.filter(F.col("batch_id") <= last)
-    live = live.drop("batch_id")
-    if not wanted:
-        return live
-    base = tables.compacted(grain)
-    merged_schema = T.StructType(
-        [*MINUTE_STATE.fields, T.StructField("batches", T.StringType()), *_PARTITIONS[1:]]
-    )
-    reader = spark.read.schema(merged_schema).option("basePath", base)
-    merged = reader.parquet(*[f"{base}/batches={a}-{b}" for a, b in wanted])
-    return merged.drop("batches").unionByName(live)
+    schema = T.StructType([*SCHEMAS[table].fields, _MONTH, _BATCH])
+    out = _empty(spark, schema)
+    live = _months(spark, f"{tables.live(table)}/month=*", since)
+    done = [
+        (max(a, first, after + 1), b if last is None else min(b, last))
+        for a, b in committed_ranges(spark, tables)
+    ]
+    if live and (done := [(a, b) for a, b in done if a <= b]):
+        rows = spark.read.schema(schema).option("basePath", tables.live(table)).parquet(*live)
+        out = rows.filter(_in_ranges(done))
+    merged = T.StructType([*SCHEMAS[table].fields, _MONTH])
+    for a, b in wanted:
+        base = f"{tables.compacted(table)}/batches={a}-{b}"
+        if paths := _months(spark, f"{base}/month=*", since):
+            rows = spark.read.schema(merged).option("basePath", base).parquet(*paths)
+            out = out.unionByName(rows.withColumn("batch_id", F.lit(b).cast("bigint")))
+    return out
+
+
+def read_raw(spark: SparkSession, tables: Tables, since: date | None = None) -> DataFrame:
+    """Raw events of finished batches, with ``month`` and ``batch_id``."""
+    return read(spark, tables, RAW_ROUTE, since=since)
+
+
+def read_errors(spark: SparkSession, tables: Tables, since: date | None = None) -> DataFrame:
+    """Rejected messages of finished batches, with ``month`` and ``batch_id``."""
+    return read(spark, tables, ERROR_ROUTE, since=since)
+
+
+def read_states(
+    spark: SparkSession,
+    tables: Tables,
+    grain: str = MINUTE,
+    first: int = 0,
+    last: int | None = None,
+    since: date | None = None,
+) -> DataFrame:
+    """State rows of all finished batches, or of some, with ``month``."""
+    return read(spark, tables, grain, first, last, since).drop("batch_id")

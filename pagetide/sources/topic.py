@@ -14,7 +14,7 @@ def topic_options(
     servers: str,
     topic: str,
     start: str = "earliest",
-    max_rows_per_batch: int | None = None,
+    max_rows_per_batch: int | None = 50_000_000,
     max_rows_per_task: int = 500_000,
     fetch_min_bytes: int | None = None,
     fetch_max_bytes: int | None = None,
@@ -23,7 +23,8 @@ def topic_options(
     """Options of the Kafka source; ``flush`` takes those of ``flush_rule``.
 
     ``start`` applies to the first run only; later runs go on from the
-    checkpoint. A topic partition that holds more than ``max_rows_per_task`` is
+    checkpoint. A batch takes at most ``max_rows_per_batch``, so that a first run
+    from the earliest offset is not one batch of the whole topic. A topic partition that holds more than ``max_rows_per_task`` is
     read by several tasks, so one busy partition does not hold up the batch.
     """
     if start not in STARTS:

@@ -7,18 +7,27 @@ window until the gate calls it too old.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from pagetide.functions import times
 from pagetide.operators import events, reports
+from pagetide.sources import files
 from pagetide.sources import tables as stored
 
 FLUSH_MODES = ("batch", "time", "hybrid")
 
+# The reference values of the flush rule, for a topic of a few events a second.
+SMALL_ROWS, SMALL_SECONDS = 1000, 10
+
+# Defaults for a large cluster: files of a useful size, a few batches a minute at most.
+ROWS, SECONDS = 1_000_000, 60
+
 
 def flush_rule(
-    mode: str = "hybrid", rows: int = 1000, seconds: int = 10
+    mode: str = "hybrid", rows: int = ROWS, seconds: int = SECONDS
 ) -> tuple[dict[str, str], dict[str, str]]:
     """Source options and trigger for flushing by size, by time or by either."""
     if mode not in FLUSH_MODES:
@@ -39,6 +48,7 @@ def start_ingest(
     checkpoint: str,
     as_of: times.Clock = None,
     name: str | None = None,
+    drop_replays: bool = False,
     **trigger: object,
 ) -> StreamingQuery:
     """Run the ingest over a stream of messages.
@@ -46,17 +56,23 @@ def start_ingest(
     With the default clock each micro-batch is judged by its own start time,
     which the checkpoint remembers, so a replayed batch is judged alike and
     replaces its earlier output. Tables and checkpoint belong together: batch
-    numbers start over with a new checkpoint.
+    numbers start over with a new checkpoint, so tables that another checkpoint
+    has filled are refused. ``drop_replays`` leaves out messages that an earlier
+    batch has stored, however long ago.
 
     ``trigger`` is passed on; ``availableNow=True`` drains the topic and stops.
     """
-    stored.create_directories(messages.sparkSession, tables)
+    spark = messages.sparkSession
+    stored.create_directories(spark, tables)
+    known = files.read_text(spark, f"{checkpoint}/metadata")
+    if (found := stored.owner(spark, tables)) is not None and (not known or json.loads(known)["id"] != found):
+        raise ValueError(f"{tables.root} has been filled from another checkpoint than {checkpoint}")
     gated = events.gate(messages, as_of)
     routed = events.routed_rows(gated.observe("ingest", *reports.ingest_counts()))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stored.write_log(batch, tables, batch_id, rebalance=True)
-        stored.write_batch_states(batch.sparkSession, tables, batch_id)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stored.store_batch(batch, batch_id, tables, query, True, drop_replays)
 
     writer = routed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if name is not None:
@@ -69,6 +85,8 @@ def drain(
     tables: stored.Tables,
     checkpoint: str,
     as_of: times.Clock = None,
+    drop_replays: bool = False,
 ) -> None:
     """Flush everything that is there now and return when it is stored."""
-    start_ingest(messages, tables, checkpoint, as_of, availableNow=True).awaitTermination()
+    query = start_ingest(messages, tables, checkpoint, as_of, drop_replays=drop_replays, availableNow=True)
+    query.awaitTermination()

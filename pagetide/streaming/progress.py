@@ -30,12 +30,17 @@ def summarize(progress: dict) -> dict[str, object]:
 
 
 class StatisticsListener(StreamingQueryListener):
-    """Adds up batch counters and logs the totals at most every ``seconds``."""
+    """Adds up batch counters and logs the totals at most every ``seconds``.
+
+    ``failed`` counts queries that ended with an error, each of which left one batch
+    to be stored again.
+    """
 
     def __init__(self, seconds: float = 30.0) -> None:
         self.seconds = seconds
         self.totals = {"messages_processed": 0, "valid_messages": 0, "invalid_messages": 0}
         self.flushes = 0
+        self.failed = 0
         self.lag = 0
         self._logged_at = 0.0
 
@@ -57,4 +62,7 @@ class StatisticsListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        log.info("query %s ended, flushes=%d %s", event.id, self.flushes, self.totals)
+        if event.exception is not None:  # the batch it was at is not stored
+            self.failed += 1
+            log.error("query %s failed: %s", event.id, event.exception)
+        log.info("query %s ended, flushes=%d failed=%d %s", event.id, self.flushes, self.failed, self.totals)
