@@ -44,6 +44,8 @@ from pagetide.llm.common import ByteHashes, in_chunks, joined, mixed, starts_of,
 TOKENS = 32
 #: Nodes compared at once; deepest split; a bucket this share of the one it was split from is tight.
 LIMIT, DEPTH, TIGHT = 512, 6, 0.6
+#: Entries of the arrays in which pairs are compared at once.
+PAIRS = 1 << 21
 _ODD = mixed(np.arange(64), 21) | np.uint64(1)
 
 
@@ -181,34 +183,43 @@ def _candidates(similarity: float):
     return run
 
 
+def _square(owner: np.ndarray, codes: np.ndarray, keys: np.ndarray, n: int, mine: int) -> np.ndarray:
+    """The keys of the buckets that each of n nodes reached under codes before ``mine``."""
+    use = codes < mine
+    names, where = np.unique(codes[use], return_inverse=True)
+    square = np.repeat(np.arange(n)[:, None], len(names), 1)  # what was not reached equals nothing
+    square[owner[use], where] = keys[use]
+    return square
+
+
 def _chosen(some: pa.Table, similarity: float, least: int) -> Iterator[pa.RecordBatch]:
     """The nodes of each bucket with a candidate that meets them here first."""
     columns = {c: some.column(c).to_numpy() for c in ("code", "key", "lo", "hi", "block", "size")}
-    tokens = some.column("tokens").combine_chunks().flatten().to_numpy().reshape(-1, TOKENS)
+    tokens = some.column("tokens").combine_chunks().flatten().to_numpy().astype(np.uint32).reshape(-1, TOKENS)
     reached = some.column("reached").combine_chunks()
-    owner = np.repeat(np.arange(len(some)), np.diff(reached.offsets.to_numpy()))
-    codes, where = np.unique(reached.flatten().field("code").to_numpy(), return_inverse=True)
-    keys = np.repeat(np.arange(len(some))[:, None], len(codes), 1)  # what was not reached equals nothing
-    keys[owner, where] = reached.flatten().field("key").to_numpy()
+    offsets = reached.offsets.to_numpy() - reached.offsets[0].as_py()
+    codes, keys = (reached.flatten().field(c).to_numpy() for c in ("code", "key"))
+    owner = np.repeat(np.arange(len(some)), np.diff(offsets))
     edges = starts_of(columns["code"], columns["key"], columns["lo"], columns["hi"])
     keep: list[int] = []
     slots: list[int] = []
     mates: list[list[int]] = []
     for start, end in zip(edges[:-1], edges[1:]):
         i, j = _pairs(columns["block"][start:end], columns["lo"][start], columns["hi"][start])
-        mine = int(np.searchsorted(codes, columns["code"][start]))
+        own = slice(offsets[start], offsets[end])
+        before = _square(owner[own] - start, codes[own], keys[own], end - start, columns["code"][start])
         left, right = [], []
-        for k in range(0, len(i), 100_000):
-            a, b = start + i[k : k + 100_000], start + j[k : k + 100_000]
-            sizes = columns["size"][a], columns["size"][b]
+        step = max(1, PAIRS // max(TOKENS, before.shape[1]))
+        for k in range(0, len(i), step):
+            a, b = i[k : k + step], j[k : k + step]
+            sizes = columns["size"][start + a], columns["size"][start + b]
             good = np.minimum(*sizes) >= similarity * np.maximum(*sizes) - 1e-9
             a, b = a[good], b[good]
+            good = ~(before[a] == before[b]).any(1)  # no bucket before this one has both
+            a, b = start + a[good], start + b[good]
             good = (tokens[a] == tokens[b]).sum(1) >= least
-            a, b = a[good], b[good]
-            if len(a):
-                good = (keys[a] == keys[b]).argmax(1) == mine
-                left.append(a[good])
-                right.append(b[good])
+            left.append(a[good])
+            right.append(b[good])
         if left and len(a := np.concatenate(left)):
             b = np.concatenate(right)
             order = np.argsort(a, kind="stable")
