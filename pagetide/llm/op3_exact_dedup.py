@@ -93,6 +93,10 @@ class OwnerTrie:
         for tail, owner, count in _terminals(edge[1]):
             pickle.dump((tail, owner, count), file)
             freed += len(tail) + _NODE
+        for head, node in _nodes(edge[1]):
+            if node.spill is not None:  # a part that was spilled before moves along
+                for tail, owner, count in _records(node.spill):
+                    pickle.dump((head + tail, owner, count), file)
         edge[1] = _Node()
         edge[1].spill = file
         self.size = max(0, self.size - freed)
@@ -105,16 +109,10 @@ class OwnerTrie:
                 yield head, node.owner, node.count
 
     def _unspilled(self, file) -> Iterator[tuple[bytes, int | None, int]]:
-        file.seek(0)
         trie = OwnerTrie(self.pick is max, self.memory)
-        while True:
-            try:
-                row = pickle.load(file)
-            except EOFError:
-                break
+        for row in _records(file):
             trie.insert(*row)
             trie.bound()
-        file.close()
         yield from trie.items()
 
     def bound(self) -> None:
@@ -122,6 +120,17 @@ class OwnerTrie:
             self.spill()
 
 
+def _records(file) -> Iterator[tuple[bytes, int | None, int]]:
+    """What a spill file holds; it is closed at the end."""
+    file.seek(0)
+    while True:
+        try:
+            yield pickle.load(file)
+        except EOFError:
+            file.close()
+            return
+
+
 def _common(label: bytes, key: bytes, at: int) -> int:
     """Length of the common prefix of ``label`` and ``key[at:]``, by halving."""
     low, high = 1, min(len(label), len(key) - at)

@@ -1,0 +1,129 @@
+"""Main text of pages and exact search."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pagetide.llm import op4_topk_search as op4
+from pagetide.llm import op5_html_extraction as op5
+
+
+def page(title, blocks, extra="", tail="</body></html>"):
+    body = "".join(f"<p>{b}</p>" for b in blocks)
+    return (
+        f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{}}</style><script>var t=\"</p>\";</script></head><body>"
+        f"<header><h2>Site</h2></header><nav><ul><li><a href=/a>Home {title}</a></li></ul></nav><!-- ad --><div class=\"ad\">Buy {title}</div>"
+        f"<article><h1>{title}</h1>{body}{extra}</article><aside>More</aside>"
+        f"<div class='cookie-notice'>We use cookies</div><form><label>Mail</label><input></form><footer>&copy; {title}</footer>{tail}"
+    )
+
+
+CASES = [
+    (page("A", ["One  two\n three", "x &amp; y &lt;z&gt; &eacute;&#233;"]), "A\nOne two three\nx & y <z> éé"),
+    (page("B", ["same line", "b"], "<section class='comments'><p>nice!</p></section>"), "B\nsame line\nb"),
+    (page("C", ["<b>bold</b> and <i>it</i>alic<br>next"]), "C\nbold and italic next"),
+    (page("D", ["open"], tail="").replace("</p>", ""), "D\nopen"),
+    (page("E", []), "E"),
+    ("<html><body><nav>menu</nav><div><p>No article here.</p><p>Only blocks.</p></div></body></html>", "No article here.\nOnly blocks."),
+    ("<p>unclosed <b>bold<p>next", "unclosed bold\nnext"),
+    ("plain text, no markup", "plain text, no markup"),
+    ("<div>" * 5000 + "deep" + "</div>" * 5000, "deep"),
+    ("", ""),
+    (None, ""),
+    ("<script>only</script><!-- c -->", ""),
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(i, f"http://h{i % 2}.example.org/{i}", html) for i, (html, _) in enumerate(CASES)]
+    rows += [(100 + i, "http://h0.example.org/x", page(f"T{i}", [f"line {i}", "common"])) for i in range(20)]
+    rows.append((200, None, page("N", ["no address"])))
+    return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS host", "3 AS path")
+
+
+def test_main_text(pages):
+    got = {r.page_id: r for r in op5.main_text(pages).collect()}
+    assert len(got) == len(CASES) + 21
+    for i, (_, text) in enumerate(CASES):
+        assert (i, got[i].text) == (i, text)
+        assert got[i].n_chars == len(text)
+    assert got[107].text == "T7\nline 7\ncommon"
+    assert got[200].text == "N\nno address" and got[200].url is None
+
+
+def test_the_slot_is_where_texts_differ():
+    template = None
+    for i in range(6):
+        html = (
+            f"<html><body><div class=top>Always the same words up here, quite many of them in fact, {'x ' * 60}</div>"
+            f"<div class=mid><p>Text number {i} {'y ' * i * 9}</p><p>Second {i}</p></div><div class=low><a href=/>link {i}</a></div></body></html>"
+        )
+        template = op5.merged(template, op5.outline(op5.parse(html)))
+    assert op5.slot(template) == ["", "html", "body", "div mid"]
+
+
+def test_trees_are_matched_in_order():
+    a = op5.outline(op5.parse("<body><h1>x</h1><p>1</p><ul><li>a</li></ul><p>2</p></body>"))
+    b = op5.outline(op5.parse("<body><p>1</p><ul><li>b</li></ul><div>n</div><p>2</p></body>"))
+    joined = op5.merged(a, b)
+    (body,) = joined[op5.KIDS]
+    assert [(k[op5.SIGN], k[op5.PAGES], k[op5.VARIED]) for k in body[op5.KIDS]] == [
+        ("h1", 1, 0), ("p", 2, 0), ("ul", 2, 0), ("div", 1, 0), ("p", 2, 0),
+    ]
+    assert body[op5.KIDS][2][op5.KIDS][0][op5.VARIED] == 1
+
+
+def test_templates_stay_small(monkeypatch):
+    monkeypatch.setattr(op5, "NODES", 20)
+    template = None
+    for i in range(60):
+        html = f"<html><body><article><p>{i}</p></article>" + "".join(f"<div class={chr(97 + (i + k) % 26) * 3}>x</div>" for k in range(5))
+        template = op5.merged(template, op5.outline(op5.parse(html)))
+        assert sum(1 for _ in op5._walk(template)) < 60
+    assert op5.slot(template)[-1] == "article"
+
+
+def test_no_pages(pages):
+    assert op5.main_text(pages.limit(0)).count() == 0
+
+
+def brute(vectors, k):
+    whole = {
+        i: np.floor(256 * np.array(v, np.float64)).astype(int)
+        for i, v in vectors
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    }
+    rows = []
+    for q, x in whole.items():
+        if q % 50 == 0:
+            scored = sorted((-int(x @ y), i) for i, y in whole.items() if i != q and len(x) == len(y))
+            rows += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    return sorted(rows)
+
+
+@pytest.mark.parametrize("sizes", [(4096, 256, 16), (16, 4, 2)])
+def test_topk_search(spark, monkeypatch, sizes):
+    for name, value in zip(("CANDIDATES", "QUERIES", "STREAM"), sizes):
+        monkeypatch.setattr(op4, name, value)
+    rng = np.random.default_rng(2)
+    vectors = [(i, [float(np.float32(x)) for x in rng.normal(size=24) / 5]) for i in range(400)]
+    vectors += [(i, vectors[0][1]) for i in range(400, 420)]  # ties
+    vectors += [(450, None), (500, [1.0, None]), (550, [float("nan")] * 24), (600, [1.0, 2.0]), (601, [2.0, 1.0]), (650, []), (None, vectors[1][1])]
+    vectors += [(700, [0.0] * 24), (750, [float("inf")] * 24)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").selectExpr("*", "1 AS label", "2 AS id", "3 AS block", "4 AS score")
+    got = sorted(tuple(r) for r in op4.topk_search(df.repartition(3)).collect())
+    assert got == brute(vectors, 5)
+    assert op4.topk_search(df.limit(0)).count() == 0
+
+
+def test_scores_that_would_not_be_exact_are_refused(spark):
+    df = spark.createDataFrame([(0, [1e12, 1e12]), (1, [1e12, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        op4.topk_search(df).collect()
+
+
+def test_repeated_ids_are_merged(spark):
+    df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [0.5]), (2, [0.25])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in op4.topk_search(df, k=2).collect()) == [(0, 1, 1, 32768), (0, 2, 2, 16384)]
+    assert df.where(F.lit(False)).count() == 0
