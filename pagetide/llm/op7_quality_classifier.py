@@ -9,7 +9,7 @@ to length one. A document is the mean of its units' vectors besides a few shares
 its score, whose logit is divided by a temperature fitted on rows kept aside.
 
 The learning sample is at most ``sample`` labelled rows, those of smallest hashed
-id, and is the only thing learnt from; it is gathered on the driver, as its bound
+id, and at most ``SAMPLE_BYTES`` of whole texts. It is the only thing learnt from; it is gathered on the driver, as its bound
 allows. The model's size does not depend on the data. Every document is scored on
 its whole text, by one pass without shuffle.
 
@@ -23,16 +23,19 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import ByteHashes, in_chunks, joined, mixed, utf8, words
 
-SAMPLE = 6000
+#: Labelled rows learnt from, and bytes of their texts: both are bounds of the method.
+SAMPLE, SAMPLE_BYTES = 6000, 32 << 20
+#: Least number of learning steps, for small samples.
+STEPS = 2000
 UNITS, WIDTH, NONZERO, WINDOW, HIDDEN = 1 << 15, 48, 4, 2, 32
 
 #: Kinds of bytes: lower case, upper case, digit, other ASCII, beyond ASCII.
@@ -105,21 +108,19 @@ def index_vectors(table: int) -> np.ndarray:
     return vectors
 
 
-def word_vectors(units: Units) -> list[np.ndarray]:
+def word_vectors(parts: Callable[[], Iterator[Units]]) -> list[np.ndarray]:
     """Sums of the index vectors of neighbours, up to two words away in one document."""
     index = [index_vectors(0), index_vectors(1)]
-    out = []
-    for mine, other in ((0, 1), (1, 0)):
-        sums = np.zeros((UNITS, WIDTH), np.float32)
-        for step in range(1, WINDOW + 1):
-            same = units.doc[step:] == units.doc[:-step]
-            left, right = units.units[mine][:-step][same], units.units[mine][step:][same]
-            for here, near in ((left, right), (right, left)):
-                _add(sums, here, index[mine][near])
-        _add(sums, units.units[mine], index[other][units.units[other]])
-        norm = np.linalg.norm(sums, axis=1, keepdims=True)
-        out.append(sums / np.maximum(norm, 1e-9))
-    return out
+    out = [np.zeros((UNITS, WIDTH), np.float32) for _ in index]
+    for units in parts():
+        for mine, other in ((0, 1), (1, 0)):
+            for step in range(1, WINDOW + 1):
+                same = units.doc[step:] == units.doc[:-step]
+                left, right = units.units[mine][:-step][same], units.units[mine][step:][same]
+                for here, near in ((left, right), (right, left)):
+                    _add(out[mine], here, index[mine][near])
+            _add(out[mine], units.units[mine], index[other][units.units[other]])
+    return [sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9) for sums in out]
 
 
 def _add(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
@@ -143,7 +144,8 @@ def pooled(units: Units, vectors: list[np.ndarray]) -> np.ndarray:
 
 
 class Network:
-    """Two layers and a temperature, learnt by Adam on a fixed number of passes."""
+    """Two layers and a temperature, learnt by Adam in a number of passes that the
+    sample's size sets."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, passes: int = 60, seed: int = 5):
         self.rate = float(y.mean()) if len(y) else 0.5
@@ -162,6 +164,7 @@ class Network:
 
     def _learn(self, x, y, passes, rng) -> None:
         n, d = x.shape
+        passes = max(passes, STEPS // max(1, n // 64))
         values = [rng.normal(0, d**-0.5, (d, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.log(self.rate / (1 - self.rate))]
         first, second = [0 * v for v in values], [0 * v for v in values]
         steps = 0
@@ -204,18 +207,27 @@ def _held_out(id_: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE) -> tuple[list[np.ndarray], Network]:
-    """Vectors and network from at most ``sample`` labelled rows that are not held out.
+    """Vectors and network from at most ``sample`` labelled rows that are not held out,
+    and of these in order of hashed id as many as ``SAMPLE_BYTES`` hold.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id``.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & ~_held_out(F.col("doc_id")))
     truth = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label_col).cast("double").alias("truth"))
     chosen = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    one = docs.join(chosen, "doc_id").select("doc_id", "text", "truth").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
-    rows = one.toArrow()
-    units = Units([t or b"" for t in utf8(rows.column("text").combine_chunks())] if rows.num_rows else [])
-    vectors = word_vectors(units)
-    return vectors, Network(pooled(units, vectors).astype(np.float64), rows.column("truth").to_numpy())
+    order = F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")
+    one = docs.join(chosen, "doc_id").select("doc_id", "text", "truth").orderBy(*order).limit(sample)
+    bytes_ = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy(*order))
+    rows = one.withColumn("bytes", bytes_).where(F.col("bytes") <= SAMPLE_BYTES).select("text", "truth").toArrow().combine_chunks()
+
+    def parts() -> Iterator[Units]:
+        for batch in in_chunks(rows.to_batches(), "text", 1 << 20):
+            yield Units([t or b"" for t in utf8(batch.column("text"))])
+
+    vectors = word_vectors(parts)
+    x = [pooled(units, vectors) for units in parts()]
+    x = np.concatenate(x) if x else np.zeros((0, 1), np.float32)
+    return vectors, Network(x.astype(np.float64), rows.column("truth").to_numpy())
 
 
 def _scorer(vectors: list[np.ndarray], network: Network):
