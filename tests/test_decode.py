@@ -102,6 +102,9 @@ MUST_PASS = {
         RAW_GOOD.replace('"user_id"', '"USER_ID"')[:-1] + ',"User_Id" : "z"}',
         {"user_id": "z"},
     ),
+    "exact and other case": (event(page_id="123")[:-1] + ',"Page_ID":"q"}', {"page_id": "q"}),
+    "exact text and other case": (event(page_id="abc")[:-1] + ',"Page_ID":""}', {"page_id": ""}),
+    "other case before the exact one": ('{"Page_ID":"q",' + RAW_GOOD[1:], {"page_id": "page_1"}),
     "key as text": (
         event(user_agent='"Region":', region=...),
         {"region": "", "user_agent": '"Region":'},

@@ -12,6 +12,8 @@ from helpers import event, messages
 from pagetide.functions import times
 from pagetide.operators import events, queries, rollup
 from pagetide.plans import fixture
+from pagetide.plans.expected import SQL
+from pagetide.plans.registry import QUERIES
 from pagetide.sources import tables as stored
 
 
@@ -24,7 +26,7 @@ def db(sf_dir):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     expected = db.execute(entry.oracle_sql()[name])
@@ -35,7 +37,8 @@ def test_query_matches_sql(spark, db, sf_dir, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_results_hold_no_binary_and_no_zoned_times(spark, sf_dir):
@@ -83,3 +86,12 @@ def test_stored_states_are_pruned(spark, sf_dir):
     assert "month" in text.split("PartitionFilters: [")[1].split("]")[0]
     counted = stored.read_raw(spark, tables).groupBy("page_id").count()
     assert "ReadSchema: struct<page_id:string>" in plan(counted)
+    narrow = plan(queries.latest_aggregates(stored.read_states(spark, tables), fixture.MAIN, keys_first=True))
+    assert "ReadSchema: struct<window_start:timestamp,page_id:string>" in narrow
+    # the plan's text is cut after the second bound, which is the subquery's
+    assert "GreaterThanOrEqual(window_start,2024-01-30 23:00:00.0), GreaterThanOrEq" in narrow
+
+
+def test_resends_are_dropped_by_hashing(spark, sf_dir):
+    text = plan(QUERIES["dedup_content"](spark, sf_dir))
+    assert "SortAggregate" not in text and "HashAggregate" in text

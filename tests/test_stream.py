@@ -3,6 +3,7 @@
 import glob
 import json
 import time
+from datetime import datetime, timedelta
 from types import SimpleNamespace
 
 import pyarrow.parquet as pq
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from helpers import NOW, event, messages, multiset
 from pagetide import session
 from pagetide.functions import times
-from pagetide.operators import dedup, events, rollup
+from pagetide.operators import events, rollup
 from pagetide.plans import fixture
 from pagetide.sources import publish, topic
 from pagetide.sources import tables as stored
@@ -45,7 +46,7 @@ def test_stream_equals_batch(spark, sf_dir, folder, slices):
     assert multiset(stored_raw.select(*raw.columns)) == multiset(raw)
     minutes = rollup.minute_aggregates(stored.read_states(spark, tables))
     assert multiset(minutes) == multiset(rollup.exact_aggregates(raw, times.minute))
-    for file in glob.glob(f"{tables.root}/log/route=raw/batch_id=*/month=*/*.parquet"):
+    for file in glob.glob(f"{tables.root}/log/route=raw/month=*/batch_id=*/*.parquet"):
         times_column = pq.ParquetFile(file).metadata.row_group(0).column(1)
         assert times_column.path_in_schema == "event_time"
         assert times_column.statistics.has_min_max
@@ -82,8 +83,10 @@ def test_a_failed_batch_is_replayed_whole(spark, folder, monkeypatch):
     monkeypatch.setattr(stored, "write_batch_states", fail)
     with pytest.raises(Exception, match="lost between the writes"):
         ingest.drain(rows, tables, f"{folder}/checkpoint")
-    clock_before = stored.read_errors(spark, tables).first().error_time
-    assert stored.read_raw(spark, tables).count() == 0  # the events are too old by now
+    assert stored.read_errors(spark, tables).count() == 0  # not finished
+    half = spark.read.parquet(tables.live("errors"))
+    clock_before = half.first().error_time
+    assert half.count() == 3  # the events are too old by now
     monkeypatch.setattr(stored, "write_batch_states", written)
     time.sleep(1.1)
     ingest.drain(rows, tables, f"{folder}/checkpoint")
@@ -102,13 +105,40 @@ def test_the_default_clock_is_now(spark, folder):
 
 
 def test_replays_are_dropped_across_batches(spark, folder):
-    for _ in range(2):
-        messages(spark, [event(), "x"]).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
-    rows = dedup.drop_replays_in_stream(topic.stream_files(spark, f"{folder}/topic", 1), "1 hour")
-    writer = rows.writeStream.format("parquet").option("path", f"{folder}/out")
-    writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    assert spark.read.parquet(f"{folder}/out").count() == 2
+    for start in (0, 0, 2, 1):
+        messages(spark, [event(), "x"], start=start).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+    tables = stored.Tables(f"{folder}/tables")
+    rows = topic.stream_files(spark, f"{folder}/topic", 1)
+    ingest.drain(rows, tables, f"{folder}/checkpoint", NOW, drop_replays=True)
+    both = stored.read_raw(spark, tables).select("kafka_offset").unionByName(stored.read_errors(spark, tables).select("kafka_offset"))
+    assert sorted(r.kafka_offset for r in both.collect()) == [0, 1, 2, 3]
+
+
+def test_another_checkpoint_is_refused(spark, folder):
+    messages(spark, [event()]).write.parquet(f"{folder}/topic")
+    tables = stored.Tables(f"{folder}/tables")
+    rows = topic.stream_files(spark, f"{folder}/topic")
+    ingest.drain(rows, tables, f"{folder}/checkpoint", NOW)
+    ingest.drain(rows, tables, f"{folder}/checkpoint", NOW)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest.drain(rows, tables, f"{folder}/other", NOW)
+    with pytest.raises(ValueError, match="whose batch numbers"):
+        stored.ingest_batch(messages(spark, [event()]), 0, tables, NOW)
+    assert stored.read_raw(spark, tables).count() == 1
+
+
+def test_the_default_delay_spans_the_gate(spark, folder):
+    """Late rows are judged by the watermark of the batch before."""
+    schema = "event_time timestamp, page_id string, user_id string, duration_ms bigint, is_bounce tinyint"
+    now = datetime(2024, 1, 31)
+    for i, at in enumerate((now + timedelta(minutes=59), now, now - timedelta(days=29, hours=23, minutes=30))):
+        rows = spark.createDataFrame([(at, f"p{i}", "u", 1, 0)], schema)
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+    late = spark.createDataFrame([(now + timedelta(days=40), "end", "u", 1, 0)], schema)
+    late.coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/raw")
+    got = run_windows(spark, windows.closed_minutes(stream), folder)
+    assert {r.page_id for r in got.collect()} == {"p0", "p1", "p2"}
 
 
 def run_windows(spark, df, folder):
@@ -176,7 +206,7 @@ def test_flush_rules():
     assert ingest.flush_rule("time", seconds=5) == ({}, {"processingTime": "5 seconds"})
     size, trigger = ingest.flush_rule("batch", rows=500)
     assert size == {"minOffsetsPerTrigger": "500"} and trigger == {"processingTime": "0 seconds"}
-    size, _ = ingest.flush_rule("hybrid", rows=1000, seconds=10)
+    size, _ = ingest.flush_rule("hybrid", ingest.SMALL_ROWS, ingest.SMALL_SECONDS)
     assert size == {"minOffsetsPerTrigger": "1000", "maxTriggerDelay": "10s"}
     for bad in ({"mode": "never"}, {"rows": 0}, {"seconds": 0}):
         with pytest.raises(ValueError):
@@ -189,7 +219,7 @@ def test_topic_options():
     assert options["maxOffsetsPerTrigger"] == "1000"
     flush, _ = ingest.flush_rule("hybrid")
     merged = topic.topic_options("b:9092", "page-views", start="latest", **flush)
-    assert merged["maxTriggerDelay"] == "10s"
+    assert merged["maxTriggerDelay"] == "60s" and merged["maxOffsetsPerTrigger"] == "50000000"
     assert options["maxRecordsPerPartition"] == "500000"
     with pytest.raises(ValueError):
         topic.topic_options("b:9092", "page-views", start="middle")
