@@ -142,7 +142,7 @@ def best_fit_packing(
         cluster.cast("long").alias("cluster"),
     )
     n = max(1, -(-docs.count() // group_rows))
-    group = F.pmod(F.xxhash64(F.lit("pack"), "doc_id"), F.lit(n))
+    group = F.pmod(F.xxhash64(F.lit("pack"), "doc_id", "cluster", "size"), F.lit(n))
     dealt = rows.where("size > 0").withColumn("pack_group", group).repartition("pack_group").sortWithinPartitions("pack_group")
     packed = dealt.mapInArrow(_packer(capacity, per_source), SCHEMA)
     if not keep_empty:
