@@ -16,7 +16,7 @@ shard is written under another name and moved, so a task that is repeated replac
 it by the same bytes.
 
 Results for unusual input: null and empty texts have no sequence; very long texts
-are encoded whole; a null id counts as one past the largest; rows of one id have
+are encoded whole; a null id is placed as one past the largest; rows of one id have
 equal positions and lie next to each other, by their contents; ids times sequences
 must stay below 2**62; an empty table writes no shard and gives an empty result;
 other columns are ignored, whatever their names.
@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from pagetide.llm.common import mixed, packed, starts_of, stored, unpacked, whole_groups
 
-#: Bytes to a shard, roughly; words a task remembers the tokens of.
+#: Bytes to a shard, roughly; words a worker remembers the tokens of.
 SHARD, REMEMBERED = 32 << 20, 300_000
 ROUNDS = 6
 
@@ -111,9 +112,15 @@ def _records(tokens: bytes, end: int, length: int) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(ranks: str) -> WordEncoder:
+    """One encoder for all tasks of a worker, with the words it has seen."""
+    return WordEncoder(public_tokenizers.path(ranks))
+
+
 def _encode(ranks: str, length: int, low: int, most: int, size: int, key: int, width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, order = WordEncoder(public_tokenizers.path(ranks)), Feistel(size, key)
+        encoder, order = _encoder(ranks), Feistel(size, key)
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
@@ -215,7 +222,7 @@ def token_shards(
     first = manifest(written).select("shard", "first_slot")
     stride = 2 * (length + 1)
     return written.join(first, "shard").select(
-        "doc_id",
+        F.when(F.col("doc_id") != high, F.col("doc_id")).alias("doc_id"),
         "seq_no",
         (F.col("first_slot") + F.col("record")).alias("slot"),
         "shard",
