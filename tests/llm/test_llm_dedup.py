@@ -143,9 +143,12 @@ def brute_cut(rows, length=50):
     return out
 
 
-@pytest.mark.parametrize("chunk", [op9.CHUNK, 3000])
-def test_suffix_dedup(odd_docs, odd_rows, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, hot", [(op9.CHUNK, op9.HOT), (3000, op9.HOT), (op9.CHUNK, 5), (3000, 5)])
+def test_suffix_dedup(odd_docs, odd_rows, monkeypatch, chunk, hot):
+    monkeypatch.setattr(op9, "HOT", hot)
+    monkeypatch.setattr(op9, "MOST_HOT", 10**9)
     monkeypatch.setattr(op9, "CHUNK", chunk)
+    monkeypatch.setattr(op9, "HELD", chunk // 20)
     monkeypatch.setattr(op9, "SHARE", 40_000)
     got = [tuple(r) for r in op9.suffix_dedup(odd_docs).collect()]
     assert Counter(got) == Counter(brute_cut(odd_rows))
@@ -195,3 +198,12 @@ def test_empty_tables(no_docs):
     assert op3.exact_dedup(no_docs).count() == 0
     assert op9.suffix_dedup(no_docs).count() == 0
     assert op10.ngram_join(no_docs).count() == 0
+
+
+def test_grams_in_many_contexts_are_found(odd_docs, monkeypatch):
+    monkeypatch.setattr(op9, "HOT", 25)
+    rows = odd_docs.selectExpr("doc_id", "CAST(text AS BINARY) AS content", "xxhash64(text) AS doc_hash")
+    rows = rows.where("doc_id IS NOT NULL AND octet_length(content) >= 50")
+    found = op9._hot(rows, 1000, op9.LENGTH, op9.GRAM)
+    assert 0 < len(found) < 100
+    assert len(op9._hot(rows, 10**12, op9.LENGTH, op9.GRAM)) == 0
