@@ -80,7 +80,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each stored and read back before the next."""
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = common.stored(stage(spark, docs, sf_dir), name)
+        common.discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from pagetide import session
+from pagetide.sources import files
 
 #: ASCII white space, the separators of words: space and \t \n \v \f \r.
 SPACE = np.zeros(256, bool)
@@ -26,12 +27,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     repeat only what comes after, and Python work is not done twice."""
     spark = df.sparkSession
     path = session.run_folder(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def discard(*steps: DataFrame) -> None:
+    """Delete stored steps, once what was made of them is stored itself."""
+    for step in steps:
+        if names := step.inputFiles():
+            files.delete(step.sparkSession, names[0].rsplit("/", 1)[0])
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:

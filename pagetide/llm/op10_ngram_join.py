@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetide.llm.common import ByteHashes, in_chunks, joined, mixed, starts_of, stored, utf8, whole_groups, words
+from pagetide.llm.common import ByteHashes, discard, in_chunks, joined, mixed, starts_of, stored, utf8, whole_groups, words
 
 TOKENS = 32
 #: Nodes compared at once; deepest split; a bucket this share of the one it was split from is tight.
@@ -139,12 +139,13 @@ def _buckets(nodes: DataFrame, runs: int) -> DataFrame:
     pending = nodes.select("node", "tokens", first).select(
         "node", F.col("run").cast("long").alias("code"), F.xxhash64("run", token).alias("key"), F.lit(0).cast("long").alias("above")
     )
-    found = []
+    found, steps = [], []
     for depth in range(DEPTH + 1):
         sized = stored(pending.groupBy("code", "key", "above").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
         ends = (F.col("n") <= LIMIT) | ((F.col("above") > 0) & (F.col("n") >= TIGHT * F.col("above")))
         if depth == DEPTH:
             ends = F.lit(True)
+        steps.append(sized)
         placed = pending.drop("above").join(sized, ["code", "key"])
         found.append(placed.where(ends).select("node", "code", "key", "n"))
         if sized.where(~ends).isEmpty():
@@ -158,10 +159,13 @@ def _buckets(nodes: DataFrame, runs: int) -> DataFrame:
             F.xxhash64("key", "branch", F.element_at("tokens", coordinate.cast("int"))).alias("key"),
             F.col("n").alias("above"),
         )
+        steps.append(pending := stored(pending, "split"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return stored(out, "leaves")
+    leaves = stored(out, "leaves")
+    discard(*steps)
+    return leaves
 
 
 def _pairs(blocks: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
@@ -340,8 +344,10 @@ def components(edges: DataFrame) -> DataFrame:
         )
         moved = stored(moved, "labels")
         done = moved.where("next <> label").isEmpty()
+        discard(labels)
         labels = moved.select("vertex", F.col("next").alias("label"))
         if done:
+            discard(both)
             return labels
 
 
@@ -378,11 +384,13 @@ def ngram_join(
         ),
         "candidates",
     )
+    discard(leaves)
     wanted = chosen.select(F.col("rep").alias("doc_id")).distinct()
     sets = rows.join(wanted, "doc_id").mapInArrow(_sets(n), "node binary, shingles binary")
     sent = chosen.join(sets, "node").repartition(*bucket).sortWithinPartitions(*bucket)
     found = stored(sent.mapInArrow(_verify(similarity), "node binary, links long, rep long, root long"), "links")
 
+    discard(chosen)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found.select("rep", "root").distinct())
     about = nodes.select("node", "rep", "copies").join(links, "node", "left")
