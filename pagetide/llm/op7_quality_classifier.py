@@ -9,9 +9,10 @@ to length one. A document is the mean of its units' vectors besides a few shares
 its score, whose logit is divided by a temperature fitted on rows kept aside.
 
 The learning sample is at most ``sample`` labelled rows, those of smallest hashed
-id, and at most ``SAMPLE_BYTES`` of whole texts. It is the only thing learnt from; it is gathered on the driver, as its bound
-allows. The model's size does not depend on the data. Every document is scored on
-its whole text, by one pass without shuffle.
+id, and at most ``SAMPLE_BYTES`` of whole texts. It is the only thing learnt from,
+in one task, as its bound allows; the driver sees the model alone, whose size does
+not depend on the data. Every document is scored on its whole text, by one pass
+without shuffle.
 
 Results for unusual input: null and empty texts get the score of a document without
 words; a null id is not held out and never learnt from; of repeated labels of one
@@ -23,6 +24,7 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ from pagetide.llm.common import ByteHashes, in_chunks, joined, mixed, utf8, word
 SAMPLE, SAMPLE_BYTES = 6000, 32 << 20
 #: Least number of learning steps, for small samples.
 STEPS = 2000
-UNITS, WIDTH, NONZERO, WINDOW, HIDDEN = 1 << 15, 48, 4, 2, 32
+UNITS, WIDTH, NONZERO, WINDOW, HIDDEN = 1 << 14, 32, 4, 2, 32
 
 #: Kinds of bytes: lower case, upper case, digit, other ASCII, beyond ASCII.
 _KIND = np.full(256, 3, np.int64)
@@ -206,9 +208,25 @@ def _held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE) -> tuple[list[np.ndarray], Network]:
+def _learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of the whole sample, which comes to one task in order."""
+    held = [b for b in batches if b.num_rows]
+
+    def parts() -> Iterator[Units]:
+        for batch in in_chunks(held, "text", 1 << 20):
+            yield Units([t or b"" for t in utf8(batch.column("text"))])
+
+    vectors = word_vectors(parts)
+    x = [pooled(units, vectors) for units in parts()]
+    truth = [b.column("truth").to_numpy() for b in held]
+    x = np.concatenate(x) if x else np.zeros((0, 1), np.float32)
+    network = Network(x.astype(np.float64), np.concatenate(truth) if truth else np.zeros(0))
+    yield pa.record_batch([pa.array([pickle.dumps((vectors, network))], pa.binary())], ["model"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE) -> bytes:
     """Vectors and network from at most ``sample`` labelled rows that are not held out,
-    and of these in order of hashed id as many as ``SAMPLE_BYTES`` hold.
+    and of these in order of hashed id as many as ``SAMPLE_BYTES`` hold; pickled.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id``.
     """
@@ -218,20 +236,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE
     order = F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")
     one = docs.join(chosen, "doc_id").select("doc_id", "text", "truth").orderBy(*order).limit(sample)
     bytes_ = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy(*order))
-    rows = one.withColumn("bytes", bytes_).where(F.col("bytes") <= SAMPLE_BYTES).select("text", "truth").toArrow().combine_chunks()
-
-    def parts() -> Iterator[Units]:
-        for batch in in_chunks(rows.to_batches(), "text", 1 << 20):
-            yield Units([t or b"" for t in utf8(batch.column("text"))])
-
-    vectors = word_vectors(parts)
-    x = [pooled(units, vectors) for units in parts()]
-    x = np.concatenate(x) if x else np.zeros((0, 1), np.float32)
-    return vectors, Network(x.astype(np.float64), rows.column("truth").to_numpy())
+    bounded = one.withColumn("bytes", bytes_).where(F.col("bytes") <= SAMPLE_BYTES).select("text", "truth")
+    learnt = bounded.mapInArrow(_learn, "model binary").first()
+    return learnt.model if learnt else next(_learn([])).column("model")[0].as_py()  # no rows, no task
 
 
-def _scorer(vectors: list[np.ndarray], network: Network):
+def _scorer(model: bytes):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, network = pickle.loads(model)
         for batch in in_chunks(batches, "text", 2 << 20):
             units = Units([t or b"" for t in utf8(batch.column("text"))])
             score = network.score(pooled(units, vectors).astype(np.float64))
@@ -255,8 +267,8 @@ def quality_scores(
     with ``keep_row`` also all its columns, as the struct ``row``."""
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_row else []
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *row)
-    vectors, network = fit(rows.select("doc_id", "text"), labels.select(F.col(id_col).alias("doc_id"), label_col), label_col, sample)
+    model = fit(rows.select("doc_id", "text"), labels.select(F.col(id_col).alias("doc_id"), label_col), label_col, sample)
     marked = rows.withColumn("held_out", _held_out(F.col("doc_id")))
     schema = marked.drop("text").schema.add("score", "double")
-    scored = marked.mapInArrow(_scorer(vectors, network), schema)
+    scored = marked.mapInArrow(_scorer(model), schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
