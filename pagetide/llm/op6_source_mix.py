@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagetide.llm.common import stored
+
 #: 2**32 divided by the golden ratio, odd.
 GOLDEN = 2654435769
 #: Slots whose ranks are counted together, and buckets of the shuffled order.
@@ -108,6 +110,7 @@ def source_mix(
     sized = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
+    sized = stored(sized, "sized")  # the texts are read and counted once
     targeted = targets(sized, weights, most)
     digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = sized.withColumn("digest", digest).withColumn("bucket", F.conv(F.substring("digest", 1, 3), 16, 10).cast("int"))
