@@ -30,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetide.llm.common import whole_groups
+from pagetide.llm.common import starts_of, whole_groups
 
 #: Vectors of a candidate block, of a query block, blocks in one stream, dimensions a step.
-CANDIDATES, QUERIES, STREAM, STEP = 4096, 256, 16, 8
+CANDIDATES, QUERIES, STREAM, STEP = 4096, 128, 16, 8
+#: Tasks that searches are dealt to, at most; each goes through as many as it gets.
+MOST_TASKS = 4000
 #: Sums below this are exact in double precision.
 EXACT = 2.0**53
 
@@ -42,22 +44,25 @@ def _pack(width: int):
     """Blocks of vectors of one length, stored dimension by dimension."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(batches, "size", "block"):
-            ids = group.column("id").to_numpy()
-            size = group.column("size")[0].as_py()
-            flat = group.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            flat = np.asarray(flat, np.float64).reshape(len(ids), size)
-            for i in range(0, len(ids), width):
-                part = np.ascontiguousarray(flat[i : i + width].T)
-                yield pa.record_batch(
-                    [
-                        pa.array([size], pa.int32()),
-                        pa.array([group.column("block")[0].as_py()], pa.int64()),
-                        pa.array([ids[i : i + width].astype(np.int64).tobytes()], pa.binary()),
-                        pa.array([part.tobytes()], pa.binary()),
-                    ],
-                    ["size", "block", "ids", "vectors"],
-                )
+        for some in whole_groups(batches, "size", "block"):
+            sizes, blocks, ids = (some.column(c).to_numpy() for c in ("size", "block", "id"))
+            vectors = some.column("vector").combine_chunks()
+            edges = starts_of(sizes, blocks)
+            for first, end in zip(edges[:-1], edges[1:]):
+                flat = vectors.slice(first, end - first).flatten().to_numpy(zero_copy_only=False)
+                square = np.asarray(flat, np.float64).reshape(end - first, sizes[first])
+                for i in range(0, end - first, width):
+                    part = np.ascontiguousarray(square[i : i + width].T)
+                    own = ids[first + i : min(end, first + i + width)]
+                    yield pa.record_batch(
+                        [
+                            pa.array([sizes[first]], pa.int32()),
+                            pa.array([blocks[first]], pa.int64()),
+                            pa.array([own.astype(np.int64).tobytes()], pa.binary()),
+                            pa.array([part.tobytes()], pa.binary()),
+                        ],
+                        ["size", "block", "ids", "vectors"],
+                    )
 
     return run
 
@@ -173,7 +178,7 @@ def topk_search(
         )
     )
     candidates, n_blocks = _blocks(whole, CANDIDATES)
-    queries, _ = _blocks(whole.where(F.col("id") % every == 0), QUERIES)
+    queries, query_blocks = _blocks(whole.where(F.col("id") % every == 0), QUERIES)
     streams = -(-n_blocks // STREAM)
     asked = queries.select(
         "size",
@@ -184,7 +189,9 @@ def topk_search(
     )
     offered = candidates.withColumn("stream", (F.col("block") % streams).cast("int")).drop("block")
     met = asked.join(offered, ["size", "stream"])
-    dealt = met.repartition("size", "query_block", "stream").sortWithinPartitions("size", "query_block", "query_ids", "stream")
+    # as many tasks as there are streams to go through, however few bytes these are
+    tasks = min(MOST_TASKS, max(1, query_blocks * streams))
+    dealt = met.repartition(tasks, "size", "query_block", "stream").sortWithinPartitions("size", "query_block", "query_ids", "stream")
     partial = dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = partial.distinct().withColumn("rank", F.row_number().over(order))
