@@ -3,8 +3,8 @@
 Every text is cut where no merge can reach across, each distinct stretch is merged
 with a heap over a linked list, and the count is what it began with less its
 merges. A vocabulary's merges never reach across a cut that no piece spans, which
-is read off the vocabulary itself. Stretches are remembered in a table of bounded
-size within a task, so frequent words are merged once.
+is read off the vocabulary itself. Words are remembered in a table of bounded size by
+each worker, so frequent words are merged once.
 
 Results for unusual input: null and empty texts have 0 tokens; very long texts are
 counted whole; rows repeat as they come; an empty table gives an empty result; other
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import public_tokenizers
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 #: Space as the vocabulary writes it.
 MARK = "▁"
-#: Distinct stretches a task remembers; beyond that it starts afresh.
-REMEMBERED = 400_000
+#: Distinct words a worker remembers; beyond that it starts afresh.
+REMEMBERED = 1_000_000
 
 
 class PieceCounter:
@@ -129,9 +130,15 @@ class PieceCounter:
         return count + extra
 
 
+@lru_cache(maxsize=1)
+def _counter(model: str) -> PieceCounter:
+    """One counter for all tasks of a worker, with the words it has seen."""
+    return PieceCounter(public_tokenizers.path(model))
+
+
 def _counts(model: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(public_tokenizers.path(model))
+        counter = _counter(model)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             n_tokens = pa.array([counter.count(t) if t else 0 for t in texts], pa.int64())
