@@ -4,9 +4,11 @@ The DOM trees of a host's pages are aligned by simple tree matching: two nodes m
 if their signatures (tag and class words) do, and their children are paired in order
 so that as many nodes as possible match. The aligned tree is the host's template.
 It counts for every node its pages, the text below, the text inside links, and how
-often the text differed. Nodes whose text stays the same belong to the template;
-the slot that holds most of the varying text, outside of menus, notices and the
-like, is where the host keeps its content. Each page's text is what it has there.
+often the text differed. Nodes whose text stays the same belong to the template.
+The slots are the varying children of the lowest node that covers all varying text
+outside of menus, notices and the like; an article or main element is one as a whole.
+Each page's text is what it has there, and what else it has that the template does
+not know as text that stays the same.
 
 Templates are merged within each task first, so a host sends one template per task,
 however many pages it has, and are then merged by host. A template forgets its
@@ -14,7 +16,7 @@ rarest nodes beyond ``NODES``, so its size is bounded; forgetting concerns the
 choice of the slot alone, never a page's text. All pages take part in learning.
 
 Results for unusual input: null and empty pages, and pages without content, give
-empty text; a page whose host's slot is missing or empty in it is taken as its own
+empty text; a page of which the host's template leaves nothing is taken as its own
 template; a null or unusual address is a host like any other; very long pages are
 read whole; rows that repeat an id give a row each; an empty table gives an empty
 result; other columns are ignored, whatever their names.
@@ -54,7 +56,8 @@ NEVER_WORDS = frozenset(
     "reply replies respond disqus footer masthead toolbar pagination pager copyright legal skip hidden complementary "
     "contentinfo search".split()
 )
-CONTENT_WORDS = frozenset("article content post entry story main text body".split())
+#: Elements that are content as a whole.
+WHOLE = ("article", "main")
 #: Elements closed by the start of another of their kind.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = frozenset("ul ol dl table select body html article section div main".split())
@@ -137,7 +140,7 @@ def outline(node: Node, inside: bool = False) -> list:
     """A page's tree as a template: neighbours of one signature are one node."""
     own = "".join(k for k in node.kids if isinstance(k, str)).split()
     text = " ".join(own)
-    inside = inside or node.tag in ("article", "main")
+    inside = inside or node.tag in WHOLE
     kids: list[list] = []
     for kid in node.kids:
         if isinstance(kid, Node) and kid.tag not in VOID:
@@ -245,43 +248,110 @@ def _forget(node: list, least: int) -> None:
         _forget(kid, least)
 
 
-def slot(template: list) -> list[str]:
-    """Signatures from the root down to the node that holds the host's content."""
-    masses: dict[int, float] = {}
+def _masses(template: list) -> dict[int, int]:
+    """Varying text outside of links, by node, with all that is below it."""
+    masses: dict[int, int] = {}
 
-    def mass(node: list) -> float:
-        total = 0.0
+    def mass(node: list) -> int:
+        total = 0
         if not node[BARRED]:
-            varies = node[PAGES] == 1 or node[VARIED] > 0
-            total = (node[CHARS] - node[LINKS]) * varies + sum(map(mass, node[KIDS]))
+            total = _own(node) + sum(map(mass, node[KIDS]))
         masses[id(node)] = total
         return total
 
-    everything = mass(template)
-    path, named = [], None
-    node = template
-    while True:
-        path.append(node[SIGN])
-        words = node[SIGN].split()
-        if words and (words[0] in ("article", "main") or words[0] in ("div", "section") and not CONTENT_WORDS.isdisjoint(words[1:])):
-            named = list(path)
-        kids = [k for k in node[KIDS] if masses.get(id(k), 0) > 0 and _holds(k)]
-        if not kids:
-            break
-        best = max(kids, key=lambda k: (k[SIGN].split()[0] in ("article", "main"), masses[id(k)]))
-        strong = best[SIGN].split()[0] in ("article", "main")
-        if not strong and masses[id(best)] < 0.6 * max(masses[id(node)], 1e-9):
+    mass(template)
+    return masses
+
+
+def _own(node: list) -> int:
+    varies = node[PAGES] == 1 or node[VARIED] > 0
+    return (node[CHARS] - node[LINKS]) * varies
+
+
+def _tag(sign: str) -> str:
+    return sign.split(" ", 1)[0]
+
+
+def _slots(template: list, masses: dict[int, int]) -> list[tuple[list, list[str]]]:
+    """The nodes that hold the host's content, each with its path from the root.
+
+    The lowest node that covers all varying text is one slot if it is an article or
+    main element or holds blocks of text itself; else its varying children are slots.
+    """
+    node, path = template, [template[SIGN]]
+    while _tag(node[SIGN]) not in WHOLE:
+        kids = [k for k in node[KIDS] if masses.get(id(k), 0) > 0]
+        if len(kids) != 1 or not _holds(kids[0]) or _own(node) > 0:
             break
-        node = best
-    return named or path if everything else path
+        node = kids[0]
+        path.append(node[SIGN])
+    if _tag(node[SIGN]) in WHOLE:
+        return [(node, path)]
+    kids = [k for k in node[KIDS] if masses.get(id(k), 0) > 0]
+    if node[SIGN] and _tag(node[SIGN]) not in ("html", "body") and (_own(node) > 0 or not all(map(_holds, kids))):
+        return [(node, path)]
+    return [(k, [*path, k[SIGN]]) for k in kids]
+
+
+def slot(template: list) -> list[str]:
+    """Signatures from the root down to the slot with most of the varying text."""
+    masses = _masses(template)
+    found = _slots(template, masses)
+    return max(found, key=lambda s: masses[id(s[0])])[1] if found else [template[SIGN]]
+
+
+#: What a wrapper says of a node: nothing, the same on all pages, a slot.
+OPEN, SAME, SLOT = range(3)
+
+
+def wrapper(template: list) -> dict | None:
+    """What the host's template says of its nodes, by signature: a kind and the rules
+    of the nodes below. None if no text varies. Nodes without rule are content."""
+    masses = _masses(template)
+    if not masses[id(template)]:
+        return None
+    slots = {id(node) for node, _ in _slots(template, masses)}
+
+    def rules(node: list, inside: bool) -> dict:
+        out: dict[str, list] = {}
+        whole = _tag(node[SIGN]) in WHOLE
+        for kid in node[KIDS]:
+            if kid[BARRED] or inside and (whole or id(node) not in slots):
+                continue
+            if _tag(kid[SIGN]) in WHOLE or id(kid) in slots:
+                rule = [SLOT, rules(kid, True)]
+            elif not masses[id(kid)] and (not inside or _holds(kid)) and not _keeps(kid):
+                rule = [SAME, {}]
+            else:
+                rule = [OPEN, rules(kid, inside)]
+            _add_rule(out, kid[SIGN], rule)
+        return {sign: rule for sign, rule in out.items() if rule[0] or rule[1]}
+
+    return rules(template, False)
+
+
+def _add_rule(rules: dict, sign: str, rule: list) -> None:
+    """Of neighbours of one signature, what holds for some of them is kept for all."""
+    if sign not in rules:
+        rules[sign] = rule
+        return
+    old = rules[sign]
+    old[0] = max(old[0], rule[0]) if SAME not in (old[0], rule[0]) else SAME if old[0] == rule[0] else old[0] + rule[0] - SAME
+    for below, more in rule[1].items():
+        _add_rule(old[1], below, more)
+
+
+def _keeps(node: list) -> bool:
+    """Whether an article or main element is below the node."""
+    return any(_tag(n[SIGN]) in WHOLE for n in _walk(node))
 
 
 def _holds(node: list) -> bool:
     return node[SIGN].split()[0] in BLOCKS - {"p", "li", "td", "th", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "pre", "blockquote"}
 
 
-def _text(node: Node) -> str:
-    """Blocks of the node, in page order, one a line."""
+def _text(root: Node, rules: dict) -> str:
+    """Blocks of the page in order, one a line, without what the rules leave out."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -291,44 +361,37 @@ def _text(node: Node) -> str:
             blocks.append(text)
         line.clear()
 
-    waiting: list = [node]
+    waiting: list = [(root, rules, False)]
     while waiting:
-        item = waiting.pop()
+        item, below, inside = waiting.pop()
         if item is None:
             cut()
         elif isinstance(item, str):
             line.append(item)
         elif item.tag == "br":
             line.append(" ")
-        elif item is node or not item.barred(True):
+        else:
+            kind, own = (OPEN, below) if item is root else below.get(item.sign, (OPEN, {}))
+            if kind == SAME or item.barred(inside):
+                continue
+            inside = inside or item.tag in WHOLE
             block = item.tag in BLOCKS
             if block:
                 cut()
-                waiting.append(None)
-            waiting += reversed(item.kids)
+                waiting.append((None, {}, inside))
+            waiting += [(kid, own, inside) for kid in reversed(item.kids)]
     cut()
     return "\n".join(blocks)
 
 
-def _at(root: Node, path: list[str]) -> list[Node]:
-    """The page's nodes at the path."""
-    level = [root]
-    for sign in path[1:]:
-        level = [k for n in level for k in n.kids if isinstance(k, Node) and k.sign == sign and not k.barred(False)]
-    return level
-
-
-def extract(page: str | None, path: list[str] | None) -> str:
+def extract(page: str | None, rules: dict | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    for way in (path, None):
-        if way is None:
-            way = slot(outline(root))
-        text = "\n".join(t for t in map(_text, _at(root, way)) if t)
-        if text:
-            return text
-    return ""
+    if rules is not None and (text := _text(root, rules)):
+        return text
+    rules = wrapper(outline(root))
+    return rules and _text(root, rules) or _text(root, {})
 
 
 def _host(url: str | None) -> str:
@@ -355,25 +418,30 @@ def _templates(templates: dict[str, list]) -> pa.RecordBatch:
 
 
 def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One slot per host; the partition holds all of a host's templates, in order."""
+    """One wrapper per host; the partition holds all of a host's templates, in order."""
     host, template = None, None
     for batch in batches:
-        hosts, paths = [], []
+        hosts, found = [], []
         for name, row in zip(batch.column("host").to_pylist(), batch.column("template").to_pylist()):
             if template is not None and name != host:
                 hosts.append(host)
-                paths.append(slot(template))
+                found.append(json.dumps(wrapper(template)))
                 template = None
             host, template = name, merged(template, json.loads(row))
         if hosts:
-            yield pa.record_batch([pa.array(hosts), pa.array(paths, pa.list_(pa.string()))], ["host", "path"])
+            yield pa.record_batch([pa.array(hosts), pa.array(found)], ["host", "rules"])
     if template is not None:
-        yield pa.record_batch([pa.array([host]), pa.array([slot(template)], pa.list_(pa.string()))], ["host", "path"])
+        yield pa.record_batch([pa.array([host]), pa.array([json.dumps(wrapper(template))])], ["host", "rules"])
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last, rules = None, None  # pages of a host mostly come together
     for batch in batches:
-        texts = [extract(p, w) for p, w in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())]
+        texts = []
+        for page, row in zip(batch.column("html").to_pylist(), batch.column("rules").to_pylist()):
+            if row != last:
+                last, rules = row, json.loads(row) if row else None
+            texts.append(extract(page, rules))
         sizes = pa.array([len(t) for t in texts], pa.int64())
         columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes]
         yield pa.record_batch(columns, ["page_id", "url", "text", "n_chars"])
@@ -386,15 +454,15 @@ def page_hosts(pages: DataFrame) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """Each host's slot, from all its pages: ``host``, ``path``."""
+    """Each host's wrapper, from all its pages: ``host``, ``rules`` as JSON."""
     parts = pages.select("url", "html").mapInArrow(_learn, "host string, template string")
     sorted_ = parts.repartition("host").sortWithinPartitions("host", "template")
-    return sorted_.mapInArrow(_merge, "host string, path array<string>")
+    return sorted_.mapInArrow(_merge, "host string, rules string")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page its main text and that text's length."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    found = page_hosts(rows).join(wrappers(rows), "host", "left").select("page_id", "url", "html", "path")
+    found = page_hosts(rows).join(wrappers(rows), "host", "left").select("page_id", "url", "html", "rules")
     kind = rows.schema["page_id"].dataType.simpleString()
     return found.mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")

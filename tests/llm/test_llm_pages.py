@@ -84,6 +84,27 @@ def test_templates_stay_small(monkeypatch):
     assert op5.slot(template)[-1] == "article"
 
 
+def texts_of(spark, pages):
+    """Texts of one host's pages."""
+    df = spark.createDataFrame([(i, "http://one.example.org/", html) for i, html in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in op5.main_text(df).orderBy("page_id").collect()]
+
+
+def test_all_varying_text_of_the_slots_is_kept(spark):
+    inner = "<h1>Title {0}</h1><p>Lead {0}</p><div class=body><p>{1}</p></div><div class=more><p>More {0}</p></div>"
+    for outer in ("article", "main", "div"):
+        html = f"<html><body><div class=top>Always the same</div><{outer}>{inner}</{outer}></body></html>"
+        got = texts_of(spark, [html.format(i, f"long {i} " * 40) for i in range(6)])
+        assert got[2] == "Title 2\nLead 2\n" + ("long 2 " * 40).strip() + "\nMore 2"
+
+
+def test_several_slots_and_a_second_layout(spark):
+    first = "<body><div class=top>Same</div><div class=a><p>a {0}</p></div><div class=b><p>b {0}</p></div></body>"
+    second = "<body><div class=top>Same</div><div class=a><p>s {0}</p></div><div class=other><div><p>most of it {0}</p></div></div></body>"
+    got = texts_of(spark, [first.format(i) for i in range(8)] + [second.format(i) for i in range(2)])
+    assert got[3] == "a 3\nb 3" and got[9] == "s 1\nmost of it 1"
+
+
 def test_no_pages(pages):
     assert op5.main_text(pages.limit(0)).count() == 0
 
