@@ -7,6 +7,8 @@ It counts for every node its pages, the text below, the text inside links, and h
 often the text differed. Nodes whose text stays the same belong to the template.
 The slots are the varying children of the lowest node that covers all varying text
 outside of menus, notices and the like; an article or main element is one as a whole.
+Class and role tell menus and the like, an id does not; within a slot this holds for
+those nodes alone whose own text, outside of links, the template does not see varying.
 Each page's text is what it has there, and what else it has that the template does
 not know as text that stays the same.
 
@@ -56,34 +58,55 @@ NEVER_WORDS = frozenset(
     "reply replies respond disqus footer masthead toolbar pagination pager copyright legal skip hidden complementary "
     "contentinfo search".split()
 )
+#: How a node is barred: by its class or role, or whatever the template says.
+NAMED, NEVER_IS = 1, 2
 #: Elements that are content as a whole.
 WHOLE = ("article", "main")
+#: Elements that hold a page, and the root.
+PAGE = ("", "html", "body")
 #: Elements closed by the start of another of their kind.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = frozenset("ul ol dl table select body html article section div main".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "kids")
+    __slots__ = ("tag", "words", "named", "unseen", "kids")
 
-    def __init__(self, tag: str, words: frozenset[str] = frozenset()):
-        self.tag, self.words = tag, words
+    def __init__(self, tag: str, words: frozenset[str] = frozenset(), named: bool = False, unseen: bool = False):
+        self.tag, self.words, self.named, self.unseen = tag, words, named, unseen
         self.kids: list[Node | str] = []
 
     @property
     def sign(self) -> str:
         return " ".join([self.tag, *sorted(self.words)])
 
-    def barred(self, inside: bool) -> bool:
-        """Whether the node never holds content; a header does within an article."""
-        if self.tag in NEVER or self.tag == "header" and not inside:
-            return True
-        return self.tag not in ("html", "body", "main") and not self.words.isdisjoint(NEVER_WORDS)
+    def barred(self, inside: bool) -> int:
+        """Whether the node never holds content (``NEVER_IS``), or its class or role says
+        so (``NAMED``), which the host's template may overrule; a header does within an article."""
+        if self.tag in NEVER or self.unseen or self.tag == "header" and not inside:
+            return NEVER_IS
+        if self.tag in ("html", "body", "main") or self.tag == "article" and not inside:
+            return 0
+        return NAMED if self.named else 0
+
+
+def _names(names: str) -> tuple[frozenset[str], bool]:
+    """Words of class, id and role, and whether a class or role is one of
+    ``NEVER_WORDS``, that is, at least half of its words are. An id never is."""
+    words: set[str] = set()
+    named = False
+    for kind, *values in _NAMES.findall(names):
+        for name in "".join(values).lower().split():
+            found = _WORD.findall(name)
+            words.update(found)
+            if found and kind.lower() != "id":
+                named = named or 2 * sum(w in NEVER_WORDS for w in found) >= len(found)
+    return frozenset(words), named
 
 
 def parse(page: str) -> Node:
@@ -106,10 +129,11 @@ def parse(page: str) -> Node:
         for same in SIBLINGS.get(tag, ()):
             _close(stack, same, FENCES - {"div", "section"})
         names = token[3]
-        words = frozenset(w for m in _NAMES.findall(names) for part in m for w in _WORD.findall(part.lower())) if "=" in names else frozenset()
-        if names and _HIDDEN.search(names):
+        words, named = _names(names) if "=" in names else (frozenset(), False)
+        unseen = bool(names and _HIDDEN.search(names))
+        if unseen:
             words |= {"hidden"}
-        node = Node(tag, words)
+        node = Node(tag, words, named, unseen)
         stack[-1].kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -162,7 +186,7 @@ def _join(a: list, b: list, same_page: bool = False) -> list:
         a[PAGES] += b[PAGES]
     a[CHARS] += b[CHARS]
     a[LINKS] += b[LINKS]
-    a[BARRED] = a[BARRED] and b[BARRED]
+    a[BARRED] = min(a[BARRED], b[BARRED])
     kids, at = [], 0
     for i, j in _pairs(a[KIDS], b[KIDS]):
         while at < i:
@@ -234,12 +258,13 @@ def bounded(template: list) -> list:
     return template
 
 
-def _walk(node: list) -> Iterator[list]:
+def _walk(node: list, barred: int | None = None) -> Iterator[list]:
+    """The node and all below it, but for those barred so."""
     waiting = [node]
     while waiting:
         node = waiting.pop()
         yield node
-        waiting += node[KIDS]
+        waiting += [k for k in node[KIDS] if k[BARRED] != barred] if barred else node[KIDS]
 
 
 def _forget(node: list, least: int) -> None:
@@ -285,12 +310,23 @@ def _slots(template: list, masses: dict[int, int]) -> list[tuple[list, list[str]
             break
         node = kids[0]
         path.append(node[SIGN])
-    if _tag(node[SIGN]) in WHOLE:
-        return [(node, path)]
     kids = [k for k in node[KIDS] if masses.get(id(k), 0) > 0]
-    if node[SIGN] and _tag(node[SIGN]) not in ("html", "body") and (_own(node) > 0 or not all(map(_holds, kids))):
+    if _tag(node[SIGN]) in WHOLE or _tag(node[SIGN]) not in PAGE and not _frames(node) and (_own(node) > 0 or not all(map(_holds, kids))):
         return [(node, path)]
-    return [(k, [*path, k[SIGN]]) for k in kids]
+    out: list[tuple[list, list[str]]] = []
+    waiting = [(k, [*path, k[SIGN]]) for k in reversed(kids)]
+    while waiting:
+        node, path = waiting.pop()
+        if _tag(node[SIGN]) in PAGE or _frames(node):
+            waiting += [(k, [*path, k[SIGN]]) for k in reversed(node[KIDS]) if masses.get(id(k), 0) > 0]
+        else:
+            out.append((node, path))
+    return out
+
+
+def _frames(node: list) -> bool:
+    """Whether an article or main element is below the node, which is none itself."""
+    return _tag(node[SIGN]) not in WHOLE and any(_tag(n[SIGN]) in WHOLE for n in _walk(node, NEVER_IS))
 
 
 def slot(template: list) -> list[str]:
@@ -300,8 +336,14 @@ def slot(template: list) -> list[str]:
     return max(found, key=lambda s: masses[id(s[0])])[1] if found else [template[SIGN]]
 
 
-#: What a wrapper says of a node: nothing, the same on all pages, a slot.
-OPEN, SAME, SLOT = range(3)
+#: What a wrapper says of a node: nothing, the same on all pages, a slot, content
+#: whatever its class or role.
+OPEN, SAME, SLOT, CONTENT = range(4)
+
+
+def _varies(node: list) -> bool:
+    """Whether text of the node outside of links, on more than one page, varies."""
+    return node[PAGES] > 1 and any(_own(n) > 0 for n in _walk(node, NEVER_IS))
 
 
 def wrapper(template: list) -> dict | None:
@@ -314,13 +356,15 @@ def wrapper(template: list) -> dict | None:
 
     def rules(node: list, inside: bool) -> dict:
         out: dict[str, list] = {}
-        whole = _tag(node[SIGN]) in WHOLE
+        below = inside and (_tag(node[SIGN]) in WHOLE or id(node) not in slots)
         for kid in node[KIDS]:
-            if kid[BARRED] or inside and (whole or id(node) not in slots):
+            if kid[BARRED] == NEVER_IS or kid[BARRED] and not (inside and _varies(kid)):
                 continue
-            if _tag(kid[SIGN]) in WHOLE or id(kid) in slots:
+            if kid[BARRED]:
+                rule = [CONTENT, rules(kid, True)]
+            elif _tag(kid[SIGN]) in WHOLE or id(kid) in slots:
                 rule = [SLOT, rules(kid, True)]
-            elif not masses[id(kid)] and (not inside or _holds(kid)) and not _keeps(kid):
+            elif not below and not masses[id(kid)] and (not inside or _holds(kid)) and not _keeps(kid):
                 rule = [SAME, {}]
             else:
                 rule = [OPEN, rules(kid, inside)]
@@ -342,8 +386,8 @@ def _add_rule(rules: dict, sign: str, rule: list) -> None:
 
 
 def _keeps(node: list) -> bool:
-    """Whether an article or main element is below the node."""
-    return any(_tag(n[SIGN]) in WHOLE for n in _walk(node))
+    """Whether an article or main element is below the node, or content by its variation."""
+    return any(_tag(n[SIGN]) in WHOLE or n[BARRED] == NAMED and _varies(n) for n in _walk(node, NEVER_IS))
 
 
 def _holds(node: list) -> bool:
@@ -372,7 +416,8 @@ def _text(root: Node, rules: dict) -> str:
             line.append(" ")
         else:
             kind, own = (OPEN, below) if item is root else below.get(item.sign, (OPEN, {}))
-            if kind == SAME or item.barred(inside):
+            barred = item.barred(inside)
+            if kind == SAME or barred == NEVER_IS or barred and kind != CONTENT:
                 continue
             inside = inside or item.tag in WHOLE
             block = item.tag in BLOCKS

@@ -105,6 +105,18 @@ def test_several_slots_and_a_second_layout(spark):
     assert got[3] == "a 3\nb 3" and got[9] == "s 1\nmost of it 1"
 
 
+def test_names_bar_only_what_the_template_cannot_judge(spark):
+    html = (
+        '<body><article><h1>T {0}</h1><h2 id="related-work">Work {0}</h2><h2 id="search-algorithms">Same</h2><section id="legal-notice-of-18{0}">'
+        '<p>s {0}</p></section><p class="social">p {0}</p><div class="menu-of-the-day"><ul><li>soup {0}</li></ul></div>{1}'
+        '<div class="share">Share this</div><div class="related"><a href=/{0}>See {0}</a></div></article></body>'
+    )
+    got = texts_of(spark, [html.format(i, "<div class='ad-banner'>Once</div>" if i == 3 else "") for i in range(6)])
+    assert got[3] == "T 3\nWork 3\nSame\ns 3\np 3\nsoup 3"
+    (alone,) = texts_of(spark, ['<body><article class="post"><h2 id="social">A</h2><div class="menu-of-the-day">B</div></article></body>'])
+    assert alone == "A\nB"
+
+
 def test_no_pages(pages):
     assert op5.main_text(pages.limit(0)).count() == 0
 
