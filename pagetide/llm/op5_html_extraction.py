@@ -14,8 +14,9 @@ not know as text that stays the same.
 
 Templates are merged within each task first, so a host sends one template per task,
 however many pages it has, and are then merged by host. A template forgets its
-rarest nodes beyond ``NODES``, so its size is bounded; forgetting concerns the
-choice of the slot alone, never a page's text. All pages take part in learning.
+rarest nodes beyond ``NODES``, so its size is bounded; that they vary stays known of
+their parents, and text is never left out for what was forgotten. All pages take part
+in learning; a node that only copies of one page have is not taken as the template's.
 
 Results for unusual input: null and empty pages, and pages without content, give
 empty text; a page of which the host's template leaves nothing is taken as its own
@@ -156,25 +157,35 @@ def _close(stack: list[Node], tag: str, fences: frozenset[str] | set[str] = froz
 
 
 # A template node is a list: signature, pages, chars, chars in links, hash of the first
-# page's text, pages whose text differed, barred, children.
-SIGN, PAGES, CHARS, LINKS, FIRST, VARIED, BARRED, KIDS = range(8)
+# page's text, pages whose text differed, barred, children, hash of the first page,
+# whether a page that is no copy of it has the node, whether children were forgotten.
+SIGN, PAGES, CHARS, LINKS, FIRST, VARIED, BARRED, KIDS, PAGE_HASH, SHARED, FORGOT = range(11)
 
 
-def outline(node: Node, inside: bool = False) -> list:
-    """A page's tree as a template: neighbours of one signature are one node."""
+def outline(page: Node) -> list:
+    """A page's tree as a template, which knows copies by the text of what is not barred."""
+    template = _outline(page, False)
+    whole = zlib.crc32(repr([n[FIRST] for n in _walk(template, NEVER_IS) if not n[BARRED]]).encode())
+    for node in _walk(template):
+        node[PAGE_HASH] = whole
+    return template
+
+
+def _outline(node: Node, inside: bool) -> list:
+    """The node as a template: neighbours of one signature are one node."""
     own = "".join(k for k in node.kids if isinstance(k, str)).split()
     text = " ".join(own)
     inside = inside or node.tag in WHOLE
     kids: list[list] = []
     for kid in node.kids:
         if isinstance(kid, Node) and kid.tag not in VOID:
-            sub = outline(kid, inside)
+            sub = _outline(kid, inside)
             if kids and kids[-1][SIGN] == sub[SIGN]:
                 _join(kids[-1], sub, same_page=True)
             else:
                 kids.append(sub)
     chars = len(text)
-    return [node.sign, 1, chars, chars if node.tag == "a" else 0, zlib.crc32(text.encode()), 0, node.barred(inside), kids]
+    return [node.sign, 1, chars, chars if node.tag == "a" else 0, zlib.crc32(text.encode()), 0, node.barred(inside), kids, 0, False, False]
 
 
 def _join(a: list, b: list, same_page: bool = False) -> list:
@@ -184,6 +195,8 @@ def _join(a: list, b: list, same_page: bool = False) -> list:
     else:
         a[VARIED] += b[VARIED] if b[FIRST] == a[FIRST] else b[PAGES]
         a[PAGES] += b[PAGES]
+        a[SHARED] = a[SHARED] or b[SHARED] or a[PAGE_HASH] != b[PAGE_HASH]
+        a[FORGOT] = a[FORGOT] or b[FORGOT]
     a[CHARS] += b[CHARS]
     a[LINKS] += b[LINKS]
     a[BARRED] = min(a[BARRED], b[BARRED])
@@ -251,13 +264,34 @@ def merged(a: list | None, b: list) -> list:
 
 
 def bounded(template: list) -> list:
-    """The template without its rarest nodes, if it has too many."""
-    counts = sorted((n[PAGES] for n in _walk(template)), reverse=True)
-    if len(counts) > 2 * NODES:
-        _forget(template, counts[NODES])
+    """The template without its rarest nodes, if it has too many; of nodes equally rare
+    the lower ones go first, and the later ones of a level."""
+    order = [template]
+    for node in order:
+        order += node[KIDS]
+    if len(order) > 2 * NODES:
+        kept = {id(n) for n in sorted(order, key=lambda n: -n[PAGES])[:NODES]}
+        _forget(template, kept)
     return template
 
 
+def _forget(node: list, kept: set[int]) -> None:
+    """A forgotten node's text counts as its parent's, varying if it varies."""
+    kids = []
+    for kid in node[KIDS]:
+        _forget(kid, kept)
+        if id(kid) in kept:
+            kids.append(kid)
+            continue
+        node[FORGOT] = True
+        if not kid[BARRED] and (text := _own(kid)) > 0:
+            if not _own(node):  # the parent's own text is the same on all pages
+                node[CHARS] = node[LINKS]
+            node[CHARS] += text
+            node[VARIED] = max(node[VARIED], 1)
+    node[KIDS] = kids
+
+
 def _walk(node: list, barred: int | None = None) -> Iterator[list]:
     """The node and all below it, but for those barred so."""
     waiting = [node]
@@ -267,12 +301,6 @@ def _walk(node: list, barred: int | None = None) -> Iterator[list]:
         waiting += [k for k in node[KIDS] if k[BARRED] != barred] if barred else node[KIDS]
 
 
-def _forget(node: list, least: int) -> None:
-    node[KIDS] = [k for k in node[KIDS] if k[PAGES] > least]
-    for kid in node[KIDS]:
-        _forget(kid, least)
-
-
 def _masses(template: list) -> dict[int, int]:
     """Varying text outside of links, by node, with all that is below it."""
     masses: dict[int, int] = {}
@@ -289,7 +317,7 @@ def _masses(template: list) -> dict[int, int]:
 
 
 def _own(node: list) -> int:
-    varies = node[PAGES] == 1 or node[VARIED] > 0
+    varies = not node[SHARED] or node[VARIED] > 0
     return (node[CHARS] - node[LINKS]) * varies
 
 
@@ -342,17 +370,24 @@ OPEN, SAME, SLOT, CONTENT = range(4)
 
 
 def _varies(node: list) -> bool:
-    """Whether text of the node outside of links, on more than one page, varies."""
-    return node[PAGES] > 1 and any(_own(n) > 0 for n in _walk(node, NEVER_IS))
+    """Whether text of the node outside of links, on pages that are no copies, varies."""
+    return node[SHARED] and any(_own(n) > 0 for n in _walk(node, NEVER_IS))
 
 
-def wrapper(template: list) -> dict | None:
+def wrapper(template: list, alone: bool = False) -> dict | None:
     """What the host's template says of its nodes, by signature: a kind and the rules
-    of the nodes below. None if no text varies. Nodes without rule are content."""
+    of the nodes below. None if no text varies or all are copies. Nodes without rule are content.
+
+    ``alone`` is a page's own template, which cannot tell what is the same on others:
+    articles and main elements stand for the page if they hold most of its text.
+    """
     masses = _masses(template)
-    if not masses[id(template)]:
-        return None
-    slots = {id(node) for node, _ in _slots(template, masses)}
+    if not masses[id(template)] or not (alone or template[SHARED]):
+        return None  # each page is taken as its own template
+    found = _slots(template, masses)
+    slots = {id(node) for node, _ in found}
+    whole = sum(masses[id(node)] for node, _ in found if _tag(node[SIGN]) in WHOLE)
+    alone = alone and 2 * whole > masses[id(template)]
 
     def rules(node: list, inside: bool) -> dict:
         out: dict[str, list] = {}
@@ -362,9 +397,11 @@ def wrapper(template: list) -> dict | None:
                 continue
             if kid[BARRED]:
                 rule = [CONTENT, rules(kid, True)]
+            elif alone and not inside and not _frames(kid) and _tag(kid[SIGN]) not in WHOLE:
+                rule = [SAME, {}]
             elif _tag(kid[SIGN]) in WHOLE or id(kid) in slots:
                 rule = [SLOT, rules(kid, True)]
-            elif not below and not masses[id(kid)] and (not inside or _holds(kid)) and not _keeps(kid):
+            elif not below and not masses[id(kid)] and (not inside or _holds(kid)) and not _keeps(kid) and not _lost(node, kid):
                 rule = [SAME, {}]
             else:
                 rule = [OPEN, rules(kid, inside)]
@@ -385,6 +422,11 @@ def _add_rule(rules: dict, sign: str, rule: list) -> None:
         _add_rule(old[1], below, more)
 
 
+def _lost(node: list, kid: list) -> bool:
+    """Whether text of the kid may have been forgotten, so that it only seems the same."""
+    return node[FORGOT] and kid[PAGES] < node[PAGES] or any(n[FORGOT] and n[VARIED] for n in _walk(kid))
+
+
 def _keeps(node: list) -> bool:
     """Whether an article or main element is below the node, or content by its variation."""
     return any(_tag(n[SIGN]) in WHOLE or n[BARRED] == NAMED and _varies(n) for n in _walk(node, NEVER_IS))
@@ -435,7 +477,7 @@ def extract(page: str | None, rules: dict | None) -> str:
     root = parse(page)
     if rules is not None and (text := _text(root, rules)):
         return text
-    rules = wrapper(outline(root))
+    rules = wrapper(outline(root), alone=True)
     return rules and _text(root, rules) or _text(root, {})
 
 

@@ -117,6 +117,21 @@ def test_names_bar_only_what_the_template_cannot_judge(spark):
     assert alone == "A\nB"
 
 
+def test_copies_are_one_page_and_the_header_is_no_content(spark):
+    html = "<body><header>Site</header><div>Unnamed</div><article><h1>Title</h1><header>By</header><p>x</p></article></body>"
+    assert texts_of(spark, [html] * 5) == ["Title\nBy\nx"] * 5
+    layout = "<body><header>Site</header><div class=top>Same</div><div class=a><p>a {0}</p></div></body>"
+    copies = "<body><header>Site</header><div class=top>Same</div><div class=b><p>copied</p></div></body>"
+    assert texts_of(spark, [layout.format(i) for i in range(6)] + [copies] * 9)[-1] == "copied"
+
+
+def test_a_large_template_of_common_nodes_is_not_wiped(spark):
+    inner = "".join(f"<div class={chr(97 + k // 26)}q{chr(97 + k % 26)}><p>k {k} {{0}}</p></div>" for k in range(450))
+    html = f"<body><header>Site</header><div class=top>Same</div><div class=wrap>{inner}</div></body>"
+    got = texts_of(spark, [html.format(i) for i in range(3)])
+    assert got == ["\n".join(f"k {k} {i}" for k in range(450)) for i in range(3)]
+
+
 def test_no_pages(pages):
     assert op5.main_text(pages.limit(0)).count() == 0
 
