@@ -7,10 +7,10 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetide.functions import times
+from pagetide.functions import quality, times
 from pagetide.operators import rollup
 from pagetide.schema import ERROR_ROUTE, RAW_ROUTE
-from pagetide.sources import files, tables as stored
+from pagetide.sources import content, files, tables as stored
 
 RAW_DAYS = 30
 MINUTE_DAYS = 7
@@ -47,9 +47,10 @@ def _month_is_over(month: int, days: int, as_of: datetime) -> bool:
 
 
 def drop_expired(spark: SparkSession, tables: stored.Tables, as_of: datetime) -> list[str]:
-    """Delete month directories of raw events and minute states past retention.
+    """Delete month directories of raw events and minute states past retention, and
+    days of the content index that the gate lets no event of in any more.
 
-    Looks at the names of months only, and deletes each with all batches in it.
+    Looks at the names of directories only, and deletes each with all batches in it.
     Hours and errors are kept.
     """
     dropped = []
@@ -59,7 +60,8 @@ def drop_expired(spark: SparkSession, tables: stored.Tables, as_of: datetime) ->
                 if _month_is_over(int(files.partition_value(path)), days, as_of):
                     files.delete(spark, path)
                     dropped.append(path)
-    return dropped
+    oldest = (as_of - timedelta(hours=quality.MAX_AGE_HOURS)).date()
+    return dropped + content.drop_days_before(spark, tables.root, oldest)
 
 
 def compact(

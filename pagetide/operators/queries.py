@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,25 @@ def latest_aggregates(
     return merged.orderBy(F.desc("window_start"), "page_id").limit(AGGREGATE_ROWS)
 
 
+def events_of(
+    raw: DataFrame, day: date, page_id: str | None = None, user_id: str | None = None
+) -> DataFrame:
+    """Stored events of one day and one page, one user or both.
+
+    The month prunes directories, the sort order and the files' Bloom filters leave out
+    row groups that do not hold the page or the user.
+    """
+    if page_id is None and user_id is None:
+        raise ValueError("name a page or a user")
+    found = raw.filter(F.col("event_date") == F.lit(day))
+    if "month" in raw.columns:
+        found = found.filter(F.col("month") == day.year * 100 + day.month)
+    for name, value in (("page_id", page_id), ("user_id", user_id)):
+        if value is not None:
+            found = found.filter(F.col(name) == value)
+    return found
+
+
 def latest_errors(errors: DataFrame, limit: int = 10, narrow_first: bool = False) -> DataFrame:
     """The latest rejected messages, latest first.
 

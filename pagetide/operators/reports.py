@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetide.functions import quality, times
@@ -171,6 +171,66 @@ def histogram(df: DataFrame, value: Column, edges: Sequence[float]) -> DataFrame
     return counted.select(F.inline(F.array(*rows)))
 
 
+def histogram_states(
+    df: DataFrame, value: Column, edges: Sequence[float], window: Column
+) -> DataFrame:
+    """Rows per window and bucket of fixed edges, as states that add up.
+
+    Position i counts ``edges[i - 1] < value <= edges[i]``, the last one what is above
+    all edges. States of one list of edges merge in any order and grouping.
+    """
+    bucket = F.lit(len(edges))
+    for i in reversed(range(len(edges))):
+        bucket = F.when(F.col("v") <= edges[i], i).otherwise(bucket)
+    named = df.select(window.alias("window_start"), value.alias("v")).filter("v IS NOT NULL")
+    placed = named.select("window_start", bucket.alias("b"))
+    counts = [F.count_if(F.col("b") == i) for i in range(len(edges) + 1)]
+    return placed.groupBy("window_start").agg(F.array(*counts).alias("counts"))
+
+
+def merge_histograms(states: DataFrame, buckets: int, window: Column | None = None) -> DataFrame:
+    """States added up position by position, per ``window`` or in all."""
+    sums = F.array(*[F.coalesce(F.sum(F.get("counts", F.lit(i))), F.lit(0)) for i in range(buckets)])
+    grouped = states.groupBy() if window is None else states.groupBy(window.alias("window_start"))
+    return grouped.agg(sums.alias("counts"))
+
+
+def cumulated(merged: DataFrame, edges: Sequence[float]) -> DataFrame:
+    """Merged states as rows ``value <= le``, as :func:`histogram` gives them."""
+    rows = []
+    for i, le in enumerate([*edges, None]):
+        below = F.aggregate(F.slice("counts", 1, i + 1), F.lit(0).cast("bigint"), lambda a, n: a + n)
+        bound = F.lit(None if le is None else float(le)).cast("double")
+        rows.append(F.struct(F.lit(i).alias("bucket"), bound.alias("le"), below.alias("cumulative_count")))
+    others = [name for name in merged.columns if name != "counts"]
+    return merged.select(*others, F.inline(F.array(*rows)))
+
+
+# Offsets of a partition that are sorted together.
+OFFSETS_PER_CHUNK = 1_000_000
+
+
+def offset_gaps(messages: DataFrame, chunk: int = OFFSETS_PER_CHUNK) -> DataFrame:
+    """Ranges of offsets that are missing between others of their topic partition.
+
+    Offsets are compared within chunks of a partition, and chunks by their ends, a row
+    each, so a partition with most messages is sorted in many tasks. Repeated offsets
+    count once.
+    """
+    places = messages.select(
+        F.col("partition").alias("kafka_partition"), "offset", F.floor(F.col("offset") / chunk).alias("chunk")
+    )
+    inside = Window.partitionBy("kafka_partition", "chunk").orderBy("offset")
+    within = places.select("kafka_partition", F.lag("offset").over(inside).alias("before"), "offset")
+    ends = places.groupBy("kafka_partition", "chunk").agg(F.min("offset").alias("offset"), F.max("offset").alias("last"))
+    along = Window.partitionBy("kafka_partition").orderBy("chunk")
+    between = ends.select("kafka_partition", F.lag("last").over(along).alias("before"), "offset")
+    gaps = within.unionByName(between).filter("offset > before + 1")
+    return gaps.selectExpr(
+        "kafka_partition", "before + 1 AS first_missing", "offset - 1 AS last_missing", "offset - before - 1 AS missing"
+    )
+
+
 def duration_seconds() -> Column:
     return F.col("duration_ms") / 1000.0
 

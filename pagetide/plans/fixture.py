@@ -30,6 +30,10 @@ AGAIN = {"twice": ',"Page_ID":""}', "typed": ',"Page_ID":7}'}
 # Days at which the topic is cut into files for the streams.
 CUTS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
+# How long the streams with watermarks wait for late events: more than a slice.
+DELAY_DAYS = 10
+DELAY = f"{DELAY_DAYS} days"
+
 
 def source_events(
     spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
@@ -132,6 +136,13 @@ def write_topic_slices(spark: SparkSession, sf_dir: str, path: str, slices: list
     return len(spark.read.schema(MESSAGE).parquet(path).inputFiles())
 
 
+def write_resends(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """Add the signups sent again to a topic's files; returns the file count."""
+    again = source_events(spark, sf_dir).filter(F.col("event_type") == "signup")
+    messages_of(again, f"event_id + {RESEND_OFFSET}").write.mode("append").parquet(path)
+    return len(spark.read.schema(MESSAGE).parquet(path).inputFiles())
+
+
 def write_topic_partitions(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Write the messages by topic partition, so that one can be read alone."""
     messages(spark, sf_dir).write.partitionBy("partition").parquet(path)

@@ -6,7 +6,9 @@ and stream queries write below the shared folder of the session first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +16,13 @@ from pyspark.sql import types as T
 
 from pagetide import session
 from pagetide.functions import histogram, quality, times
-from pagetide.operators import dedup, events, lifecycle, queries, reports, rollup
+from pagetide.operators import dedup, events, lifecycle, queries, reports, rollup, users
 from pagetide.plans import fixture
-from pagetide.schema import ERROR_ROUTE, RAW_ROUTE
-from pagetide.sources import catalog, publish, topic
+from pagetide.schema import ERROR_ROUTE, HISTOGRAM_STATE, RAW_ROUTE
+from pagetide.sources import buckets, catalog, publish, topic
 from pagetide.sources import tables as stored
-from pagetide.streaming import ingest
+from pagetide.sources.parts import Parts
+from pagetide.streaming import ingest, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,7 +132,9 @@ def hourly_rollup_from_minutes(spark, sf_dir):
     return rollup.hourly_rollup(rollup.minute_states(_raw(spark, sf_dir)))
 
 
-def _stored_in_parts(spark: SparkSession, sf_dir: str) -> stored.Tables:
+def _stored_in_parts(
+    spark: SparkSession, sf_dir: str, extras: stored.Extras = stored.Extras()
+) -> stored.Tables:
     """Tables filled in four batches by topic partition, so that states overlap."""
     folder = session.run_folder(spark, "parts")
     tables = stored.Tables(f"{folder}/tables")
@@ -137,7 +142,7 @@ def _stored_in_parts(spark: SparkSession, sf_dir: str) -> stored.Tables:
     messages = fixture.write_topic_partitions(spark, sf_dir, f"{folder}/topic")
     for batch_id in range(4):
         part = messages.filter(F.pmod("partition", F.lit(4)) == batch_id)
-        stored.ingest_batch(part, batch_id, tables, fixture.MAIN)
+        stored.ingest_batch(part, batch_id, tables, fixture.MAIN, extras=extras)
     return tables
 
 
@@ -157,6 +162,46 @@ def minute_states_compacted(spark, sf_dir):
     return rollup.minute_aggregates(stored.read_states(spark, tables))
 
 
+@query
+def minute_users_exact(spark, sf_dir):
+    """Exact distinct users per minute, from bitmaps stored by four batches."""
+    tables = _stored_in_parts(spark, sf_dir, stored.Extras(exact_users=True))
+    return users.distinct_users(stored.read_user_states(spark, tables))
+
+
+@query
+def hour_users_exact(spark, sf_dir):
+    """The same bitmaps united to hours, in which users repeat over minutes."""
+    tables = _stored_in_parts(spark, sf_dir, stored.Extras(exact_users=True))
+    return users.distinct_users(stored.read_user_states(spark, tables), times.hour)
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> str:
+    """A bucketed table of the minute states of four batches, in a database of its own."""
+    folder = session.run_folder(spark, "bucketed")
+    database = f"pagetide_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    table = f"{database}.minute_states"
+    messages = fixture.write_topic_partitions(spark, sf_dir, f"{folder}/topic")
+    for batch_id in range(4):
+        part = messages.filter(F.pmod("partition", F.lit(4)) == batch_id)
+        raw = events.raw_rows(events.gate(part, fixture.MAIN))
+        buckets.append_states(rollup.minute_states(raw), table, f"{folder}/states", buckets=8)
+    return table
+
+
+@query
+def minute_states_bucketed(spark, sf_dir):
+    """Minute rows merged from a table bucketed by page, without a shuffle."""
+    return rollup.minute_aggregates(buckets.read_states(spark, _bucketed(spark, sf_dir)))
+
+
+@query
+def hour_states_bucketed(spark, sf_dir):
+    """Hour rows from the same table, without a shuffle either."""
+    return rollup.hourly_rollup(buckets.read_states(spark, _bucketed(spark, sf_dir)))
+
+
 @query
 def hour_states_merged(spark, sf_dir):
     """Hour rows merged from hour states stored by four batches."""
@@ -229,9 +274,28 @@ def latest_errors_stored(spark, sf_dir):
     return queries.latest_errors(errors, limit=100, narrow_first=True)
 
 
+@query
+def events_of_page_day(spark, sf_dir):
+    """Stored events of one page and day, looked up by directory, order and filters."""
+    raw = stored.read_raw(spark, _stored_in_parts(spark, sf_dir))
+    return queries.events_of(raw, date(2024, 1, 10), page_id="page_3").drop("month", "batch_id")
+
+
+@query
+def events_of_user_day(spark, sf_dir):
+    raw = stored.read_raw(spark, _stored_in_parts(spark, sf_dir))
+    return queries.events_of(raw, date(2024, 1, 10), user_id="user_3").drop("month", "batch_id")
+
+
 # Reports
 
 
+@query
+def offset_gaps(spark, sf_dir):
+    """Offsets that the topic's partitions lack, as ranges; chunks of a few thousand here."""
+    return reports.offset_gaps(fixture.messages(spark, sf_dir), chunk=4096)
+
+
 @query
 def next_offsets(spark, sf_dir):
     return reports.next_offsets(fixture.messages(spark, sf_dir))
@@ -312,6 +376,36 @@ def duration_histogram_exponential(spark, sf_dir):
     return reports.histogram(_raw(spark, sf_dir), reports.duration_seconds(), edges)
 
 
+def _histograms(spark: SparkSession, sf_dir: str, edges: list[float]) -> DataFrame:
+    """Histogram states per minute, stored by four batches."""
+    folder = session.run_folder(spark, "histograms")
+    parts = Parts(f"{folder}/states", HISTOGRAM_STATE, by=("month",))
+    messages = fixture.write_topic_partitions(spark, sf_dir, f"{folder}/topic")
+    for batch_id in range(4):
+        part = messages.filter(F.pmod("partition", F.lit(4)) == batch_id)
+        raw = events.raw_rows(events.gate(part, fixture.MAIN))
+        states = reports.histogram_states(raw, reports.duration_seconds(), edges, times.minute(F.col("event_time")))
+        parts.write(states.withColumn("month", times.month(F.col("window_start"))), batch_id)
+    return parts.read(spark)
+
+
+@query
+def duration_histogram_merged(spark, sf_dir):
+    """The histogram of all durations from stored minutes."""
+    edges = histogram.linear_edges(10, 10, 20)
+    merged = reports.merge_histograms(_histograms(spark, sf_dir, edges), len(edges) + 1)
+    return reports.cumulated(merged, edges)
+
+
+@query
+def duration_histogram_by_day(spark, sf_dir):
+    """One of each day, from the same kind of states."""
+    edges = histogram.exponential_edges(0.01, 2, 10)
+    day = F.date_trunc("day", "window_start")
+    merged = reports.merge_histograms(_histograms(spark, sf_dir, edges), len(edges) + 1, day)
+    return reports.cumulated(merged, edges)
+
+
 @query
 def ingest_lag_histogram(spark, sf_dir):
     edges = histogram.exponential_edges(3600, 2, 10)
@@ -485,3 +579,63 @@ def stream_dedup(spark, sf_dir):
 def stream_dedup_late(spark, sf_dir):
     """The same with the oldest messages first seen last, which none may be lost of."""
     return _replayed(spark, sf_dir, OLDEST_LAST[:2] + OLDEST_LAST)
+
+
+# Events sent again, and windows that a stream closes
+
+
+@query
+def stream_dedup_content(spark, sf_dir):
+    """Raw events of a topic whose signups are sent again after all others, in a later batch."""
+    folder = session.run_folder(spark, "stream")
+    count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", IN_ORDER)
+    fixture.write_resends(spark, sf_dir, f"{folder}/topic")
+    messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
+    tables = stored.Tables(f"{folder}/tables")
+    extras = stored.Extras(drop_resends=True)
+    ingest.drain(messages, tables, f"{folder}/checkpoint", fixture.MAIN, extras=extras)
+    return stored.read_raw(spark, tables).drop("batch_id", "month")
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """Statistics of every micro-batch, a row each: one batch per slice of the topic."""
+    folder = session.run_folder(spark, "stream")
+    count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", IN_ORDER)
+    messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
+    tables = stored.Tables(f"{folder}/tables")
+    extras = stored.Extras(statistics=True)
+    ingest.drain(messages, tables, f"{folder}/checkpoint", fixture.MAIN, extras=extras)
+    return stored.read_statistics(spark, tables)
+
+
+def _closed(spark: SparkSession, sf_dir: str, windowed: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """What a stream of raw events has emitted when its topic is drained.
+
+    The delay spans more than a slice of the topic, so no event is late.
+    """
+    folder = session.run_folder(spark, "windows")
+    count = fixture.write_topic_slices(spark, sf_dir, f"{folder}/topic", IN_ORDER)
+    messages = topic.stream_files(spark, f"{folder}/topic", max(1, -(-count // 4)))
+    rows = windowed(events.raw_rows(events.gate(messages, fixture.MAIN)), fixture.DELAY)
+    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_exact_users(spark, sf_dir):
+    """Exact distinct users of closed minutes, by two stateful steps in one stream."""
+    return _closed(spark, sf_dir, windows.exact_users)
+
+
+@query
+def stream_closed_minutes(spark, sf_dir):
+    """Minute rows, each once its watermark has passed."""
+    return _closed(spark, sf_dir, windows.closed_minutes)
+
+
+@query
+def stream_closed_hours(spark, sf_dir):
+    """Hour rows cascaded from closed minutes."""
+    return _closed(spark, sf_dir, windows.closed_hours)

@@ -80,6 +80,34 @@ HOUR = _struct(
     bounce_rate=T.DoubleType(),
 )
 
+# Users by number, and bitmaps of the numbers seen, by buckets of 32,768.
+USER_NUMBER = _struct(user_id=T.StringType(), number=T.LongType())
+USER_STATE = _struct(
+    window_start=T.TimestampType(),
+    page_id=T.StringType(),
+    bucket=T.LongType(),
+    users=T.BinaryType(),
+    month=T.IntegerType(),
+)
+
+# Rows per bucket of fixed edges and minute, not cumulated.
+HISTOGRAM_STATE = _struct(
+    window_start=T.TimestampType(), counts=T.ArrayType(T.LongType()), month=T.IntegerType()
+)
+
+# Two hashes of an event's content, by the day of the event.
+CONTENT_KEY = _struct(event_date=T.DateType(), key_1=T.LongType(), key_2=T.LongType())
+
+# What one batch has brought.
+BATCH_STATUS = _struct(
+    messages_processed=T.LongType(),
+    valid_messages=T.LongType(),
+    invalid_messages=T.LongType(),
+    first_event_time=T.TimestampType(),
+    last_event_time=T.TimestampType(),
+    last_insert_time=T.TimestampType(),
+)
+
 # Values of the ``route`` partition column of the stored log.
 RAW_ROUTE = "raw"
 ERROR_ROUTE = "errors"

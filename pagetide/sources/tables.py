@@ -28,19 +28,24 @@ import json
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetide import session
 from pagetide.functions import times
-from pagetide.operators import events, rollup
-from pagetide.schema import ERROR_ROUTE, ERRORS, MINUTE_STATE, RAW, RAW_ROUTE
-from pagetide.sources import files
+from pagetide.operators import events, rollup, users
+from pagetide.schema import BATCH_STATUS, ERROR_ROUTE, ERRORS, MINUTE_STATE, RAW, RAW_ROUTE
+from pagetide.sources import content, files
+from pagetide.sources.parts import Parts
 
 # Names a user may ask for, and what Parquet calls them.
 CODECS = {"none": "uncompressed", "snappy": "snappy", "lz4": "lz4_raw", "gzip": "gzip", "zstd": "zstd"}
 
+# Columns with Bloom filters in the log's files, and values to a row group at most.
+FILTERED = {"page_id": 20_000, "user_id": 200_000}
+
 MINUTE = "minute"
 HOUR = "hour"
 SCHEMAS = {RAW_ROUTE: RAW, ERROR_ROUTE: ERRORS, MINUTE: MINUTE_STATE, HOUR: MINUTE_STATE}
@@ -81,6 +86,29 @@ class Tables:
             "mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
         }
 
+    def log_options(self) -> dict[str, str]:
+        """Those of the log, with filters per row group for looking up a page or a user."""
+        options = self.writer_options()
+        for column, distinct in FILTERED.items():
+            options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+            options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(distinct)
+        return options
+
+
+@dataclass(frozen=True)
+class Extras:
+    """What an ingest does besides the four tables.
+
+    ``drop_resends`` leaves out valid events whose content this or an earlier batch has
+    stored within the days that the gate lets in. ``exact_users`` keeps bitmaps of users,
+    ``statistics`` a row of counts per batch. They must be on from the first batch on to
+    cover all.
+    """
+
+    drop_resends: bool = False
+    exact_users: bool = False
+    statistics: bool = False
+
 
 def create_directories(spark: SparkSession, tables: Tables) -> None:
     for path in (*map(tables.live, SCHEMAS), tables.commits):
@@ -201,7 +229,7 @@ def write_log(
         routed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .sortWithinPartitions("route", "month", "batch_id", "event_date", "page_id", "user_id")
         .write.mode("append")
-        .options(**tables.writer_options())
+        .options(**tables.log_options())
         .partitionBy("route", "month", "batch_id")
         .parquet(f"{tables.root}/log")
     )
@@ -237,9 +265,10 @@ def write_batch_states(spark: SparkSession, tables: Tables, batch_id: int) -> No
 def write_compacted(rows: DataFrame, tables: Tables, table: str, first: int, last: int) -> None:
     """One directory that stands for batches ``first`` to ``last``."""
     session.configure(rows.sparkSession)
+    options = tables.log_options()
     if table in (MINUTE, HOUR):
-        rows = _with_month(rows)
-    rows.write.mode("overwrite").options(**tables.writer_options()).partitionBy("month").parquet(
+        rows, options = _with_month(rows), tables.writer_options()
+    rows.write.mode("overwrite").options(**options).partitionBy("month").parquet(
         f"{tables.compacted(table)}/batches={first}-{last}"
     )
 
@@ -252,6 +281,7 @@ def ingest_batch(
     rebalance: bool = False,
     owned_by: str = BATCH_OWNER,
     drop_replays: bool = False,
+    extras: Extras = Extras(),
 ) -> None:
     """Gate one batch of messages and bring all tables up to date with it.
 
@@ -260,22 +290,74 @@ def ingest_batch(
     that another batch has stored.
     """
     routed = events.routed_rows(events.gate(messages, as_of))
-    store_batch(routed, batch_id, tables, owned_by, rebalance, drop_replays)
+    store_batch(routed, batch_id, tables, owned_by, rebalance, drop_replays, extras)
 
 
 def store_batch(
-    routed: DataFrame, batch_id: int, tables: Tables, owned_by: str, rebalance: bool, drop_replays: bool
+    routed: DataFrame,
+    batch_id: int,
+    tables: Tables,
+    owned_by: str,
+    rebalance: bool,
+    drop_replays: bool = False,
+    extras: Extras = Extras(),
 ) -> None:
     """Store rows of both tables with their states, and record the batch last."""
-    spark = routed.sparkSession
+    spark = session.configure(routed.sparkSession)
     claim(spark, tables, owned_by)
-    if drop_replays:
-        routed = without_replays(routed, tables, batch_id)
-    write_log(routed, tables, batch_id, rebalance)
+    if extras.drop_resends:  # its days are asked for before it is written
+        routed = routed.persist(StorageLevel.DISK_ONLY)
+    try:
+        kept = without_replays(routed, tables, batch_id) if drop_replays else routed
+        if extras.drop_resends:
+            kept = content.without_resends(kept, tables.root, batch_id)
+        seen = Observation()
+        if extras.statistics:
+            kept = kept.observe(seen, *_batch_status())
+        write_log(kept, tables, batch_id, rebalance)
+    finally:
+        if extras.drop_resends:
+            routed.unpersist()
     write_batch_states(spark, tables, batch_id)
+    raw = _read_batch(spark, tables, RAW_ROUTE, batch_id)
+    if extras.drop_resends:
+        content.write_batch_keys(raw, tables.root, batch_id)
+    if extras.exact_users:
+        users.write_batch_users(raw, tables.root, batch_id)
+    if extras.statistics:
+        row = spark.createDataFrame([tuple(seen.get[name] for name in BATCH_STATUS.fieldNames())], BATCH_STATUS)
+        batch_statistics(tables).write(row, batch_id, rebalance=False)
     commit(spark, tables, batch_id)
 
 
+def _batch_status() -> list[Column]:
+    valid = F.col("route") == RAW_ROUTE
+    return [
+        F.count(F.lit(1)).alias("messages_processed"),
+        F.count_if(valid).alias("valid_messages"),
+        F.count_if(~valid).alias("invalid_messages"),
+        F.min("event_time").alias("first_event_time"),
+        F.max("event_time").alias("last_event_time"),
+        F.max(F.coalesce("processed_time", "error_time")).alias("last_insert_time"),
+    ]
+
+
+def batch_statistics(tables: Tables) -> Parts:
+    """Counts and times of every batch, a row each, taken while it was written."""
+    return Parts(f"{tables.root}/batch_statistics", BATCH_STATUS)
+
+
+def read_statistics(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Statistics of finished batches, where these were stored with them."""
+    done = committed_ranges(spark, tables)
+    return batch_statistics(tables).read(spark).filter(_in_ranges(done))
+
+
+def read_user_states(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Bitmaps of users of finished batches, where these were stored with them."""
+    return users.read_user_states(spark, tables.root).filter(_in_ranges(committed_ranges(spark, tables)))
+
+
 def without_replays(routed: DataFrame, tables: Tables, batch_id: int) -> DataFrame:
     """Rows whose topic partition and offset occur once here and in no other batch.
 

@@ -49,6 +49,7 @@ def start_ingest(
     as_of: times.Clock = None,
     name: str | None = None,
     drop_replays: bool = False,
+    extras: stored.Extras = stored.Extras(),
     **trigger: object,
 ) -> StreamingQuery:
     """Run the ingest over a stream of messages.
@@ -58,7 +59,8 @@ def start_ingest(
     replaces its earlier output. Tables and checkpoint belong together: batch
     numbers start over with a new checkpoint, so tables that another checkpoint
     has filled are refused. ``drop_replays`` leaves out messages that an earlier
-    batch has stored, however long ago.
+    batch has stored, however long ago; ``extras`` says whether events sent again are
+    left out too, and what is kept besides the tables.
 
     ``trigger`` is passed on; ``availableNow=True`` drains the topic and stops.
     """
@@ -72,7 +74,7 @@ def start_ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        stored.store_batch(batch, batch_id, tables, query, True, drop_replays)
+        stored.store_batch(batch, batch_id, tables, query, True, drop_replays, extras)
 
     writer = routed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if name is not None:
@@ -86,7 +88,10 @@ def drain(
     checkpoint: str,
     as_of: times.Clock = None,
     drop_replays: bool = False,
+    extras: stored.Extras = stored.Extras(),
 ) -> None:
     """Flush everything that is there now and return when it is stored."""
-    query = start_ingest(messages, tables, checkpoint, as_of, drop_replays=drop_replays, availableNow=True)
+    query = start_ingest(
+        messages, tables, checkpoint, as_of, drop_replays=drop_replays, extras=extras, availableNow=True
+    )
     query.awaitTermination()

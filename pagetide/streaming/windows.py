@@ -31,6 +31,22 @@ def _minute_states(raw: DataFrame, delay: str) -> DataFrame:
     )
 
 
+def exact_users(raw: DataFrame, delay: str = DELAY) -> DataFrame:
+    """Exact distinct users per closed minute and page of a stream, in append mode.
+
+    Two stateful steps in one query: the first lets each (minute, page, user) pass once,
+    the second counts what passes per window. The first forgets a user when the
+    watermark passes, so its state is bounded by the delay, a short row per user and no
+    set per key; later copies are late for the window as well, so none counts twice.
+    ``delay`` is a minute or more.
+    """
+    minute = F.date_trunc("minute", "event_time").alias("minute")
+    once = _watched(raw, delay).select("event_time", minute, "page_id", "user_id")
+    once = once.dropDuplicatesWithinWatermark(["minute", "page_id", "user_id"])
+    counted = once.groupBy(F.window("event_time", "1 minute"), "page_id").agg(F.count(F.lit(1)).alias("unique_users"))
+    return counted.select(F.col("window.start").alias("window_start"), "page_id", "unique_users")
+
+
 def closed_minutes(raw: DataFrame, delay: str = DELAY) -> DataFrame:
     """Final minute rows of a stream of raw events, in append mode."""
     states = _minute_states(raw, delay)
