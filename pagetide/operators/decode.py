@@ -2,8 +2,8 @@
 
 Accepts exactly one JSON object (or ``null``) per message, whose known fields
 hold the right JSON type or null. Unknown fields are ignored. Keys match in any
-case, and the last of repeated keys, however spelled, is the one that counts.
-Everything else fails as a whole.
+case. A key may be repeated, however spelled: every value of it must be right, and the
+last one that is not null counts. Everything else fails as a whole.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ _PARSER = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 _TYPE = {f.name: f.dataType.simpleString() for f in EVENT.fields}
 _TYPED = "array<struct<" + ",".join(f"{name}:{kind}" for name, kind in _TYPE.items()) + ">>"
 _AS_VARIANT = "array<struct<" + ",".join(f"{name}:variant" for name in _TYPE) + ">>"
+_ALL_KEYS = "array<map<string, variant>>"
 
 _REQUIRED = ["page_id", "user_id", "view_duration_ms", "is_bounce"]
 _OPTIONAL = ["user_agent", "ip_address", "region"]
@@ -31,9 +32,8 @@ _MAYBE_NOT_A_STRING = r"(?m)^(?:[{\[]|-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?$|true$|fa
 _ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 _PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
 
-# A known key spelled in other than lower case.
-_KEYS = "|".join(_TYPE)
-_UNEXACT_KEY = rf'"(?!(?:{_KEYS})")(?i:{_KEYS})"\s*:'
+# Whatever is a key, and at times the text of a string.
+_KEY = r'"\s*:'
 
 # No string holds a control character or an unknown escape. The parser leaves a
 # field null when its string is malformed and reads on, so this is asked wherever
@@ -70,28 +70,63 @@ def _clear() -> str:
     conditions.append(f"NOT concat_ws('\\n', {texts}) RLIKE r'{_MAYBE_NOT_A_STRING}'")
     present = " AND ".join(f"{typed}.{name} IS NOT NULL" for name in ["timestamp", *_OPTIONAL])
     conditions.append(f"(({present}) OR ({_STRINGS_WELL_FORMED}))")
-    conditions.append(f"NOT _text RLIKE r'{_UNEXACT_KEY}'")
+    # each field found accounts for one key, so no key is repeated or spelled otherwise
+    found = " + ".join(f"CAST({typed}.{name} IS NOT NULL AS INT)" for name in _TYPE)
+    conditions.append(f"regexp_count(_text, r'{_KEY}') = {found}")
     return f"coalesce({' AND '.join(conditions)}, false)"
 
 
-def _shaped() -> str:
-    """The message is an event by either parse, leaving the time text aside."""
-    seal = "try_variant_get(get(_checked, 1).view_duration_ms, '$', 'bigint')"
-    conditions = ["size(_checked) = 2", f"{seal} = xxhash64(_text)", _STRINGS_WELL_FORMED]
-    conditions += [
-        f"coalesce(schema_of_variant(get(_checked, 0).{name}), 'VOID') IN ('VOID', '{kind.upper()}')"
+def _sealed(parsed: str, seal: str) -> str:
+    return f"size({parsed}) = 2 AND try_variant_get({seal}, '$', 'bigint') <=> xxhash64(_text)"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _values() -> str:
+    """All keys with their values, in order; null where the message is no JSON object.
+
+    A map keeps repeated keys. It cannot be had of a message that repeats a key inside
+    an unknown field, of which the known fields are then taken alone.
+    """
+    keyed = f"from_json({_bracketed('_text')}, '{_ALL_KEYS}', {_PARSER})"
+    known = f"from_json({_bracketed(_exact_keys())}, '{_AS_VARIANT}', {_PARSER})"
+    fields = ", ".join(f"named_struct('key', '{name}', 'value', get(c, 0).{name})" for name in _TYPE)
+    alone = _let("c", known, f"CASE WHEN {_sealed('c', 'get(c, 1).view_duration_ms')} THEN array({fields}) END")
+    entries = "coalesce(map_entries(get(k, 0)), array())"
+    sealed = _sealed("k", "get(k, 1)['view_duration_ms']")
+    return _let("k", keyed, f"CASE WHEN {sealed} THEN {entries} ELSE {alone} END")
+
+
+def _slow() -> str:
+    """The event by a parse that knows the type of every value; null where it is none.
+
+    Nulls are left out before fields are looked up, as they change nothing.
+    """
+    kinds = " ".join(f"WHEN '{name}' THEN '{kind.upper()}'" for name, kind in _TYPE.items())
+    typed = "named_struct('key', lower(e.key), 'value', e.value, 'kind', coalesce(schema_of_variant(e.value), 'VOID'))"
+    given = f"filter(transform(v, e -> {typed}), e -> e.kind <> 'VOID')"
+    right = f"e.kind = CASE e.key {kinds} ELSE e.kind END"
+    text = "try_variant_get(e.value, '$', 'string')"
+    times_right = _let("t", text, f"{times.parse_rfc3339('t')} IS NOT NULL")
+    wrong = f"NOT ({right}) OR (e.key = 'timestamp' AND NOT {times_right})"
+    fields = ", ".join(
+        f"'{name}', try_variant_get(try_element_at(filter(g, e -> e.key = '{name}'), -1).value, '$', '{kind}')"
         for name, kind in _TYPE.items()
-    ]
-    return f"_clear OR coalesce({' AND '.join(conditions)}, false)"
+    )
+    event = f"CASE WHEN NOT exists(g, e -> {wrong}) THEN named_struct({fields}) END"
+    found = _let("v", _values(), f"CASE WHEN v IS NOT NULL THEN {_let('g', given, event)} END")
+    return f"CASE WHEN NOT _clear AND coalesce({_STRINGS_WELL_FORMED}, false) THEN {found} END"
 
 
 def _field(name: str) -> str:
-    return f"""CASE WHEN _clear THEN get(_typed, 0).{name}
-        WHEN _shaped THEN try_variant_get(get(_checked, 0).{name}, '$', '{_TYPE[name]}') END"""
+    return f"CASE WHEN _clear THEN get(_typed, 0).{name} ELSE _slow.{name} END"
 
 
 _EVENT = f"""inline(array(named_struct(
-    'decoded', _shaped AND (timestamp_text IS NULL OR _instant IS NOT NULL),
+    'decoded', (_clear OR _slow IS NOT NULL) AND (timestamp_text IS NULL OR _instant IS NOT NULL),
     'page_id', coalesce({_field('page_id')}, ''),
     'user_id', coalesce({_field('user_id')}, ''),
     'view_duration_ms', coalesce({_field('view_duration_ms')}, 0L),
@@ -110,15 +145,14 @@ def decode(messages: DataFrame) -> DataFrame:
     Where ``decoded`` is false the fields mean nothing.
 
     One typed parse serves nearly all messages. Those it cannot vouch for - a
-    field it left empty, a text that might have been a bare number - are parsed
-    again into variants, which remember the JSON type of each field.
+    field it left empty, a text that might have been a bare number, more keys than
+    fields - are parsed again into a map of variants, which keeps repeated keys and
+    remembers the JSON type of each value.
     """
     df = messages.selectExpr("*", "make_valid_utf8(CAST(value AS STRING)) AS _text")
     df = once(df, "_typed", f"from_json({_bracketed('_text')}, '{_TYPED}', {_PARSER})")
     df = once(df, "_clear", _clear())
-    again = f"from_json({_bracketed(_exact_keys())}, '{_AS_VARIANT}', {_PARSER})"
-    df = once(df, "_checked", f"CASE WHEN NOT _clear THEN {again} END")
-    df = once(df, "_shaped", _shaped())
+    df = once(df, "_slow", _slow())
     df = df.selectExpr("*", f"{_field('timestamp')} AS timestamp_text")
     df = once(df, "_instant", times.parse_rfc3339("timestamp_text"))
     return df.selectExpr(*[f"`{name}`" for name in messages.columns], "timestamp_text", _EVENT)

@@ -22,10 +22,11 @@ RESEND_OFFSET = 1_000_000_000_000
 
 # Purchases that break a rule or spell a key twice, by their number k: no user, over
 # a day, no time, both ids empty and no duration, an empty page and a number for a
-# page under another spelling of its key.
-ODD = {11: "no_user", 22: "too_long", 33: "no_time", 44: "blank", 55: "twice", 66: "typed"}
+# page under another spelling of its key, a number for a page before its right value.
+ODD = {11: "no_user", 22: "too_long", 33: "no_time", 44: "blank", 55: "twice", 66: "typed", 77: "before"}
 TOO_LONG = 24 * 60 * 60 * 1000 + 1
 AGAIN = {"twice": ',"Page_ID":""}', "typed": ',"Page_ID":7}'}
+BEFORE = '{"page_id":7,'
 
 # Days at which the topic is cut into files for the streams.
 CUTS = ["2024-01-08", "2024-01-16", "2024-01-24"]
@@ -95,6 +96,7 @@ def messages_of(source: DataFrame, offset: str = "event_id") -> DataFrame:
     value = F.when(F.col("kind") == 2, F.expr(BROKEN_JSON))
     for odd, tail in AGAIN.items():
         value = value.when(F.col("odd") == odd, F.concat(F.rtrim(encoded, F.lit("}")), F.lit(tail)))
+    value = value.when(F.col("odd") == "before", F.concat(F.lit(BEFORE), F.ltrim(encoded, F.lit("{"))))
     return source.select(
         value.otherwise(encoded).alias("value"),
         F.lit(TOPIC).alias("topic"),

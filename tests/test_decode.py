@@ -75,6 +75,13 @@ MUST_FAIL = {
     "unknown escape": RAW_GOOD.replace("page_1", "page\\x1"),
     "short unicode escape": RAW_GOOD.replace("user_2", "\\u01"),
     "tombstone": None,
+    "earlier key of a wrong type": '{"page_id":7,' + RAW_GOOD[1:],
+    "earlier key of a wrong type in other case": '{"PAGE_ID":["x"],' + RAW_GOOD[1:],
+    "earlier key of a wrong type, escaped": '{"page\\u005fid":7,' + RAW_GOOD[1:],
+    "middle key of a wrong type": RAW_GOOD[:-1] + ',"is_bounce":"no","is_bounce":true}',
+    "earlier number with a fraction": '{"view_duration_ms":1.0,' + RAW_GOOD[1:],
+    "earlier time that is none": '{"timestamp":"yesterday",' + RAW_GOOD[1:],
+    "last key of a wrong type": RAW_GOOD[:-1] + ',"user_id":{"a":1}}',
 }
 
 MUST_PASS = {
@@ -83,6 +90,15 @@ MUST_PASS = {
     "padded null": (" null ", None),
     "empty object": ("{}", None),
     "repeated key": (RAW_GOOD[:-1] + ',"page_id":"q"}', {"page_id": "q"}),
+    "repeated key, the last null": (RAW_GOOD[:-1] + ',"page_id":"q","page_id":null}', {"page_id": "q"}),
+    "repeated key, the first null": ('{"page_id":null,' + RAW_GOOD[1:], {"page_id": "page_1"}),
+    "repeated time": ('{"timestamp":"2024-01-29T00:00:00Z",' + RAW_GOOD[1:], {"timestamp_text": GOOD["timestamp"]}),
+    "repeated key, spaced": (RAW_GOOD[:-1] + ',"page_id" \n: "q"}', {"page_id": "q"}),
+    "nested known key": ('{"x":{"page_id":7,"y":{"page_id":[]}},' + RAW_GOOD[1:], {"page_id": "page_1"}),
+    "repeated unknown key": ('{"x":7,"x":"a","X":null,' + RAW_GOOD[1:], {"page_id": "page_1"}),
+    "repeated key in an unknown field": ('{"x":{"a":1,"a":2},' + RAW_GOOD[1:], {"page_id": "page_1"}),
+    "the same with another case": ('{"x":[{"a":1,"a":2}],' + RAW_GOOD[1:].replace("user_id", "User_ID"), {"user_id": "user_2"}),
+    "escaped key": (RAW_GOOD.replace("page_id", "page\\u005fid"), {"page_id": "page_1"}),
     "null page": (with_value("page_id", "null"), {"page_id": ""}),
     "null duration": (with_value("view_duration_ms", "null"), {"view_duration_ms": 0}),
     "null bounce": (with_value("is_bounce", "null"), {"is_bounce": False}),
@@ -174,36 +190,42 @@ def expected_fields(text):
             parse_int=lambda s: ("int", int(s)),
             parse_float=lambda s: ("float", s),
             parse_constant=no_constants,
+            object_pairs_hook=Pairs,
         )
     except ValueError:
         return None
     if value is None:
-        value = {}
-    if not isinstance(value, dict):
+        value = Pairs()
+    if type(value) is not Pairs:
         return None
-    fields = {}
-    for name, good in GOOD.items():
-        found = value.get(name)
-        if found is None:
-            fields[name] = None if name == "timestamp" else type(good)()
-        elif type(good) is int:
-            if not isinstance(found, tuple) or found[0] != "int":
+    fields = {name: None if name == "timestamp" else type(good)() for name, good in GOOD.items()}
+    for key, found in value:
+        name = key.lower()
+        if name not in GOOD or found is None:
+            continue
+        good = GOOD[name]
+        if type(good) is int:
+            if type(found) is not tuple or found[0] != "int":
                 return None
             if not -(2**63) <= found[1] < 2**63:
                 return None
-            fields[name] = found[1]
+            found = found[1]
         elif type(found) is not type(good):
             return None
         elif name == "timestamp" and not is_time(found):
             return None
-        else:
-            fields[name] = found
+        fields[name] = found
     return fields
 
 
+class Pairs(list):
+    """The keys and values of a JSON object, repeated ones too."""
+
+
 FRAGMENTS = """ " ' { } [ ] , : null true false 1 1.0 1e2 - 0 \\ NaN nul tru 00 é /*
 "x" {"a":1} [] "page_id": "region":7 "user_agent":nul "view_duration_ms": Infinity
-"timestamp":"2024" \\u00 \\n""".split() + [" ", "\t", "\n", "\x01"]
+"timestamp":"2024" \\u00 \\n "page_id":7, "Region":"x", "region":null, "is_bounce":true,
+,"x":{"a":1,"a":2}""".split() + [" ", "\t", "\n", "\x01"]
 
 
 def damaged_messages(count, seed):
