@@ -28,8 +28,8 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-# Words, targets by their level, golden-ratio slots, then the words of each document
-# that its source's scheduled blocks cover, which are the first ones of its rounds.
+# Words and targets by their level; a source's documents lie end to end in shuffled order,
+# up to three times over, and what lies before the target is taken.
 SOURCE_MIX = """
 WITH d AS (
     SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
@@ -52,23 +52,11 @@ WITH d AS (
     SELECT h.source, place, source_size,
         CASE WHEN level IS NULL OR level * weight >= 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE level * weight END AS target
     FROM h LEFT JOIN l ON true
-), e AS (
-    SELECT place, CAST(trunc(sum(target) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-        / sum(target) OVER () * 4294967296) AS BIGINT) AS edge FROM t WHERE target > 0
-), n AS (
-    SELECT CAST(ceil(sum(target) / 1024) AS BIGINT) AS slots FROM t
-), p AS (
-    SELECT i AS slot, (i % 4294967296) * 2654435769 % 4294967296 AS point FROM (SELECT unnest(range((SELECT slots FROM n))) AS i)
-), m AS (
-    SELECT place, count(*) AS blocks FROM (
-        SELECT slot, coalesce(min(place), (SELECT max(place) FROM e)) AS place
-        FROM p LEFT JOIN e ON edge > point GROUP BY slot
-    ) GROUP BY place
 ), a AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, coalesce(m.blocks, 0) * 1024 AS words,
+    SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(target + 0.5) AS BIGINT) AS words,
         coalesce(sum(d.size) OVER (PARTITION BY t.place ORDER BY substr(digest, 1, 3), digest, d.size
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN m ON m.place = t.place
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target, CAST(
     greatest(0, least(size, words - start)) + greatest(0, least(size, words - start - source_size))

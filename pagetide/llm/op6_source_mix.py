@@ -1,34 +1,43 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 Each source gets a share of all words by its weight, at most ``most`` times its own
-words; what is over goes to the others by weight. The mix is a sequence of slots of
-``block`` words. Slot i carries the golden-ratio point frac(i / phi), in 32-bit
-integers; the point falls into one source's stretch of the cumulative targets, so
-every source is spread evenly over the sequence. Slots are ranked per source, and
-the r-th slot of a source takes the r-th block of words of its documents, which lie
-end to end in shuffled order, over again when they run out.
-
-DataFrame functions only. Shuffled order is by MD5 of seed and id, so reruns agree.
-Running sums and ranks are taken in two steps, within buckets and over buckets, so
-a source with a third of all rows is never sorted in one task. The table of sources
-has one row per source.
+words; what is over goes to the others by weight. The mix is a sequence of slots, and
+a source has as many as its target has blocks of ``block`` words, the last one cut at
+the target, so every source meets its target to the word, however small it is. The
+slots' points are those of the golden ratio, moved to multiples of 1 / slots: slot i
+has point i * g mod slots, with g near slots / phi and prime to it, so each point occurs
+once. Points go through the sources' cumulative numbers of slots, which spreads
+every source evenly over the sequence. Slots are ranked per source, and the r-th slot
+of a source takes the r-th block of words of its documents, which lie end to end in
+shuffled order, over again when they run out.
+
+DataFrame functions only; one number, that of the slots, comes to the driver. Shuffled
+order is by MD5 of seed and id, so reruns agree. A source's points are made from its
+own numbers, without looking any up. Running sums and ranks are taken in two steps,
+within buckets and over buckets, so a source with a third of all rows is never sorted
+in one task. The table of sources has one row per source.
 
 Results for unusual input: null text has size 0, and a document of size 0 takes
-nothing; a null source is a source of its own, ranked last; a null id is shuffled as
-an empty one; rows of one id are documents of their own, in no defined order among
-themselves, which does not matter as equal rows are alike; an empty table gives an
-empty result; other columns are ignored, whatever their names.
+nothing; a source without words has target 0; a null source is a source of its own,
+ranked last; a null id is shuffled as an empty one; rows of one id are documents of
+their own, in no defined order among themselves, which does not matter as equal rows
+are alike; an empty table gives an empty result; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import stored
 
-#: 2**32 divided by the golden ratio, odd.
-GOLDEN = 2654435769
+#: The golden ratio less one, as a fraction of 2**64.
+GOLDEN, ONE = 11400714819323198485, 1 << 64
+#: Steps that are looked at on both sides; prime ones are never that far apart.
+NEAR = 500
 #: Slots whose ranks are counted together, and buckets of the shuffled order.
 CHUNK, BUCKETS = 1 << 16, 1 << 12
 
@@ -67,27 +76,46 @@ def targets(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     return sources.select("source", "place", "source_size", target.alias("target"))
 
 
+def _step(slots: int) -> int:
+    """A number prime to ``slots`` near ``slots / phi``. Of the ``NEAR`` next ones it is
+    that whose continued fraction over ``slots`` has the smallest terms, as the golden
+    ratio's are, which keeps the points even at all lengths."""
+    near = max(1, slots * GOLDEN // ONE)
+    around = sorted(range(max(1, near - NEAR), min(slots, near + NEAR) + 1), key=lambda g: abs(g - near))
+    return min((g for g in around if gcd(g, slots) == 1), key=lambda g: _terms(g, slots))
+
+
+def _terms(low: int, high: int) -> list[int]:
+    """Terms of ``low / high`` as a continued fraction, largest first."""
+    terms = []
+    while low:
+        terms.append(high // low)
+        low, high = high % low, low
+    return sorted(terms, reverse=True)
+
+
+def _blocks(targeted: DataFrame, block: int) -> DataFrame:
+    """Whole words of each target, and the slots they fill."""
+    words = F.floor(F.col("target") + 0.5).cast("long")
+    return targeted.withColumn("words", words).withColumn("blocks", F.ceil(words / block).cast("long"))
+
+
 def schedule(targeted: DataFrame, block: int) -> DataFrame:
     """Slots in order: ``slot``, the ``place`` of its source, its ``rank`` there."""
-    everything = Window.partitionBy()
-    so_far = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = F.sum("target").over(so_far) / F.sum("target").over(everything)
-    ends = targeted.where("target > 0").withColumn("edge", (edge * (1 << 32)).cast("long"))
-    # a row for the whole table: the sources' ends in order
-    one = ends.agg(
-        F.array_sort(F.collect_list(F.struct("edge", "place"))).alias("ends"),
-        F.ceil(F.sum("target") / block).cast("long").alias("slots"),
-    ).where("slots > 0")
-    chunks = one.select("ends", "slots", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK))).alias("chunk"))
-    first = F.col("chunk") * CHUNK
-    slots = chunks.repartition("chunk").select(
-        "ends", "chunk", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1)).alias("slot")
-    )
-    point = (F.col("slot") % (1 << 32)) * F.lit(GOLDEN) % (1 << 32)
-    hit = F.coalesce(
-        F.get(F.filter("ends", lambda e: e["edge"] > F.col("point")), F.lit(0))["place"], F.element_at("ends", -1)["place"]
-    )
-    placed = slots.withColumn("point", point).select("slot", "chunk", hit.alias("place"))
+    blocks = _blocks(targeted, block).where("blocks > 0")
+    slots = blocks.agg(F.sum("blocks")).first()[0] or 0
+    # point p is that of slot p * inverse mod slots
+    inverse = pow(_step(slots), -1, slots) if slots > 1 else 1
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    sources = blocks.select("place", "blocks", F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("first"))
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / CHUNK)))
+    some = sources.withColumn("some", chunks).repartition("place", "some")
+    low = F.col("some") * CHUNK
+    low, high = F.col("first") + low, F.col("first") + F.least(low + CHUNK, F.col("blocks")) - 1
+    points = some.select("place", F.explode(F.sequence(low, high)).alias("point"))
+    wide = F.col("point").cast("decimal(19,0)") * F.lit(inverse).cast("decimal(19,0)") % F.lit(max(slots, 1)).cast("decimal(19,0)")
+    slot = wide.cast("long") if slots >= 1 << 31 else F.col("point") * inverse % max(slots, 1)
+    placed = points.select("place", slot.alias("slot")).withColumn("chunk", F.floor(F.col("slot") / CHUNK))
     counts = placed.groupBy("place", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("place").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("place", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
@@ -111,7 +139,7 @@ def source_mix(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
     sized = stored(sized, "sized")  # the texts are read and counted once
-    targeted = targets(sized, weights, most)
+    targeted = _blocks(targets(sized, weights, most), block)
     digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = sized.withColumn("digest", digest).withColumn("bucket", F.conv(F.substring("digest", 1, 3), 16, 10).cast("int"))
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
@@ -125,7 +153,7 @@ def source_mix(
         F.col("r.source").eqNullSafe(F.col("o.source")) & (F.col("r.bucket") == F.col("o.bucket")),
     )
     laid = laid.select(
-        "doc_id", "size", "source_size", "target", "place", (F.col("offset") + F.col("within")).alias("start"), "digest"
+        "doc_id", "size", "source_size", "target", F.col("words").alias("wanted"), "place", (F.col("offset") + F.col("within")).alias("start"), "digest"
     )
     rounds = F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
     turns = laid.where("size > 0").withColumn("round", rounds).withColumn(
@@ -134,11 +162,12 @@ def source_mix(
     last = F.floor((F.col("at") + F.col("size") - 1) / block)
     parts = turns.withColumn("rank", F.explode(F.sequence(F.floor(F.col("at") / block), last)))
     low, high = F.col("rank") * block, (F.col("rank") + 1) * block
-    words = F.least(high, F.col("at") + F.col("size")) - F.greatest(low, F.col("at"))
+    words = F.least(high, F.col("at") + F.col("size"), F.col("wanted")) - F.greatest(low, F.col("at"))
     slots = schedule(targeted, block).select("place", "rank", "slot")
     met = parts.withColumn("words", words).join(slots, ["place", "rank"], "left")
     keys = ["place", "start", "doc_id", "size", "source_size", "target"]
-    taken = met.groupBy(*keys).agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0)).alias("taken"))
+    used = F.when(F.col("slot").isNotNull(), F.greatest(F.col("words"), F.lit(0))).otherwise(0)
+    taken = met.groupBy(*keys).agg(F.sum(used).alias("taken"))
     none = laid.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     columns = ["doc_id", "size", "source_size", "target", "taken"]
     return taken.select(*columns).unionByName(none.select(*columns))
