@@ -9,13 +9,14 @@ to length one. A document is the mean of its units' vectors besides a few shares
 its score, whose logit is divided by a temperature fitted on rows kept aside.
 
 The learning sample is at most ``sample`` labelled rows, those of smallest hashed
-id, and at most ``SAMPLE_BYTES`` of whole texts. It is the only thing learnt from,
-in one task, as its bound allows; the driver sees the model alone, whose size does
+id with some of either label first, and at most ``SAMPLE_BYTES`` of whole texts, none
+of which is over ``LONGEST`` bytes. It is the only thing learnt from, in one task, as its bound allows; the driver sees the model alone, whose size does
 not depend on the data. Every document is scored on its whole text, by one pass
 without shuffle.
 
 Results for unusual input: null and empty texts get the score of a document without
-words; a null id is not held out and never learnt from; of repeated labels of one
+words; a labelled text of over ``LONGEST`` bytes is scored whole and not learnt from;
+a null id is not held out and never learnt from; of repeated labels of one
 id the largest counts, and null labels are ignored; rows repeat as they come; where
 the sample lacks one of the two labels, every score is the sample's mean label
 (0.5 without sample); an empty table gives an empty result; other columns are
@@ -32,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetide.llm.common import ByteHashes, in_chunks, joined, mixed, utf8, words
+from pagetide.llm.common import ByteHashes, in_chunks, joined, mixed, stored, utf8, words
 
 #: Labelled rows learnt from, and bytes of their texts: both are bounds of the method.
 SAMPLE, SAMPLE_BYTES = 6000, 32 << 20
+#: Bytes of a text that is learnt from, and rows of either label that come first.
+LONGEST, EACH = SAMPLE_BYTES // 256, 50
 #: Least number of learning steps, for small samples.
 STEPS = 2000
 UNITS, WIDTH, NONZERO, WINDOW, HIDDEN = 1 << 14, 32, 4, 2, 32
@@ -225,17 +228,27 @@ def _learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE) -> bytes:
-    """Vectors and network from at most ``sample`` labelled rows that are not held out,
-    and of these in order of hashed id as many as ``SAMPLE_BYTES`` hold; pickled.
+    """Vectors and network from at most ``sample`` labelled rows that are not held out, in
+    order of hashed id, and of these as many as ``SAMPLE_BYTES`` hold; pickled.
 
-    ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id``.
+    Texts of over ``LONGEST`` bytes are not learnt from, so that none fills the sample,
+    and the first ``EACH`` rows of either label come before all others, so that none
+    pushes a label out. ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id``.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & ~_held_out(F.col("doc_id")))
     truth = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label_col).cast("double").alias("truth"))
-    chosen = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    order = F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")
-    one = docs.join(chosen, "doc_id").select("doc_id", "text", "truth").orderBy(*order).limit(sample)
-    bytes_ = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy(*order))
+    bytes_ = F.coalesce(F.octet_length("text"), F.lit(0))
+    short = docs.where(bytes_ <= LONGEST)
+    known = stored(short.select("doc_id").join(truth, "doc_id").dropDuplicates(["doc_id"]), "labelled")
+    by_hash = F.xxhash64("doc_id"), F.col("doc_id")
+    chosen = known.orderBy(*by_hash).limit(sample).withColumn("late", F.lit(1))
+    for label in (0.0, 1.0):
+        some = known.where(F.col("truth") == label).orderBy(*by_hash).limit(EACH)
+        chosen = chosen.unionByName(some.withColumn("late", F.lit(0)))
+    chosen = chosen.groupBy("doc_id", "truth").agg(F.min("late").alias("late"))
+    order = F.col("late"), *by_hash, F.col("text")
+    one = short.join(chosen, "doc_id").select("doc_id", "text", "truth", "late").orderBy(*order).limit(sample)
+    bytes_ = F.sum(bytes_).over(Window.orderBy(*order))
     bounded = one.withColumn("bytes", bytes_).where(F.col("bytes") <= SAMPLE_BYTES).select("text", "truth")
     learnt = bounded.mapInArrow(_learn, "model binary").first()
     return learnt.model if learnt else next(_learn([])).column("model")[0].as_py()  # no rows, no task
