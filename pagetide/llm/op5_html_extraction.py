@@ -7,8 +7,11 @@ It counts for every node its pages, the text below, the text inside links, and h
 often the text differed. Nodes whose text stays the same belong to the template.
 The slots are the varying children of the lowest node that covers all varying text
 outside of menus, notices and the like; an article or main element is one as a whole.
-Class and role tell menus and the like, an id does not; within a slot this holds for
-those nodes alone whose own text, outside of links, the template does not see varying.
+A container whose class, role or id names a box as a whole (comments, adverts, related
+links) is none of it, however it varies; of other nodes class and role tell menus and
+the like, within a slot for those alone whose own text the template does not see varying.
+A form round most of the page is a frame, and a header with a first-level heading in the
+content is content. A place beside the text is no slot next to a larger one.
 Each page's text is what it has there, and what else it has that the template does
 not know as text that stays the same.
 
@@ -39,6 +42,8 @@ from pyspark.sql import functions as F
 
 #: Nodes a template keeps, and levels of a tree; what lies deeper is read as siblings.
 NODES, DEPTH = 400, 150
+#: Children of one node up to which those of one signature are kept apart.
+MANY = 64
 
 # Fixed values of HTML: void and raw-text elements, elements that end a paragraph,
 # elements inside a line of text, and elements that never hold the article's text.
@@ -59,6 +64,16 @@ NEVER_WORDS = frozenset(
     "reply replies respond disqus footer masthead toolbar pagination pager copyright legal skip hidden complementary "
     "contentinfo search".split()
 )
+#: Words that say nothing of what a node is, beside one that does.
+NEUTRAL = frozenset(
+    "list box area section block wrap wrapper container item items thread inner outer holder module panel unit slot top bottom "
+    "left right main site page user users reader readers post posts article articles link links bar button buttons group "
+    "title body content text header global inline media news story stories row col column columns s".split()
+)
+#: Words of a place beside the text; what is named so is no slot next to a larger one.
+SIDE = frozenset("left right side rail margin extra secondary".split())
+#: Elements that hold others; what they are named holds for all that is in them.
+BOXES = frozenset("div section ul ol dl li table aside center figure".split())
 #: How a node is barred: by its class or role, or whatever the template says.
 NAMED, NEVER_IS = 1, 2
 #: Elements that are content as a whole.
@@ -71,15 +86,18 @@ FENCES = frozenset("ul ol dl table select body html article section div main".sp
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "named", "unseen", "kids")
+    __slots__ = ("tag", "words", "named", "unseen", "frame", "kids")
 
-    def __init__(self, tag: str, words: frozenset[str] = frozenset(), named: bool = False, unseen: bool = False):
+    def __init__(self, tag: str, words: frozenset[str] = frozenset(), named: int = 0, unseen: bool = False):
         self.tag, self.words, self.named, self.unseen = tag, words, named, unseen
+        #: A form round most of the page, or a header with the heading of the page.
+        self.frame = False
         self.kids: list[Node | str] = []
 
     @property
@@ -88,28 +106,72 @@ class Node:
 
     def barred(self, inside: bool) -> int:
         """Whether the node never holds content (``NEVER_IS``), or its class or role says
-        so (``NAMED``), which the host's template may overrule; a header does within an article."""
-        if self.tag in NEVER or self.unseen or self.tag == "header" and not inside:
+        so (``NAMED``), which the host's template may overrule; a header does within an article.
+
+        A container that is named as a whole, a box of comments, adverts or links, never
+        holds content, however its text varies; headings and prose may by variation."""
+        if self.unseen or self.tag in NEVER and not self.frame:
             return NEVER_IS
+        if self.tag == "header" and not inside:
+            return NAMED if self.frame else NEVER_IS
         if self.tag in ("html", "body", "main") or self.tag == "article" and not inside:
             return 0
-        return NAMED if self.named else 0
+        return NEVER_IS if self.named & NEVER_IS and self.tag in BOXES else self.named & NAMED
 
 
-def _names(names: str) -> tuple[frozenset[str], bool]:
-    """Words of class, id and role, and whether a class or role is one of
-    ``NEVER_WORDS``, that is, at least half of its words are. An id never is."""
+def _names(names: str) -> tuple[frozenset[str], int]:
+    """Words of class, id and role, and what they say, as bits: ``NEVER_IS`` where all words
+    of one name are of ``NEVER_WORDS`` or say nothing, ``NAMED`` where half of those of a
+    class or role are. An id says nothing of headings, which are named by their text."""
     words: set[str] = set()
-    named = False
+    named = 0
     for kind, *values in _NAMES.findall(names):
         for name in "".join(values).lower().split():
             found = _WORD.findall(name)
             words.update(found)
-            if found and kind.lower() != "id":
-                named = named or 2 * sum(w in NEVER_WORDS for w in found) >= len(found)
+            never = sum(w in NEVER_WORDS for w in found)
+            if never and all(w in NEVER_WORDS or w in NEUTRAL for w in found):
+                named |= NEVER_IS
+            if found and kind.lower() != "id" and 2 * never >= len(found):
+                named |= NAMED
     return frozenset(words), named
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether the element is not shown: by its attributes' names, not by their texts."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip().lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _NONE.search(value):
+            return True
+    return False
+
+
+def _mark_frames(root: Node) -> None:
+    """Marks forms that hold more than half of the page's text, and headers that hold a
+    heading of the first level."""
+    marked: list[tuple[Node, int]] = []
+
+    def measure(node: Node) -> tuple[int, bool]:
+        if node.tag in RAW or node.tag == "head":
+            return 0, False
+        size, heading = 0, node.tag == "h1"
+        for kid in node.kids:
+            if isinstance(kid, str):
+                size += len("".join(kid.split()))
+            else:
+                more, found = measure(kid)
+                size, heading = size + more, heading or found
+        if node.tag == "form":
+            marked.append((node, size))
+        elif node.tag == "header":
+            node.frame = heading
+        return size, heading
+
+    total, _ = measure(root)
+    for node, size in marked:
+        node.frame = 2 * size > total
+
+
 def parse(page: str) -> Node:
     """The page's tree; missing end tags are implied as browsers do for common elements."""
     root = Node("")
@@ -130,8 +192,8 @@ def parse(page: str) -> Node:
         for same in SIBLINGS.get(tag, ()):
             _close(stack, same, FENCES - {"div", "section"})
         names = token[3]
-        words, named = _names(names) if "=" in names else (frozenset(), False)
-        unseen = bool(names and _HIDDEN.search(names))
+        words, named = _names(names) if "=" in names else (frozenset(), 0)
+        unseen = bool(names) and _hidden(names)
         if unseen:
             words |= {"hidden"}
         node = Node(tag, words, named, unseen)
@@ -144,6 +206,7 @@ def parse(page: str) -> Node:
             stack.append(node)
     if at < len(page):
         stack[-1].kids.append(page[at:])
+    _mark_frames(root)
     return root
 
 
@@ -184,6 +247,8 @@ def _outline(node: Node, inside: bool) -> list:
                 _join(kids[-1], sub, same_page=True)
             else:
                 kids.append(sub)
+    if len(kids) > MANY:
+        kids = _folded(kids, same_page=True)
     chars = len(text)
     return [node.sign, 1, chars, chars if node.tag == "a" else 0, zlib.crc32(text.encode()), 0, node.barred(inside), kids, 0, False, False]
 
@@ -210,19 +275,41 @@ def _join(a: list, b: list, same_page: bool = False) -> list:
         else:
             kids.append(_join(a[KIDS][at], b[KIDS][j], same_page))
             at += 1
-    a[KIDS] = kids + a[KIDS][at:]
+    kids += a[KIDS][at:]
+    a[KIDS] = _folded(kids, same_page) if len(kids) > 2 * MANY else kids
     return a
 
 
+def _folded(kids: list[list], same_page: bool) -> list[list]:
+    """Children with those of one signature as one node, at its first place. Rules hold by
+    signature anyway; so a list of any length has as many nodes as kinds of children."""
+    first: dict[str, list] = {}
+    for kid in kids:
+        if kid[SIGN] in first:
+            _join(first[kid[SIGN]], kid, same_page)
+        else:
+            first[kid[SIGN]] = kid
+    return list(first.values())
+
+
 def _pairs(a: list[list], b: list[list]) -> list[tuple]:
-    """Simple tree matching of two rows of children.
+    """Simple tree matching of two rows of children, which are ``MANY`` at most or of
+    different signatures.
 
     ``(i, j)`` pairs a's child i with b's child j; ``(i, (j,))`` puts b's child j,
-    which has no partner, before a's child i.
+    which has no partner, before a's child i. Rows of equal signatures are paired as they are.
     """
     if [k[SIGN] for k in a] == [k[SIGN] for k in b]:
         return [(i, i) for i in range(len(a))]
     n, m = len(a), len(b)
+    if n * m > MANY * MANY * 16:  # of thousands of kinds of children: by kind, in a's order
+        place = {kid[SIGN]: i for i, kid in reversed(list(enumerate(a)))}
+        out, at = [], 0
+        for j, kid in enumerate(b):
+            i = place.get(kid[SIGN], -1)
+            out.append((i, j) if i >= at else (at, (j,)))
+            at = i + 1 if i >= at else at
+        return out
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
@@ -352,6 +439,12 @@ def _slots(template: list, masses: dict[int, int]) -> list[tuple[list, list[str]
     return out
 
 
+def _beside(found: list[tuple[list, list[str]]], masses: dict[int, int]) -> set[int]:
+    """Slots named for a place beside the text, next to a larger one."""
+    largest = max((masses[id(node)] for node, _ in found), default=0)
+    return {id(n) for n, _ in found if 2 * masses[id(n)] < largest and SIDE & set(n[SIGN].split()[1:])}
+
+
 def _frames(node: list) -> bool:
     """Whether an article or main element is below the node, which is none itself."""
     return _tag(node[SIGN]) not in WHOLE and any(_tag(n[SIGN]) in WHOLE for n in _walk(node, NEVER_IS))
@@ -385,7 +478,8 @@ def wrapper(template: list, alone: bool = False) -> dict | None:
     if not masses[id(template)] or not (alone or template[SHARED]):
         return None  # each page is taken as its own template
     found = _slots(template, masses)
-    slots = {id(node) for node, _ in found}
+    beside = _beside(found, masses)
+    slots = {id(node) for node, _ in found} - beside
     whole = sum(masses[id(node)] for node, _ in found if _tag(node[SIGN]) in WHOLE)
     alone = alone and 2 * whole > masses[id(template)]
 
@@ -393,9 +487,12 @@ def wrapper(template: list, alone: bool = False) -> dict | None:
         out: dict[str, list] = {}
         below = inside and (_tag(node[SIGN]) in WHOLE or id(node) not in slots)
         for kid in node[KIDS]:
-            if kid[BARRED] == NEVER_IS or kid[BARRED] and not (inside and _varies(kid)):
+            heading = alone and _tag(kid[SIGN]) == "header"
+            if kid[BARRED] == NEVER_IS or kid[BARRED] and not (inside and (heading or _varies(kid))):
                 continue
-            if kid[BARRED]:
+            if id(kid) in beside:
+                rule = [SAME, {}]
+            elif kid[BARRED]:
                 rule = [CONTENT, rules(kid, True)]
             elif alone and not inside and not _frames(kid) and _tag(kid[SIGN]) not in WHOLE:
                 rule = [SAME, {}]
@@ -478,7 +575,17 @@ def extract(page: str | None, rules: dict | None) -> str:
     if rules is not None and (text := _text(root, rules)):
         return text
     rules = wrapper(outline(root), alone=True)
-    return rules and _text(root, rules) or _text(root, {})
+    return rules and _text(root, rules) or _text(root, {}) or _text(_unnamed(root), {})
+
+
+def _unnamed(root: Node) -> Node:
+    """The page without what its classes say, where they leave no text at all."""
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        node.named = 0
+        waiting += [k for k in node.kids if isinstance(k, Node)]
+    return root
 
 
 def _host(url: str | None) -> str:
