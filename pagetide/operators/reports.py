@@ -256,6 +256,22 @@ def writer_status(raw: DataFrame, errors: DataFrame) -> DataFrame:
     )
 
 
+def out_of_order(files: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of a table's files, and those that stand after a row of greater keys in their file.
+
+    ``files`` is read from files directly, which are compared one by one.
+    """
+    along = Window.partitionBy("file").orderBy("row")
+    placed = files.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+        F.struct(*keys).alias("key"),
+    ).withColumn("before", F.lag("key").over(along))
+    return placed.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("before") > F.col("key")).alias("out_of_order")).select(
+        F.lit(table).alias("table_name"), "row_count", "out_of_order"
+    )
+
+
 def row_count(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(table).alias("table_name"), "row_count"

@@ -176,12 +176,16 @@ def hour_users_exact(spark, sf_dir):
     return users.distinct_users(stored.read_user_states(spark, tables), times.hour)
 
 
+def _own_database(spark: SparkSession, folder: str) -> str:
+    database = f"pagetide_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    return database
+
+
 def _bucketed(spark: SparkSession, sf_dir: str) -> str:
     """A bucketed table of the minute states of four batches, in a database of its own."""
     folder = session.run_folder(spark, "bucketed")
-    database = f"pagetide_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
-    table = f"{database}.minute_states"
+    table = f"{_own_database(spark, folder)}.minute_states"
     messages = fixture.write_topic_partitions(spark, sf_dir, f"{folder}/topic")
     for batch_id in range(4):
         part = messages.filter(F.pmod("partition", F.lit(4)) == batch_id)
@@ -475,12 +479,46 @@ def retained_minutes_stored(spark, sf_dir):
 
 @query
 def schema_check(spark, sf_dir):
-    """The four tables by name, after an ingest: there or not, and their rows."""
+    """The four tables by name, after an ingest: there or not, and their rows.
+
+    They are made in a database of their own, so none of the session's is touched.
+    """
+    tables = _stored_in_parts(spark, sf_dir)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(_own_database(spark, session.run_folder(spark, "named")))
+    try:
+        catalog.init_schema(spark, tables)
+        catalog.verify_schema(spark)
+        return catalog.schema_check(spark)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+@query
+def storage_order(spark, sf_dir):
+    """Rows of the stored tables, and those not in the order their files are skipped by."""
     tables = _stored_in_parts(spark, sf_dir)
-    catalog.drop_schema(spark)
-    catalog.init_schema(spark, tables)
-    catalog.verify_schema(spark)
-    return catalog.schema_check(spark)
+    found = None
+    for table, keys in ((RAW_ROUTE, ["event_date", "page_id", "user_id"]), (stored.MINUTE, ["window_start", "page_id"])):
+        files = spark.read.schema(stored.SCHEMAS[table]).parquet(tables.live(table))
+        row = reports.out_of_order(files, table, keys)
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+@query
+def codec_counts(spark, sf_dir):
+    """Valid and rejected messages as read back from tables of every codec."""
+    folder = session.run_folder(spark, "codecs")
+    messages, found = fixture.messages(spark, sf_dir), None
+    for codec in stored.CODECS:
+        tables = stored.Tables(f"{folder}/{codec}", codec)
+        stored.create_directories(spark, tables)
+        stored.ingest_batch(messages, 0, tables, fixture.MAIN)
+        for table, rows in ((RAW_ROUTE, stored.read_raw(spark, tables)), (ERROR_ROUTE, stored.read_errors(spark, tables))):
+            row = reports.row_count(rows, table).withColumn("codec", F.lit(codec))
+            found = row if found is None else found.unionByName(row)
+    return found
 
 
 # Publishing

@@ -60,9 +60,10 @@ def _partitions(spark: SparkSession, tables: stored.Tables, table: str) -> dict[
     ranges = stored.compacted_ranges(spark, tables, table)
     after = max((r[1] for r in ranges), default=-1)
     found = {}
+    done = stored.committed_ranges(spark, tables)
     for path in files.matching(spark, f"{tables.live(table)}/month=*/batch_id=*"):
         batch = int(files.partition_value(path))
-        if batch > after and any(a <= batch <= b for a, b in stored.committed_ranges(spark, tables)):
+        if batch > after and any(a <= batch <= b for a, b in done):
             found[int(files.partition_value(path.rsplit("/", 1)[0])), batch] = path
     for a, b in ranges:
         for path in files.matching(spark, f"{tables.compacted(table)}/batches={a}-{b}/month=*"):

@@ -157,6 +157,11 @@ def committed_ranges(spark: SparkSession, tables: Tables) -> list[tuple[int, int
     for path in files.matching(spark, f"{tables.commits}/*.json"):
         first, _, last = path.rsplit("/", 1)[1].removesuffix(".json").partition("-")
         ranges.append((int(first), int(last or first)))
+    return _adjoined(ranges)
+
+
+def _adjoined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of batches with those that touch as one."""
     merged: list[tuple[int, int]] = []
     for first, last in sorted(ranges):
         if merged and first <= merged[-1][1] + 1:
@@ -362,7 +367,8 @@ def without_replays(routed: DataFrame, tables: Tables, batch_id: int) -> DataFra
     """Rows whose topic partition and offset occur once here and in no other batch.
 
     The records of finished batches tell which of them hold offsets in question;
-    only their two key columns are read, and nothing where no range overlaps.
+    only their two key columns are read, neighbouring batches at once, and nothing
+    where no range overlaps. All of them are compared in one join.
     """
     spark = routed.sparkSession
     keys = ["kafka_partition", "kafka_offset"]
@@ -378,11 +384,13 @@ def without_replays(routed: DataFrame, tables: Tables, batch_id: int) -> DataFra
             if str(p) in record["offsets"]
         )
     ]
-    for record in overlapping:
+    seen = None
+    for first, last in _adjoined([(record["first"], record["last"]) for record in overlapping]):
         for route in (RAW_ROUTE, ERROR_ROUTE):
-            seen = read(spark, tables, route, whole_range=(record["first"], record["last"])).select(*keys)
-            once_each = once_each.join(seen, keys, "left_anti")
-    return once_each
+            places = read(spark, tables, route, whole_range=(first, last)).filter(F.col("batch_id") != batch_id)
+            places = places.select(*keys)
+            seen = places if seen is None else seen.unionByName(places)
+    return once_each if seen is None else once_each.join(seen, keys, "left_anti")
 
 
 # Reading
