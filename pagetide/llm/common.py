@@ -6,7 +6,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagetide import session
 from pagetide.sources import files
@@ -158,6 +159,78 @@ def unpacked(raw: bytes) -> list[np.ndarray]:
     return arrays
 
 
+#: Sums of products below the first are exact in double precision; a long's end.
+EXACT, LONG = 2.0**53, 2**63 - 1
+
+
+def narrow(square: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the smallest type that holds them."""
+    for kind in (np.int16, np.int32):
+        if not square.size or (np.iinfo(kind).min <= square.min() and square.max() <= np.iinfo(kind).max):
+            return square.astype(kind)
+    return square
+
+
+def largest_sum(a: np.ndarray, b: np.ndarray, size: int) -> float:
+    """What no sum of ``size`` products of the two arrays' numbers exceeds."""
+    if not a.size or not b.size:
+        return 0.0
+    return float(np.abs(a.astype(np.float64)).max()) * float(np.abs(b.astype(np.float64)).max()) * size
+
+
+def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact inner products of all pairs, as longs; beyond their range, its ends."""
+    if not queries.size or not rows.size:
+        return np.zeros((len(queries), len(rows)), np.int64)
+    most = largest_sum(queries, rows, queries.shape[1])
+    if most < EXACT:
+        return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
+    if most < LONG:
+        return queries.astype(np.int64) @ rows.astype(np.int64).T
+    exact = queries.astype(object) @ rows.astype(object).T
+    return np.clip(exact, -LONG - 1, LONG).astype(np.int64)
+
+
+def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, *more: Column) -> DataFrame:
+    """Rows with an id and a vector of finite components, which become
+    ``floor(scale * x)``, held to a long's range: ``id``, ``size``, ``vector`` and ``more``."""
+    x = F.col(vector_col)
+    finite = ~F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
+    return vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & finite).select(
+        F.col(id_col).cast("long").alias("id"),
+        F.size(x).alias("size"),
+        F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("vector"),
+        *more,
+    )
+
+
+def meetings(asked: DataFrame, offered: DataFrame, blocks: int, streams: int) -> DataFrame:
+    """Rows ``(size, block, stream, kind, body)`` that bring every block of queries
+    (kind 0, first) and every stream of candidate bodies (kind 1) together in a task.
+
+    ``asked`` has ``size, block, body``, ``offered`` has ``size, body``. A block of
+    queries is sent once per stream and a body once per block, never one for the other.
+    """
+    stream = F.explode(F.sequence(F.lit(0), F.lit(streams - 1)))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    queries = asked.select("size", "block", stream.alias("stream"), F.lit(0).alias("kind"), "body")
+    own = F.pmod(F.xxhash64("body"), F.lit(streams)).cast("int").alias("stream")
+    bodies = offered.select("size", block.alias("block"), own, F.lit(1).alias("kind"), "body")
+    keys = ["size", "block", "stream"]
+    tasks = min(MOST_TASKS, max(1, blocks * streams))
+    return queries.unionByName(bodies).repartition(tasks, *keys).sortWithinPartitions(*keys, "kind")
+
+
+def streams_of(bodies: int) -> int:
+    """Streams for so many bodies: some for parallel work, then one per ``STREAM`` bodies."""
+    return max(1, -(-bodies // STREAM), min(bodies, STREAMS))
+
+
+#: Bodies in a stream, streams that are made even of fewer, tasks that meetings are
+#: dealt to at most; each goes through as many as it gets.
+STREAM, STREAMS, MOST_TASKS = 16, 64, 4000
+
+
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one byte array, each followed by a line feed, and their starts."""
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))

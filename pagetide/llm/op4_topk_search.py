@@ -7,15 +7,16 @@ most that the remaining dimensions can add (the product of the remaining norms)
 still reaches the query's k-th best. The survivors are compacted, so most
 candidates are left after a few dimensions.
 
-Queries are rows of the same table. They go out in blocks, and each block of
-queries meets the candidates in ``streams`` of blocks, whose k best per query are
-merged at the end: what is sent is blocks of vectors and k rows per query and
-stream, never a row per pair. No block depends on another, so a lost task is
-repeated alone.
+Queries are rows of the same table. They go out in large blocks, and each block of
+queries meets the candidates in streams of blocks, whose k best per query are merged
+at the end. Vectors travel as integers of 2, 4 or 8 bytes; a block of candidates is
+sent once per 16,384 queries and a block of queries once per stream, and no row per
+pair is made. No block depends on another, so a lost task is repeated alone. Blocks
+whose sums might not be exact in double precision are scored in whole numbers instead.
 
 Results for unusual input: vectors that are null or hold null or non-finite
 components, and rows without id, take no part, neither as query nor as candidate;
-vectors of different lengths are not compared; an empty vector scores 0; of rows
+vectors of different lengths are not compared; an empty vector scores 0; components and scores are held to a long's range; of rows
 with one id, a query meets all but those of its own id, and each such row asks, but
 the answers, being equal in id, are merged to the k best; fewer candidates than k
 give fewer rows; an empty table gives an empty result; other columns are ignored.
@@ -30,14 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetide.llm.common import starts_of, whole_groups
+from pagetide.llm.common import (
+    EXACT, largest_sum, meetings, narrow, packed, products, starts_of, streams_of, unpacked, whole_groups, whole_vectors,
+)
 
-#: Vectors of a candidate block, of a query block, blocks in one stream, dimensions a step.
-CANDIDATES, QUERIES, STREAM, STEP = 4096, 128, 16, 8
-#: Tasks that searches are dealt to, at most; each goes through as many as it gets.
-MOST_TASKS = 4000
-#: Sums below this are exact in double precision.
-EXACT = 2.0**53
+#: Vectors of a candidate block, of a query block, dimensions a step.
+CANDIDATES, QUERIES, STEP = 4096, 16384, 8
 
 
 def _pack(width: int):
@@ -50,18 +49,13 @@ def _pack(width: int):
             edges = starts_of(sizes, blocks)
             for first, end in zip(edges[:-1], edges[1:]):
                 flat = vectors.slice(first, end - first).flatten().to_numpy(zero_copy_only=False)
-                square = np.asarray(flat, np.float64).reshape(end - first, sizes[first])
+                square = flat.astype(np.int64).reshape(end - first, sizes[first])
                 for i in range(0, end - first, width):
-                    part = np.ascontiguousarray(square[i : i + width].T)
-                    own = ids[first + i : min(end, first + i + width)]
+                    own = ids[first + i : min(end, first + i + width)].astype(np.int64)
+                    body = packed(own, narrow(np.ascontiguousarray(square[i : i + width].T)).reshape(-1))
                     yield pa.record_batch(
-                        [
-                            pa.array([sizes[first]], pa.int32()),
-                            pa.array([blocks[first]], pa.int64()),
-                            pa.array([own.astype(np.int64).tobytes()], pa.binary()),
-                            pa.array([part.tobytes()], pa.binary()),
-                        ],
-                        ["size", "block", "ids", "vectors"],
+                        [pa.array([sizes[first]], pa.int32()), pa.array([blocks[first]], pa.int64()), pa.array([body], pa.binary())],
+                        ["size", "block", "body"],
                     )
 
     return run
@@ -75,28 +69,45 @@ def _blocks(vectors: DataFrame, width: int) -> tuple[DataFrame, int]:
     n = max(1, -(-vectors.count() // width))
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)))
     sorted_ = dealt.repartition("size", "block").sortWithinPartitions("size", "block", "id")
-    return sorted_.mapInArrow(_pack(width), "size int, block long, ids binary, vectors binary"), n
+    return sorted_.mapInArrow(_pack(width), "size int, block long, body binary"), n
 
 
 class _Best:
     """The k best candidates so far of each query in a block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.rows: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64)) for _ in ids]
+    def __init__(self, ids: np.ndarray, whole: np.ndarray, k: int):
+        vectors = whole.astype(np.float64)
+        self.ids, self.whole, self.vectors, self.k = ids, whole, vectors, k
+        self.rows: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
         size = len(vectors)
         self.cuts = list(range(0, size, STEP)) + [size]
         squares = np.concatenate([np.cumsum((vectors**2)[::-1], axis=0)[::-1], np.zeros((1, len(ids)))])
         self.rest = np.sqrt(squares)
 
-    def meet(self, ids: np.ndarray, block: np.ndarray) -> None:
+    def meet(self, ids: np.ndarray, whole: np.ndarray) -> None:
+        if largest_sum(whole, self.whole, len(whole)) >= EXACT:
+            return self._meet_large(ids, whole)
+        block = whole.astype(np.float64)
         squares = np.concatenate([np.cumsum((block**2)[::-1], axis=0)[::-1], np.zeros((1, len(ids)))])
         rest = np.sqrt(squares)
         for q in range(len(self.ids)):
             self._meet(q, ids, block, rest)
 
-    def _meet(self, q: int, ids: np.ndarray, block: np.ndarray, rest: np.ndarray) -> None:
+    def _meet_large(self, ids: np.ndarray, whole: np.ndarray) -> None:
+        """The same for components whose sums double precision does not hold exactly."""
+        for q in range(len(self.ids)):
+            scores = products(self.whole[:, q : q + 1].T, whole.T)[0]
+            others = ids != self.ids[q]
+            self._keep(q, scores[others], ids[others])
+
+    def _keep(self, q: int, sums: np.ndarray, ids: np.ndarray) -> None:
         scores, found = self.rows[q]
+        scores, found = np.r_[scores, sums.astype(np.int64)], np.r_[found, ids]
+        order = np.lexsort((found, ~scores))[: self.k]
+        self.rows[q] = scores[order], found[order]
+
+    def _meet(self, q: int, ids: np.ndarray, block: np.ndarray, rest: np.ndarray) -> None:
+        scores, _ = self.rows[q]
         least = scores[-1] if len(scores) == self.k else -np.inf
         vector = self.vectors[:, q]
         alive = np.flatnonzero(ids != self.ids[q])
@@ -115,9 +126,7 @@ class _Best:
         if len(alive) > self.k:  # those that tie with the k-th go on too
             top = np.partition(sums, len(sums) - self.k)[len(sums) - self.k]
             alive, sums = alive[sums >= top], sums[sums >= top]
-        scores, found = np.r_[scores, sums], np.r_[found, ids[alive]]
-        order = np.lexsort((found, -scores))[: self.k]
-        self.rows[q] = scores[order], found[order]
+        self._keep(q, sums, ids[alive])
 
     def batch(self) -> pa.RecordBatch:
         counts = [len(s) for s, _ in self.rows]
@@ -133,31 +142,27 @@ class _Best:
 
 def _search(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, best = None, None
+        key, best = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                size = row["size"]
-                if (row["size"], row["query_block"], row["query_ids"], row["stream"]) != key:
-                    if best is not None:
-                        yield best.batch()
-                    key = row["size"], row["query_block"], row["query_ids"], row["stream"]
-                    best = _Best(*_unpacked(row["query_ids"], row["queries"], size), k)
-                ids, block = _unpacked(row["ids"], row["vectors"], size)
-                top = np.abs(block).max(initial=0) * np.abs(best.vectors).max(initial=0) * size
-                if top >= EXACT:
-                    raise ValueError("components too large for exact scores; use a smaller scale")
-                best.meet(ids, block)
-        if best is not None:
-            yield best.batch()
+                if (row["size"], row["block"], row["stream"]) != key:
+                    for some in best:
+                        yield some.batch()
+                    key, best = (row["size"], row["block"], row["stream"]), []
+                if row["kind"] == 0 or best:
+                    ids, flat = unpacked(row["body"])
+                    whole = flat.reshape(row["size"], len(ids))
+                    if row["kind"] == 0:
+                        best.append(_Best(ids, whole, k))
+                    else:
+                        for some in best:
+                            some.meet(ids, whole)
+        for some in best:
+            yield some.batch()
 
     return run
 
 
-def _unpacked(ids: bytes, vectors: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
-    numbers = np.frombuffer(ids, np.int64)
-    return numbers, np.frombuffer(vectors, np.float64).reshape(size, len(numbers))
-
-
 def topk_search(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -167,32 +172,11 @@ def topk_search(
     every: int = 50,
 ) -> DataFrame:
     """The ``k`` highest scores of each row whose id is divisible by ``every``."""
-    x = F.col(vector_col)
-    finite = ~F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
-    whole = (
-        vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & finite)
-        .select(
-            F.col(id_col).cast("long").alias("id"),
-            F.size(x).alias("size"),
-            F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("double")).alias("vector"),
-        )
-    )
+    whole = whole_vectors(vectors, id_col, vector_col, scale)
     candidates, n_blocks = _blocks(whole, CANDIDATES)
     queries, query_blocks = _blocks(whole.where(F.col("id") % every == 0), QUERIES)
-    streams = -(-n_blocks // STREAM)
-    asked = queries.select(
-        "size",
-        F.col("block").alias("query_block"),
-        F.col("ids").alias("query_ids"),
-        F.col("vectors").alias("queries"),
-        F.explode(F.sequence(F.lit(0), F.lit(streams - 1))).alias("stream"),
-    )
-    offered = candidates.withColumn("stream", (F.col("block") % streams).cast("int")).drop("block")
-    met = asked.join(offered, ["size", "stream"])
-    # as many tasks as there are streams to go through, however few bytes these are
-    tasks = min(MOST_TASKS, max(1, query_blocks * streams))
-    dealt = met.repartition(tasks, "size", "query_block", "stream").sortWithinPartitions("size", "query_block", "query_ids", "stream")
-    partial = dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    met = meetings(queries, candidates.drop("block"), query_blocks, streams_of(n_blocks))
+    partial = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = partial.distinct().withColumn("rank", F.row_number().over(order))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
