@@ -41,20 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetide.llm.common import packed, starts_of, stored, unpacked, whole_groups
+from pagetide.llm.common import (
+    LONG, meetings, narrow, packed, products, starts_of, stored, streams_of, unpacked, whole_groups, whole_vectors,
+)
 
-#: Rows of a tree, of a leaf, boxes under a node, trees in a stream, streams that are
-#: made even of fewer trees, anchors in a block.
-TREE, LEAF, FAN, STREAM, STREAMS, ANCHORS = 8192, 128, 8, 16, 64, 16384
-EXACT, LONG = 2.0**53, 2**63 - 1
-
-
-def _narrow(square: np.ndarray) -> np.ndarray:
-    """The same whole numbers in the smallest type that holds them."""
-    for kind in (np.int16, np.int32):
-        if not square.size or (np.iinfo(kind).min <= square.min() and square.max() <= np.iinfo(kind).max):
-            return square.astype(kind)
-    return square
+#: Rows of a tree, of a leaf, boxes under a node, anchors in a block.
+TREE, LEAF, FAN, ANCHORS = 8192, 128, 8, 16384
 
 
 def _square(vectors: pa.Table | pa.RecordBatch, size: int) -> np.ndarray:
@@ -92,7 +84,7 @@ def _trees(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c, d in zip(by_label[:-1], by_label[1:]):
                 order.append(c + tiled(square[c:d], axes, LEAF))
             order = np.concatenate(order)
-            body = packed(ids[order].astype(np.int64), labels[order].astype(np.int64), _narrow(square[order]).reshape(-1))
+            body = packed(ids[order].astype(np.int64), labels[order].astype(np.int64), narrow(square[order]).reshape(-1))
             yield pa.record_batch(
                 [pa.array([size], pa.int32()), pa.array([b - a], pa.int64()), pa.array([body], pa.binary())],
                 ["size", "n", "body"],
@@ -116,7 +108,7 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for a, b in zip(edges[:-1], edges[1:]):
             for c in range(a, b, ANCHORS):  # where one id repeats, a block may hold more
                 rows = some.slice(c, min(b, c + ANCHORS) - c)
-                square = _narrow(_square(rows, int(sizes[a])))
+                square = narrow(_square(rows, int(sizes[a])))
                 windows = rows.column("windows").to_pylist()
                 counts = np.array([len(w) for w in windows])
                 flat = np.array([(w["low"], w["high"]) for ws in windows for w in ws], np.int64).reshape(-1, 2)
@@ -130,23 +122,10 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 )
                 yield pa.record_batch(
                     [pa.array([sizes[a]], pa.int32()), pa.array([blocks[a]], pa.int64()), pa.array([body], pa.binary())],
-                    ["size", "block", "searches"],
+                    ["size", "block", "body"],
                 )
 
 
-def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact inner products of all pairs, as longs."""
-    if not queries.size or not rows.size:
-        return np.zeros((len(queries), len(rows)), np.int64)
-    most = float(np.abs(queries.astype(np.float64)).max()) * float(np.abs(rows.astype(np.float64)).max()) * queries.shape[1]
-    if most < EXACT:
-        return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
-    if most < LONG:
-        return queries.astype(np.int64) @ rows.astype(np.int64).T
-    exact = queries.astype(object) @ rows.astype(object).T
-    return np.clip(exact, -LONG - 1, LONG).astype(np.int64)
-
-
 class Tree:
     """A packed tree: rows in leaf order, and boxes of leaves and of the nodes above."""
 
@@ -305,18 +284,22 @@ class Searches:
 
 def _search(k: int, same: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, searches = None, None
+        key, searches = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                own = row["size"], row["block"], row["stream"], row["searches"]
-                if own != key:
-                    if searches is not None:
-                        yield searches.batch()
-                    key, searches = own, Searches(row["searches"], row["size"], k, same)
-                ids, labels, flat = unpacked(row["body"])
-                searches.meet(Tree(ids, labels, flat.reshape(len(ids), row["size"])))
-        if searches is not None:
-            yield searches.batch()
+                if (row["size"], row["block"], row["stream"]) != key:
+                    for some in searches:
+                        yield some.batch()
+                    key, searches = (row["size"], row["block"], row["stream"]), []
+                if row["kind"] == 0:
+                    searches.append(Searches(row["body"], row["size"], k, same))
+                elif searches:
+                    ids, labels, flat = unpacked(row["body"])
+                    tree = Tree(ids, labels, flat.reshape(len(ids), row["size"]))
+                    for some in searches:
+                        some.meet(tree)
+        for some in searches:
+            yield some.batch()
 
     return run
 
@@ -329,11 +312,8 @@ def _searched(anchors: DataFrame, trees: DataFrame, k: int, same: bool, streams:
     blocks = max(1, -(-anchors.count() // ANCHORS))
     dealt = anchors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
     dealt = dealt.repartition("size", "block").sortWithinPartitions("size", "block", "id")
-    asked = dealt.mapInArrow(_anchor_blocks, "size int, block long, searches binary")
-    asked = asked.withColumn("stream", F.explode(F.sequence(F.lit(0), F.lit(streams - 1))))
-    met = asked.join(trees.select("size", "stream", "body"), ["size", "stream"])
-    met = met.repartition("size", "block", "stream").sortWithinPartitions("size", "block", "stream", "searches")
-    found = met.mapInArrow(_search(k, same), _FOUND)
+    asked = dealt.mapInArrow(_anchor_blocks, "size int, block long, body binary")
+    found = meetings(asked, trees, blocks, streams).mapInArrow(_search(k, same), _FOUND)
     order = Window.partitionBy("anchor_id", "label", "low", "high").orderBy(F.desc("score"), "id")
     best = found.withColumn("rank", F.row_number().over(order))
     return best.where(F.col("rank") <= k)
@@ -356,25 +336,17 @@ def hard_negatives(
 
     Anchors are the rows whose id is divisible by ``every``. Labels are whole numbers.
     """
-    x = F.col(vector_col)
-    finite = ~F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & x.isNotNull() & finite).select(
-        F.col(id_col).cast("long").alias("id"),
-        F.col(label_col).cast("long").alias("label"),
-        F.size(x).alias("size"),
-        F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("vector"),
-    )
+    label = F.col(label_col).cast("long").alias("label")
+    rows = whole_vectors(vectors.where(F.col(label_col).isNotNull()), id_col, vector_col, scale, label)
     lead = F.coalesce(F.get("vector", F.lit(0)), F.lit(0))
     ranged = rows.withColumn("lead", lead)
     ranged = ranged.repartitionByRange("size", "label", "lead", "id").sortWithinPartitions("size", "label", "lead", "id")
     made = stored(ranged.mapInArrow(_trees, "size int, n long, body binary"), "trees")
-    n_trees = made.count()
-    streams = max(1, -(-n_trees // STREAM), min(n_trees, STREAMS))
-    trees = made.withColumn("stream", F.pmod(F.xxhash64("body"), F.lit(streams)).cast("int"))
+    streams = streams_of(made.count())
     anchors = rows.where(F.col("id") % every == 0).groupBy("id", "label").agg(F.min(F.struct("size", "vector")).alias("v"))
     anchors = anchors.select("id", "label", "v.size", "v.vector")
     everything = F.array(F.struct(F.lit(-LONG - 1).alias("low"), F.lit(LONG).alias("high")))
-    best = _searched(anchors.withColumn("windows", everything), trees, positives, True, streams)
+    best = _searched(anchors.withColumn("windows", everything), made, positives, True, streams)
     best = stored(best.select("anchor_id", "label", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
     positive = F.col("positive_score")
     window = F.struct(
@@ -384,7 +356,7 @@ def hard_negatives(
     pairs = best.withColumn("window", window)
     windows = pairs.where("window.low <= window.high").groupBy(F.col("anchor_id").alias("id"), "label")
     windows = windows.agg(F.collect_set("window").alias("windows"))
-    found = _searched(anchors.join(windows, ["id", "label"]), trees, negatives, False, streams)
+    found = _searched(anchors.join(windows, ["id", "label"]), made, negatives, False, streams)
     found = found.select("anchor_id", "label", "low", "high", F.col("rank"), F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     pairs = pairs.select("anchor_id", "label", "positive_id", "positive_score", "window.low", "window.high")
     columns = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
