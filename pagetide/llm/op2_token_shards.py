@@ -1,25 +1,27 @@
 """Token ids in training order, written as fixed-stride binary shards.
 
-Every document becomes tokens and an end mark, cut into sequences of ``length``. A
-sequence is numbered by its document's id and its place there; a keyed Feistel
-network permutes these numbers, walking along the cycle until it is back inside the
-range, so positions are distinct and their order is the training order. Equal ranges
-of positions are shards: each is sorted in one task and written as records of one
-size. A sequence's global slot is its record in the shard after all records of
-earlier shards. So one pass makes the tokens and one shuffle brings them in order,
-whatever key dominates the data.
+Every document becomes tokens and an end mark; a task's documents lie end to end and
+are cut into sequences of ``length``, so only the last sequence of a task is not full.
+A sequence is numbered by its task and its place there; a keyed Feistel network
+permutes these numbers, walking along the cycle until it is back inside the range, so
+positions are distinct and their order is the training order. Equal ranges of positions
+are shards: each is sorted in one task and written as records of one size. A
+sequence's global slot is its record in the shard after all records of earlier shards.
+So one pass makes the tokens and one shuffle brings them in order, whatever key or
+document dominates the data, and ids may be any numbers, repeated or missing.
 
 A record is its number of tokens and then ``length`` ids, 16 bits each, little
 endian, zeros after the last. Slot s of a folder is found by the shards' counts
 (:func:`manifest`) and read without what lies before it (:func:`read_slots`). A
 shard is written under another name and moved, so a task that is repeated replaces
-it by the same bytes.
+it by the same bytes. Rows should come from a scan or a stored table, whose tasks see
+the same rows when they are repeated; the order is the same in every run over the
+same files and splits.
 
 Results for unusual input: null and empty texts have no sequence; very long texts
-are encoded whole; a null id is placed as one past the largest; rows of one id have
-equal positions and lie next to each other, by their contents; ids times sequences
-must stay below 2**62; an empty table writes no shard and gives an empty result;
-other columns are ignored, whatever their names.
+are encoded whole, over as many sequences as they need; a null id stays null; rows of
+one id are documents of their own; an empty table writes no shard and gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,8 @@ from pagetide.llm.common import mixed, packed, starts_of, stored, unpacked, whol
 
 #: Bytes to a shard, roughly; words a worker remembers the tokens of.
 SHARD, REMEMBERED = 32 << 20, 300_000
+#: Tasks that sequences are numbered for; 4 PB of text still fit the numbers' 62 bits.
+TASKS = 1 << 20
 ROUNDS = 6
 
 
@@ -100,16 +105,43 @@ class Feistel:
         return x.astype(np.int64)
 
 
-def _records(tokens: bytes, end: int, length: int) -> np.ndarray:
-    ids = np.append(np.frombuffer(tokens, "<u2"), np.uint16(end))
-    n = -(-len(ids) // length)
-    out = np.zeros((n, length + 1), "<u2")
-    out[:, 0] = length
-    out[-1, 0] = len(ids) - (n - 1) * length
-    body = np.zeros(n * length, "<u2")
-    body[: len(ids)] = ids
-    out[:, 1:] = body.reshape(n, length)
-    return out
+class Filler:
+    """Cuts documents' tokens, end to end, into sequences of ``length``."""
+
+    def __init__(self, length: int):
+        self.length = length
+        self.rest = np.zeros(0, "<u2")
+        #: Pieces of documents in the sequence being filled: row data, piece, place, tokens.
+        self.pieces: list[np.ndarray] = [np.zeros(0, np.int64)] * 5
+
+    def fill(self, tokens: list[np.ndarray], ids: np.ndarray, nulls: np.ndarray, last: bool = False):
+        """Full sequences of what there is, with all else after the last document.
+
+        Gives the sequences, their numbers of tokens, and pieces of documents as columns:
+        sequence, id, whether it is null, piece of the document, place, tokens.
+        """
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        start = len(self.rest) + np.cumsum(sizes) - sizes
+        stream = np.concatenate([self.rest, *tokens])
+        low, high = start // self.length, (start + sizes - 1) // self.length
+        counts = high - low + 1
+        number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        sequence = np.repeat(low, counts) + number
+        begin = np.maximum(np.repeat(start, counts), sequence * self.length)
+        end = np.minimum(np.repeat(start + sizes, counts), (sequence + 1) * self.length)
+        own = [np.repeat(ids, counts), np.repeat(nulls, counts).astype(np.int64), number, begin - sequence * self.length, end - begin]
+        held = len(self.pieces[0])
+        sequence = np.r_[np.zeros(held, np.int64), sequence]
+        pieces = [np.r_[a, b] for a, b in zip(self.pieces, own)]
+        full = -(-len(stream) // self.length) if last else len(stream) // self.length
+        body = np.zeros(full * self.length, "<u2")
+        body[: min(len(stream), len(body))] = stream[: len(body)]
+        filled = np.full(full, self.length, np.int64)
+        if last and full:
+            filled[-1] = len(stream) - (full - 1) * self.length
+        done = sequence < full
+        self.rest, self.pieces = stream[full * self.length :], [c[~done] for c in pieces]
+        return body.reshape(full, self.length), filled, [sequence[done], *(c[done] for c in pieces)]
 
 
 @lru_cache(maxsize=1)
@@ -118,34 +150,54 @@ def _encoder(ranks: str) -> WordEncoder:
     return WordEncoder(public_tokenizers.path(ranks))
 
 
-def _encode(ranks: str, length: int, low: int, most: int, size: int, key: int, width: int):
+def _encode(ranks: str, length: int, most: int, size: int, key: int, width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, order = _encoder(ranks), Feistel(size, key)
+        encoder, order, filler = _encoder(ranks), Feistel(size, key), Filler(length)
+        if (task := TaskContext.get().partitionId()) >= TASKS:
+            raise ValueError("more tasks than sequences are numbered for; read larger splits")
+        first = task * most
+        end = np.array([encoder.end], "<u2")
+        none = np.zeros(0, np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                made = [_records(encoder.encode(t), encoder.end, length) for t in part.column("text").to_pylist()]
-                counts = np.array([len(r) for r in made])
-                number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                records = np.concatenate(made)
-                owner = np.repeat(ids, counts)
-                place = order((owner - low).astype(np.uint64) * np.uint64(most) + number.astype(np.uint64))
-                shard = place // width
-                sort = np.argsort(shard, kind="stable")
-                edges = starts_of(shard[sort])
-                rows = []
-                for a, b in zip(edges[:-1], edges[1:]):
-                    own = sort[a:b]
-                    blob = packed(place[own], owner[own], number[own].astype(np.int32))
-                    body = pa.compress(records[own].T.tobytes(), "zstd", asbytes=True)
-                    rows.append((int(shard[sort[a]]), blob, body))
-                kinds = pa.int64(), pa.binary(), pa.binary()
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["shard", "about", "records"])
+                column = part.column("doc_id")
+                nulls = column.is_null().to_numpy(zero_copy_only=False)
+                ids = column.fill_null(0).to_numpy()
+                tokens = [np.append(np.frombuffer(encoder.encode(t), "<u2"), end) for t in part.column("text").to_pylist()]
+                found = filler.fill(tokens, ids, nulls)
+                if len(found[0]):
+                    yield _dealt(found, order, first, width)
+                    first += len(found[0])
+        found = filler.fill([], none, none, last=True)
+        if len(found[0]):
+            yield _dealt(found, order, first, width)
 
     return run
 
 
+def _dealt(found: tuple, order: Feistel, first: int, width: int) -> pa.RecordBatch:
+    """Sequences by shard, with the documents' pieces in them."""
+    body, filled, (sequence, *pieces) = found
+    place = order((first + np.arange(len(body))).astype(np.uint64))
+    shard = place // width
+    sort = np.argsort(shard, kind="stable")
+    rank = np.empty(len(sort), np.int64)
+    rank[sort] = np.arange(len(sort))
+    by_rank = np.argsort(rank[sequence], kind="stable")
+    at = rank[sequence][by_rank]
+    edges = starts_of(shard[sort])
+    rows = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        own = sort[a:b]
+        some = by_rank[np.searchsorted(at, a) : np.searchsorted(at, b)]
+        blob = packed(place[own], filled[own].astype(np.uint16), (rank[sequence[some]] - a).astype(np.int32), *(c[some] for c in pieces))
+        planes = np.ascontiguousarray(body[own]).view(np.uint8).reshape(-1, 2).T
+        rows.append((int(shard[sort[a]]), blob, pa.compress(planes.tobytes(), "zstd", asbytes=True)))
+    kinds = pa.int64(), pa.binary(), pa.binary()
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["shard", "about", "records"])
+
+
 def _write(folder: str, length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -160,32 +212,33 @@ def _write(folder: str, length: int):
 
 def _written(store: fs.FileSystem, root: str, shard: int, rows: pa.Table, length: int) -> pa.RecordBatch:
     about = [unpacked(x) for x in rows.column("about").to_pylist()]
-    place, owner, number = (np.concatenate(x) for x in zip(*about))
-    records = np.empty((len(place), length + 1), "<u2")
-    at = 0
-    for some, body in zip(about, rows.column("records").to_pylist()):
-        n = len(some[0])
-        raw = pa.decompress(body, n * (length + 1) * 2, "zstd", asbytes=True)
-        records[at : at + n] = np.frombuffer(raw, "<u2").reshape(length + 1, n).T
-        at += n
+    sizes = np.array([len(x[0]) for x in about])
+    place, filled = (np.concatenate([x[i] for x in about]) for i in range(2))
+    base = np.cumsum(sizes) - sizes
+    sequence = np.concatenate([x[2] + b for x, b in zip(about, base)])
+    owner, nulls, number, inside, tokens = (np.concatenate([x[i] for x in about]) for i in range(3, 8))
+    records = np.zeros((len(place), length + 1), "<u2")
+    records[:, 0] = filled
+    for at, n, body in zip(base, sizes, rows.column("records").to_pylist()):
+        raw = np.frombuffer(pa.decompress(body, int(n) * length * 2, "zstd", asbytes=True), np.uint8)
+        records[at : at + n, 1:] = np.ascontiguousarray(raw.reshape(2, -1).T).reshape(-1).view("<u2").reshape(n, length)
     order = np.argsort(place, kind="stable")
-    twice = np.flatnonzero(np.diff(place[order]) == 0)
-    if len(twice):  # rows of one id: by their contents
-        order = np.array(sorted(range(len(place)), key=lambda i: (place[i], records[i].tobytes())))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
     name = f"{root}/shard-{shard:08d}.bin"
     with store.open_output_stream(draft := f"{name}.{uuid.uuid4().hex}") as out:
         out.write(np.ascontiguousarray(records[order]).data)
     store.move(draft, name)
-    n = len(order)
     return pa.record_batch(
         [
-            pa.array(owner[order]),
-            pa.array(number[order], pa.int32()),
-            pa.array(np.full(n, shard)),
-            pa.array(np.arange(n)),
-            pa.array(records[order, 0].astype(np.int32)),
+            pa.array(owner, pa.int64(), mask=nulls == 1),
+            pa.array(number, pa.int32()),
+            pa.array(np.full(len(owner), shard)),
+            pa.array(rank[sequence]),
+            pa.array(inside, pa.int32()),
+            pa.array(tokens, pa.int32()),
         ],
-        ["doc_id", "seq_no", "shard", "record", "n_tokens"],
+        ["doc_id", "seq_no", "shard", "record", "place", "n_tokens"],
     )
 
 
@@ -198,42 +251,40 @@ def token_shards(
     length: int = 1024,
     key: int = 1,
 ) -> DataFrame:
-    """Write the shards below ``folder``; per sequence its slot and where it lies.
+    """Write the shards below ``folder``; per document and sequence that holds some of it
+    the sequence's slot, where its record lies, and the document's place and tokens there.
 
     ``folder`` is one that all executors reach, as a path or an address.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text <> ''")
-    bytes_ = F.octet_length("text")
-    low, high, longest, total = rows.agg(F.min("doc_id"), F.max("doc_id"), F.max(bytes_), F.sum(bytes_)).first()
-    low, high = (low, high + 1) if low is not None else (0, 0)
-    most = -(-((longest or 0) + 1) // length)
-    size = (high - low + 1) * most
-    if size >= 1 << 62:
-        raise ValueError("ids and lengths span too many sequences; number the documents densely")
+    total, n = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    # no task makes more sequences than all texts have bytes and end marks for
+    most = ((total or 0) + n) // length + 1
+    size = TASKS * most
     shards = max(1, -(-(total or 0) // SHARD))
     width = -(-size // shards)
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root)
-    known = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(high)))
-    made = known.mapInArrow(_encode(ranks, length, low, most, size, key, width), "shard long, about binary, records binary")
+    made = rows.mapInArrow(_encode(ranks, length, most, size, key, width), "shard long, about binary, records binary")
     dealt = made.repartition("shard").sortWithinPartitions("shard")
-    columns = "doc_id long, seq_no int, shard long, record long, n_tokens int"
+    columns = "doc_id long, seq_no int, shard long, record long, place int, n_tokens int"
     written = stored(dealt.mapInArrow(_write(folder, length), columns), "sequences")
     first = manifest(written).select("shard", "first_slot")
     stride = 2 * (length + 1)
     return written.join(first, "shard").select(
-        F.when(F.col("doc_id") != high, F.col("doc_id")).alias("doc_id"),
+        "doc_id",
         "seq_no",
         (F.col("first_slot") + F.col("record")).alias("slot"),
         "shard",
         (F.col("record") * stride).alias("byte_offset"),
+        "place",
         "n_tokens",
     )
 
 
 def manifest(written: DataFrame) -> DataFrame:
     """Per shard its records and the slot of its first one."""
-    counts = written.groupBy("shard").agg(F.count("*").alias("records"))
+    counts = written.groupBy("shard").agg((F.max("record") + 1).alias("records"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("first_slot", F.coalesce(F.sum("records").over(earlier), F.lit(0)))
 

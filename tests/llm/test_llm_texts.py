@@ -57,31 +57,74 @@ def test_feistel_is_a_permutation():
     assert list(op2.Feistel(1000, 1)(np.arange(1000))) != list(op2.Feistel(1000, 2)(np.arange(1000)))
 
 
-def test_token_shards(spark, odd_docs, odd_rows, monkeypatch):
+@pytest.mark.parametrize("length", [64, 1024])
+def test_token_shards(spark, odd_docs, odd_rows, monkeypatch, length):
     monkeypatch.setattr(op2, "SHARD", 60_000)
     folder = session.run_folder(spark, "shards")
-    rows = op2.token_shards(odd_docs, folder, length=64).collect()
-    assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    counts = Counter(r.shard for r in rows)
+    rows = op2.token_shards(odd_docs, folder, length=length).collect()
+    slots = sorted({(r.slot, r.shard) for r in rows})
+    assert [s for s, _ in slots] == list(range(len(slots)))
+    counts = Counter(shard for _, shard in slots)
     assert len(counts) > 3
     shards, first = [], 0
     for shard in sorted(counts):
         shards.append((shard, counts[shard], first))
         first += counts[shard]
-    read = list(op2.read_slots(folder, shards, 0, len(rows), 64))
-    assert [x.tolist() for x in op2.read_slots(folder, shards, 11, 30, 64)] == [x.tolist() for x in read[11:41]]
-    by = defaultdict(dict)
+    read = list(op2.read_slots(folder, shards, 0, len(slots), length))
+    assert [x.tolist() for x in op2.read_slots(folder, shards, 11, 30, length)] == [x.tolist() for x in read[11:41]]
+    by, seen = defaultdict(lambda: defaultdict(list)), defaultdict(int)
+    firsts = {shard: first for shard, _, first in shards}
     for r in rows:
-        by[r.doc_id].setdefault(r.seq_no, []).append(read[r.slot])
-        assert len(read[r.slot]) == r.n_tokens
+        assert r.byte_offset == (r.slot - firsts[r.shard]) * 2 * (length + 1)
+        by[r.doc_id][r.seq_no].append(read[r.slot][r.place : r.place + r.n_tokens].tolist())
+        seen[r.slot] += r.n_tokens
+    assert all(seen[i] == len(x) for i, x in enumerate(read))  # every token is some document's
+    assert sum(len(x) < length for x in read) <= 5  # one for each task at most
     encoder = op2.WordEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     for i, text, *_ in odd_rows:
         if i is not None and i != 147 and text:
-            ids = np.concatenate([by[i][k][0] for k in range(len(by[i]))]).tolist()
+            ids = sum((by[i][k][0] for k in range(len(by[i]))), [])
             assert ids == [*encoder.encoding.encode_ordinary(text), encoder.end]
-    assert 140 not in by and 141 not in by and len(by[147][0]) == 2
+    assert 140 not in by and 141 not in by
+    assert sum(len(p) for k in by[147].values() for p in k) == 2 * (len(encoder.encoding.encode_ordinary("aaaa" * 300)) + 1)
+    assert sum(len(p) for k in by[None].values() for p in k) > 20
     order = [r.doc_id for r in sorted(rows, key=lambda r: r.slot)]
-    assert order != sorted(order, key=lambda i: (i is None, i))
+    assert order != sorted(order, key=lambda i: (i is None, i or 0))
+
+
+def test_ids_of_any_size_and_documents_over_many_sequences(spark):
+    docs = spark.createDataFrame([(2**63 - 1, "one two " * 3000), (-(2**63), "x"), (None, "y"), (5, "z " * 9)], "doc_id long, text string")
+    folder = session.run_folder(spark, "shards")
+    rows = op2.token_shards(docs.coalesce(1), folder, length=16).collect()
+    encode = op2.WordEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken")).encoding.encode_ordinary
+    tokens = Counter()
+    for r in rows:
+        tokens[r.doc_id] += r.n_tokens
+    assert tokens == {i: len(encode(t)) + 1 for i, t in docs.collect()}
+    assert len({r.slot for r in rows}) == -(-sum(tokens.values()) // 16)
+
+
+@given(st.lists(st.integers(1, 40), max_size=12), st.integers(1, 9), st.integers(1, 4))
+@settings(max_examples=200, deadline=None)
+def test_sequences_are_filled(sizes, length, step):
+    """Tokens in order, full but for the last, with every piece where it says it is."""
+    filler, tokens = op2.Filler(length), [np.full(n, i, "<u2") for i, n in enumerate(sizes)]
+    sequences, pieces, done = [], [], 0
+    for i in [*range(0, len(tokens), step), None]:
+        some = [] if i is None else tokens[i : i + step]
+        ids = np.arange(len(some), dtype=np.int64) + (i or 0)
+        body, filled, found = filler.fill(some, ids, np.zeros(len(some), bool), last=i is None)
+        sequences += [x[:n].tolist() for x, n in zip(body, filled)]
+        pieces += [(s + done, *rest) for s, *rest in zip(*(c.tolist() for c in found))]
+        done += len(body)
+    assert sum(sequences, []) == np.concatenate([*tokens, []]).tolist()
+    assert all(len(x) == length for x in sequences[:-1])
+    seen = Counter()
+    for sequence, doc, _, number, place, n in pieces:
+        assert sequences[sequence][place : place + n] == [doc] * n
+        assert number == sum(p[1] == doc and p[0] < sequence for p in pieces)
+        seen[doc] += n
+    assert seen == {i: n for i, n in enumerate(sizes)}
 
 
 @given(st.text(st.sampled_from("ab 's\n\t é1."), max_size=40))
