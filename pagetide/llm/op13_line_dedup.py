@@ -38,12 +38,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetide.llm.common import U64, in_chunks, mixed, stored, utf8
+from pagetide.llm.bloom import PER_HASH, SEGMENT, filters_of, known_again, segment_of
+from pagetide.llm.common import U64, in_chunks, stored, utf8
 
 #: ASCII white space, stripped from the ends of a line to make its key.
 BLANK = b" \t\n\x0b\x0c\r"
-#: Bytes of text to a chunk, hashes to a segment, bits of a segment's filters per hash, hash functions.
-CHUNK, SEGMENT, PER_HASH, TRIES = 16 << 20, 1 << 20, 16, 4
+#: Bytes of text to a chunk.
+CHUNK = 16 << 20
 
 
 def key_of(line: bytes, least: int) -> bytes | None:
@@ -79,10 +80,6 @@ def _hashes(least: int):
     return run
 
 
-def _segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
-    return ((hashes >> U64(32)) * U64(segments)) >> U64(32)
-
-
 def _dealt(segments: int):
     """The chunks' hashes by segment; sorted hashes fall into them in order."""
 
@@ -91,7 +88,7 @@ def _dealt(segments: int):
             for row in batch.to_pylist():
                 hashes = np.frombuffer(row["hashes"], U64)
                 again = np.unpackbits(np.frombuffer(row["again"], np.uint8), count=len(hashes))
-                of = _segment_of(hashes, segments).astype(np.int64)
+                of = segment_of(hashes, segments).astype(np.int64)
                 edges = np.append(np.flatnonzero(np.r_[True, of[1:] != of[:-1]]), len(of))
                 ends = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
                 yield pa.record_batch(
@@ -106,63 +103,16 @@ def _dealt(segments: int):
     return run
 
 
-class Bloom:
-    """A bit array that knows every hash put in, and some others."""
-
-    def __init__(self, bits: int, words: np.ndarray | None = None):
-        self.bits = max(64, bits)
-        self.bytes = np.zeros(-(-self.bits // 8), np.uint8) if words is None else words
-
-    def _places(self, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        step = mixed(hashes, 11) | U64(1)
-        for i in range(TRIES):
-            at = (mixed(hashes + U64(i) * step, 12) % U64(self.bits)).astype(np.int64)
-            yield at >> 3, (np.uint8(1) << (at & 7).astype(np.uint8))
-
-    def add(self, hashes: np.ndarray) -> None:
-        for at, bit in self._places(hashes):
-            np.bitwise_or.at(self.bytes, at, bit)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        known = np.ones(len(hashes), bool)
-        for at, bit in self._places(hashes):
-            known &= (self.bytes[at] & bit) != 0
-        return known
-
-
-def _filters(bits: int):
-    """Of each segment the filter of hashes seen again, ``bits`` wide. The rows of a
-    task are its segments one after the other."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = once = again = None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["segment"] != own:
-                    if own is not None:
-                        yield _filter_row(own, again)
-                    own, once, again = row["segment"], Bloom(SEGMENT * PER_HASH), Bloom(bits)
-                hashes = np.frombuffer(row["hashes"], U64)
-                twice = np.unpackbits(np.frombuffer(row["again"], np.uint8), count=len(hashes)) == 1
-                again.add(hashes[twice | once.has(hashes)])
-                once.add(hashes)
-        if own is not None:
-            yield _filter_row(own, again)
-
-    return run
-
-
-def _filter_row(segment: int, again: Bloom) -> pa.RecordBatch:
-    return pa.record_batch(
-        [pa.array([segment], pa.int32()), pa.array([again.bytes.tobytes()], pa.binary())], ["segment", "filter"]
-    )
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.frombuffer(row["hashes"], U64)
+    return hashes, np.unpackbits(np.frombuffer(row["again"], np.uint8), count=len(hashes)) == 1
 
 
 def _suspects(filters, segments: int, bits: int, least: int):
     """Suspected keys of each row, with the places of their lines."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {s: Bloom(bits, np.frombuffer(f, np.uint8)) for s, f in filters.value.items()}
+        known = known_again(filters.value, bits)
         for batch in in_chunks(batches, "text", CHUNK):
             rows, keys, places, hashes = [], [], [], []
             for i, text in enumerate(utf8(batch.column("text"))):
@@ -177,13 +127,7 @@ def _suspects(filters, segments: int, bits: int, least: int):
                 places += own.values()
                 hashes += map(xxhash.xxh64_intdigest, own)
             asked = np.array(hashes, U64)
-            of = _segment_of(asked, segments).astype(np.int64)
-            suspected = np.zeros(len(asked), bool)
-            order = np.argsort(of, kind="stable")
-            edges = np.append(np.flatnonzero(np.r_[True, np.diff(of[order]) != 0]), len(of)) if len(of) else [0]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if (own_filter := known.get(int(of[order[a]]))) is not None:
-                    suspected[order[a:b]] = own_filter.has(asked[order[a:b]])
+            suspected = known(asked, segments)
             picked = np.flatnonzero(suspected)
             if not len(picked):
                 continue
@@ -249,7 +193,7 @@ def line_dedup(
     by_segment = chunks.drop("n").mapInArrow(_dealt(segments), "segment int, hashes binary, again binary")
     by_segment = by_segment.repartition("segment").sortWithinPartitions("segment")
     # ``bits`` bits at most come to the driver and go to the executors
-    made = by_segment.mapInArrow(_filters(own_bits), "segment int, filter binary").collect()
+    made = by_segment.mapInArrow(filters_of(own_bits, _unpacked), "segment int, filter binary").collect()
     filters = docs.sparkSession.sparkContext.broadcast({r["segment"]: bytes(r["filter"]) for r in made})
     columns = "doc_id long, content long, key binary, places array<int>"
     suspects = stored(rows.mapInArrow(_suspects(filters, segments, own_bits, least), columns), "suspected_lines")

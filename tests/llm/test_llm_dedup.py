@@ -154,6 +154,13 @@ def test_suffix_dedup(odd_docs, odd_rows, monkeypatch, chunk, hot):
     assert Counter(got) == Counter(brute_cut(odd_rows))
 
 
+def test_filters_that_tell_little_lose_nothing(odd_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(op9, "BITS", 2048)
+    monkeypatch.setattr(op9, "SEGMENT", 50)
+    got = [tuple(r) for r in op9.suffix_dedup(odd_docs).collect()]
+    assert Counter(got) == Counter(brute_cut(odd_rows))
+
+
 def test_what_is_kept_of_a_text(odd_docs, odd_rows):
     for row in op9.suffix_dedup(odd_docs, keep_text=True).collect():
         assert hashlib.sha256(row.kept).hexdigest() == row.kept_sha256

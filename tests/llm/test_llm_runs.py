@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pagetide.llm import bloom, common
 from pagetide.llm import op11_hard_negatives as op11
 from pagetide.llm import op12_periodic_runs as op12
 from pagetide.llm import op13_line_dedup as op13
@@ -108,7 +109,7 @@ def test_boxes_leave_rows_out(monkeypatch):
     monkeypatch.setattr(op11.Searches, "_read", lambda self, t, s, leaf, f=op11.Searches._read: (read.append(len(s)), f(self, t, s, leaf)))
     anchors = np.arange(0, 2000, 50)
     ends = np.full(len(anchors), LONG)
-    blob = op11.packed(anchors, labels[anchors], square[anchors].reshape(-1), np.ones(len(anchors), np.int64), -ends - 1, ends)
+    blob = common.packed(anchors, labels[anchors], square[anchors].reshape(-1), np.ones(len(anchors), np.int64), -ends - 1, ends)
     search = op11.Searches(blob, 4, 5, True)
     search.meet(tree)
     assert sum(read) < len(anchors) * (len(tree.starts) - 1) / 4
@@ -280,7 +281,7 @@ def test_line_dedup(spark, lined_rows, monkeypatch, bits):
 def test_filters_know_what_was_put_in():
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 2**64, 5000, dtype=np.uint64)
-    filter_ = op13.Bloom(5000 * op13.PER_HASH)
+    filter_ = bloom.Bloom(5000 * bloom.PER_HASH)
     filter_.add(hashes)
     assert filter_.has(hashes).all()
     assert filter_.has(rng.integers(0, 2**64, 5000, dtype=np.uint64)).mean() < 0.01
