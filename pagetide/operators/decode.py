@@ -32,8 +32,8 @@ _MAYBE_NOT_A_STRING = r"(?m)^(?:[{\[]|-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?$|true$|fa
 _ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 _PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
 
-# Whatever is a key, and at times the text of a string.
-_KEY = r'"\s*:'
+# A key with space before its colon, which is not counted with the others.
+_SPACED_KEY = r'"\s+:'
 
 # No string holds a control character or an unknown escape. The parser leaves a
 # field null when its string is malformed and reads on, so this is asked wherever
@@ -72,7 +72,8 @@ def _clear() -> str:
     conditions.append(f"(({present}) OR ({_STRINGS_WELL_FORMED}))")
     # each field found accounts for one key, so no key is repeated or spelled otherwise
     found = " + ".join(f"CAST({typed}.{name} IS NOT NULL AS INT)" for name in _TYPE)
-    conditions.append(f"regexp_count(_text, r'{_KEY}') = {found}")
+    conditions.append(f"octet_length(_text) - octet_length(replace(_text, '\":', '\"')) = {found}")
+    conditions.append(f"NOT _text RLIKE r'{_SPACED_KEY}'")
     return f"coalesce({' AND '.join(conditions)}, false)"
 
 
