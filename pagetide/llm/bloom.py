@@ -17,6 +17,8 @@ from pagetide.llm.common import U64, mixed
 
 #: Hashes to a segment, bits of its filters per hash, hash functions.
 SEGMENT, PER_HASH, TRIES = 1 << 20, 16, 4
+#: Counters of a segment, in each of two rows.
+COUNTERS = 1 << 18
 
 
 def segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
@@ -47,33 +49,65 @@ class Bloom:
         return known
 
 
-def filters_of(bits: int, read: Callable[[dict], tuple[np.ndarray, np.ndarray]]):
+class Counts:
+    """Counters that several hashes may share: a hash's count is never too small."""
+
+    def __init__(self):
+        self.rows = [np.zeros(COUNTERS, np.int64) for _ in range(2)]
+
+    def add(self, hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The counts of distinct hashes with ``n`` more of each."""
+        found = None
+        for i, row in enumerate(self.rows):
+            at = (mixed(hashes, 21 + i) % U64(COUNTERS)).astype(np.int64)
+            np.add.at(row, at, n)
+            found = row[at] if found is None else np.minimum(found, row[at])
+        return found
+
+
+def filters_of(
+    bits: int,
+    read: Callable[[dict], tuple[np.ndarray, ...]],
+    levels: tuple[int, ...] = (),
+    level_bits: int = 0,
+):
     """Of each segment the filter of hashes seen again, ``bits`` wide. The rows of a task
     are its segments one after the other; ``read`` gives the distinct hashes of a row and
-    which of them it has seen again itself."""
+    which of them it has seen again itself. With ``levels``, ``read`` gives numbers too, and
+    a list of filters, ``level_bits`` wide, has the hashes whose numbers add up to each."""
     once_bits = SEGMENT * PER_HASH
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = once = again = None
+        own = once = again = counts = None
+        more: list[Bloom] = []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["segment"] != own:
                     if own is not None:
-                        yield _filter_row(own, again)
+                        yield _filter_row(own, again, more)
                     own, once, again = row["segment"], Bloom(once_bits), Bloom(bits)
-                hashes, twice = read(row)
+                    more = [Bloom(level_bits) for _ in levels]
+                    counts = Counts() if levels else None
+                hashes, twice, *numbers = read(row)
                 again.add(hashes[twice | once.has(hashes)])
                 once.add(hashes)
+                if counts is not None:
+                    sums = counts.add(hashes, numbers[0])
+                    for level, known in zip(levels, more):
+                        known.add(hashes[sums >= level])
         if own is not None:
-            yield _filter_row(own, again)
+            yield _filter_row(own, again, more)
 
     return run
 
 
-def _filter_row(segment: int, again: Bloom) -> pa.RecordBatch:
-    return pa.record_batch(
-        [pa.array([segment], pa.int32()), pa.array([again.bytes.tobytes()], pa.binary())], ["segment", "filter"]
-    )
+def _filter_row(segment: int, again: Bloom, more: list[Bloom]) -> pa.RecordBatch:
+    columns = [pa.array([segment], pa.int32()), pa.array([again.bytes.tobytes()], pa.binary())]
+    names = ["segment", "filter"]
+    if more:
+        columns.append(pa.array([[m.bytes.tobytes() for m in more]], pa.list_(pa.binary())))
+        names.append("more")
+    return pa.record_batch(columns, names)
 
 
 def known_again(filters: dict[int, bytes], bits: int) -> Callable[[np.ndarray, int], np.ndarray]:

@@ -143,10 +143,14 @@ def brute_cut(rows, length=50):
     return out
 
 
-@pytest.mark.parametrize("chunk, hot", [(op9.CHUNK, op9.HOT), (3000, op9.HOT), (op9.CHUNK, 5), (3000, 5)])
-def test_suffix_dedup(odd_docs, odd_rows, monkeypatch, chunk, hot):
+@pytest.mark.parametrize(
+    "chunk, hot, hotter",
+    [(op9.CHUNK, op9.HOT, op9.HOTTER), (3000, op9.HOT, op9.HOTTER), (op9.CHUNK, 3, op9.HOTTER), (3000, 0, 12), (3000, 0, 0)],
+)
+def test_suffix_dedup(odd_docs, odd_rows, monkeypatch, chunk, hot, hotter):
+    """Also with every gram lengthened, and with every string by itself."""
     monkeypatch.setattr(op9, "HOT", hot)
-    monkeypatch.setattr(op9, "MOST_HOT", 10**9)
+    monkeypatch.setattr(op9, "HOTTER", hotter)
     monkeypatch.setattr(op9, "CHUNK", chunk)
     monkeypatch.setattr(op9, "HELD", chunk // 20)
     monkeypatch.setattr(op9, "SHARE", 40_000)
@@ -207,10 +211,62 @@ def test_empty_tables(no_docs):
     assert op10.ngram_join(no_docs).count() == 0
 
 
-def test_grams_in_many_contexts_are_found(odd_docs, monkeypatch):
-    monkeypatch.setattr(op9, "HOT", 25)
-    rows = odd_docs.selectExpr("doc_id", "CAST(text AS BINARY) AS content", "xxhash64(text) AS doc_hash")
-    rows = rows.where("doc_id IS NOT NULL AND octet_length(content) >= 50")
-    found = op9._hot(rows, 1000, op9.LENGTH, op9.GRAM)
-    assert 0 < len(found) < 100
-    assert len(op9._hot(rows, 10**12, op9.LENGTH, op9.GRAM)) == 0
+def shared_at_edges(n: int) -> list[tuple[int, str]]:
+    """Texts round one passage, each with words of its own before and after it, some of
+    which a few of them share."""
+    draw = np.random.default_rng(5)
+    passage = "".join(chr(97 + c) for c in draw.integers(0, 26, 70))
+    rows = []
+    for i in range(n):
+        before, after = ("".join(chr(97 + c) for c in draw.integers(0, 26, 60)) for _ in range(2))
+        rows.append((i, before[: i % 50] + "edge " * (i % 3) + passage + " more" * (i % 4) + after))
+    return rows
+
+
+@pytest.mark.parametrize("hot, hotter", [(10**9, 10**9), (20, 10**9), (20, 40)])
+def test_hot_grams_at_the_edges_of_a_passage(spark, monkeypatch, hot, hotter):
+    monkeypatch.setattr(op9, "HOT", hot)
+    monkeypatch.setattr(op9, "HOTTER", hotter)
+    rows = shared_at_edges(120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in op9.suffix_dedup(docs).collect()) == Counter(brute_cut(rows))
+
+
+def test_grams_in_many_contexts_are_found(spark, monkeypatch):
+    """Levels are met by what several rows of a segment add up to, at any size of input."""
+    monkeypatch.setattr(op9, "HOT", 20)
+    monkeypatch.setattr(op9, "HOTTER", 10**6)
+    monkeypatch.setattr(op9, "CHUNK", 2000)
+    rows = spark.createDataFrame(shared_at_edges(120), "doc_id long, text string")
+    some = rows.selectExpr("doc_id", "CAST(text AS BINARY) AS content", "xxhash64(text) AS doc_hash")
+    found = op9.Anchors([t.encode() for _, t in shared_at_edges(120)], op9.LENGTH, op9.GRAM)
+    pairs = {(g, c) for g, c in zip(found.gram.tolist(), found.contexts().tolist())}
+    contexts = Counter(g for g, _ in pairs)
+    many = np.array([g for g, n in contexts.items() if n >= 20], np.uint64)
+    few = np.array([g for g, n in contexts.items() if n < 5], np.uint64)
+    for total in (20_000, 10**12):
+        known, hot, hotter = op9.Known(some, total, op9.LENGTH, op9.GRAM).opened()
+        assert len(many) and hot(many).all() and known(many).all()
+        assert hot(few).mean() < 0.01 and not hotter(many).any()
+
+
+@given(st.lists(st.text("ab", min_size=6, max_size=30), min_size=1, max_size=8), st.integers(4, 8))
+@settings(max_examples=150, deadline=None)
+def test_pairs_are_found_without_a_scan(texts, length):
+    """Intervals of two by one step, larger ones by the stack: the same bytes as all by the stack."""
+    gram = 3
+    found = op9.Anchors([t.encode() for t in texts], length, gram)
+    if not len(found.at):
+        return
+    columns = np.arange(-(length - gram), length)
+    square = found.data[np.clip(found.at[:, None] + columns, 0, len(found.data) - 1)].copy()
+    square[(columns < -found.left[:, None]) | (columns >= found.right[:, None])] = 0
+    array = op9.SuffixArray(square, found.left, found.right, length - gram)
+    edges = np.append(np.flatnonzero(array.common < gram), len(array.order))
+    want = set()
+    for a, b in zip(edges[:-1], edges[1:]):
+        for before, after, members in op9.maximal_repeats(array, length, a, b - 1):
+            owner = found.doc[members]
+            want |= {(m, i) for m in members[owner > owner.min()].tolist() for i in range(-before, after)}
+    row, before, after = op9._later(array, found.doc, length, gram)
+    assert {(m, i) for m, b, a in zip(row.tolist(), before.tolist(), after.tolist()) for i in range(-b, a)} == want
