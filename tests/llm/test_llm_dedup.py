@@ -232,6 +232,21 @@ def test_hot_grams_at_the_edges_of_a_passage(spark, monkeypatch, hot, hotter):
     assert Counter(tuple(r) for r in op9.suffix_dedup(docs).collect()) == Counter(brute_cut(rows))
 
 
+@pytest.mark.parametrize("hot", [10**9, 0])
+def test_zero_bytes_are_not_the_end_of_a_text(spark, monkeypatch, hot):
+    """A text that ends where others go on with zero bytes does not part those in the array."""
+    monkeypatch.setattr(op9, "HOT", hot)
+    draw = np.random.default_rng(9)
+    rows = []
+    for group in range(20):
+        passage = "".join(chr(97 + c) for c in draw.integers(0, 26, 45))
+        for cut in (8, 0, 8, 3, 8):  # zero bytes after it, and before it
+            rows.append((len(rows), f"{group:02}{len(rows):03}" * 4 + passage + "\x00" * cut))
+            rows.append((len(rows), "\x00" * cut + passage + f"{group:02}{len(rows):03}" * 4))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in op9.suffix_dedup(docs).collect()) == Counter(brute_cut(rows))
+
+
 def test_grams_in_many_contexts_are_found(spark, monkeypatch):
     """Levels are met by what several rows of a segment add up to, at any size of input."""
     monkeypatch.setattr(op9, "HOT", 20)
