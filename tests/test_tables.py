@@ -129,6 +129,22 @@ def test_replays_are_left_out_whatever_batch_holds_them(spark, tables):
     assert stored.read_errors(spark, tables).count() == 1
 
 
+def test_replays_are_asked_for_without_reading_messages_twice(spark, tables):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    sent = messages(spark, [event() for _ in range(5)], start=0)
+    again = sent.mapInArrow(counted, sent.schema)
+    stored.ingest_batch(sent.limit(2), 0, tables, NOW)
+    stored.ingest_batch(again, 1, tables, NOW, drop_replays=True)
+    assert read.value == 5
+    assert sorted(r.kafka_offset for r in stored.read_raw(spark, tables).collect()) == [0, 1, 2, 3, 4]
+
+
 @pytest.mark.parametrize("table", [RAW_ROUTE, ERROR_ROUTE])
 def test_rows_are_compacted(spark, tables, source, table):
     fill(source, tables)
