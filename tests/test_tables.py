@@ -342,3 +342,14 @@ def test_verify_finds_a_wrong_column(spark, tables):
     with pytest.raises(ValueError, match="page_views_agg_minute has no window_start"):
         catalog.verify_schema(spark)
     catalog.drop_schema(spark)
+
+
+def test_a_large_topic_is_many_files_of_the_same_messages(spark, sf_dir, source, monkeypatch):
+    monkeypatch.setattr(fixture, "FILE_ROWS", source.count() // 12 + 1)  # three files to a fourth of the rows
+    folder = session.run_folder(spark, "topic")
+    assert fixture.write_topic_slices(spark, sf_dir, f"{folder}/slices", [0, 1, 2, 3]) == 12
+    parts = fixture.write_topic_partitions(spark, sf_dir, f"{folder}/parts")
+    assert len(parts.inputFiles()) == 12
+    sent = source.select(*parts.columns)
+    assert multiset(parts) == multiset(sent)
+    assert multiset(spark.read.schema(parts.schema).parquet(f"{folder}/slices").select(*parts.columns)) == multiset(sent)
