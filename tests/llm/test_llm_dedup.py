@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pagetide.llm import op3_exact_dedup as op3
 from pagetide.llm import op9_suffix_dedup as op9
 from pagetide.llm import op10_ngram_join as op10
+from pagetide.llm.common import shuffles_freed
 
 
 def sha(text):
@@ -265,6 +267,43 @@ def test_grams_in_many_contexts_are_found(spark, monkeypatch):
         assert hot(few).mean() < 0.01 and not hotter(many).any()
 
 
+def random_texts(n, size):
+    draw = np.random.default_rng(11)
+    return ["".join(chr(97 + c) for c in draw.integers(0, 26, size)) for _ in range(n)]
+
+
+def test_segments_get_equal_shares_of_anchors():
+    """Anchors are the grams of least hash; that does not send them to the first segments."""
+    batch = pa.record_batch([pa.array([t.encode() for t in random_texts(40, 4000)])], ["content"])
+    by_segment = Counter()
+    for b in op9._seen(op9.LENGTH, op9.GRAM, 16)([batch]):
+        by_segment.update(dict(zip(b.column("segment").to_pylist(), b.column("n").to_pylist())))
+    assert len(by_segment) == 16 and max(by_segment.values()) < 1.3 * by_segment.total() / 16
+
+
+def test_anchors_that_no_other_text_has_are_not_sent(spark, monkeypatch):
+    """The filters tell nearly all of them, in many segments as in one."""
+    monkeypatch.setattr(op9, "SEGMENT", 250)
+    texts = random_texts(60, 4000)
+    texts += texts[:30]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    some = rows.selectExpr("doc_id", "CAST(text AS BINARY) AS content", "xxhash64(text) AS doc_hash")
+    known, _, _ = op9.Known(some, sum(map(len, texts)), op9.LENGTH, op9.GRAM).opened()
+    found = op9.Anchors([t.encode() for t in texts], op9.LENGTH, op9.GRAM)
+    grams, counts = np.unique(found.gram, return_counts=True)
+    assert known(grams[counts > 1]).all()
+    assert known(grams[counts == 1]).mean() < 0.02
+
+
+def test_shuffles_are_freed_within_only(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ZeroDivisionError), shuffles_freed(spark):
+        assert spark.conf.get(name) == "true"
+        1 / 0
+    assert spark.conf.get(name, None) == before
+
+
 @given(st.lists(st.text("ab", min_size=6, max_size=30), min_size=1, max_size=8), st.integers(4, 8))
 @settings(max_examples=150, deadline=None)
 def test_pairs_are_found_without_a_scan(texts, length):
